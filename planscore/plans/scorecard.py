@@ -180,3 +180,40 @@ def phase_rows(inputs: ScorecardInputs, params: ReportParams, rules: ProgramRule
                phase: str, version: str = "v4") -> DataFrame:
     """One phase block (R1-R9) of a version."""
     return scorecard(inputs, params, rules, version).filter(F.col("phase") == phase)
+
+
+def scorecard_union_form(inputs: ScorecardInputs, params: ReportParams, rules: ProgramRules,
+                         version: str = "v4") -> DataFrame:
+    """The report's own shape: nine LEFT JOINs of a target table to the actuals, UNION ALL.
+
+    Kept for equivalence tests and for the benchmark against :func:`scorecard`; the one-pass form
+    is the one to run."""
+    acts = program_actuals(inputs.work_items, params, rules)
+    dot = targets_at_week(inputs.weekly_targets, params, rules)
+    wdot = acts.join(dot.select("program", "ytd_completions"), "program", "left").select(
+        *acts.columns, external_execute(rules).alias("execute_actuals"))
+    sched = schedule_targets(inputs.weekly_targets, params)
+    reb = rebaselines(inputs.unit_forecast, inputs.weekly_targets, params, rules)
+    null = F.lit(None).cast("double")
+    blocks = []
+    for phase, src, raw, side, actual in (
+            ("Annual Target", dot, "initiation_target", acts, None),
+            ("Initiation", dot, "initiation_target", acts, "initiation_actuals"),
+            ("Design", dot, "design_target", acts, "design_actuals"),
+            ("Dependencies", dot, "dependency_target", acts, "dependency_actuals"),
+            ("Schedule", sched, "schedule_target", acts, "schedule_actuals"),
+            ("Execute", dot, "execute_target", wdot, "execute_actuals"),
+            ("Total in WP", dot, None, acts, "total_in_workplan"),
+            ("EOY Forecast", dot, None, acts, "total_in_workplan"),
+            ("Rebaseline", reb, None, acts, None)):
+        j = src.alias("t").join(side.alias("a"), F.col("t.program") == F.col("a.program"), "left")
+        act = (F.col("t.rebaseline") if phase == "Rebaseline"
+               else F.col(f"a.{actual}") if actual else null)
+        blocks.append(j.select(
+            F.col("t.program").alias("program"), F.lit(phase).alias("phase"),
+            (F.col(f"t.{raw}") if raw else null).alias("plan_raw"), act.alias("actual"),
+            F.col("a.mega_process"), F.col("a.owner"), F.col("a.process")))
+    rows = blocks[0]
+    for b in blocks[1:]:
+        rows = rows.unionByName(b)
+    return apply_version(rows, version, params, rules)

@@ -25,7 +25,7 @@ from planscore.params import FIXTURE_RULES, ReportParams
 from planscore.plans import finance, labour
 from planscore.plans.gate import gated_scorecard
 from planscore.plans.scorecard import ScorecardInputs, joined_phase_rows, phase_rows, scorecard
-from planscore.session import ensure_conf
+from planscore.session import ensure_conf, materialize
 from planscore.sources import fixtures as fx
 from planscore.sources.sinks import tsv_roundtrip
 from planscore.sources.tables import Tables
@@ -50,8 +50,11 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
 
 
 def inputs(spark: SparkSession, sf_dir: str) -> ScorecardInputs:
+    """Report inputs. The targets table is read three times by the report (week, look-ahead
+    week, rebaseline programs), so it is written once (bounded: nicknames x plan weeks)."""
     t = tables(spark, sf_dir)
-    return ScorecardInputs(fx.work_items(t), fx.weekly_targets(t), fx.unit_forecast(t))
+    wt = materialize(fx.weekly_targets(t), "weekly_targets")
+    return ScorecardInputs(fx.work_items(t), wt, fx.unit_forecast(t))
 
 
 def _wi(s, d):

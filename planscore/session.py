@@ -21,6 +21,7 @@ def build_session(master: str = "local[*]", app: str = "planscore",
     call :func:`ensure_conf` instead."""
     builder = (SparkSession.builder.master(master).appName(app)
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
     for k, v in REQUIRED_CONF.items():
         builder = builder.config(k, v)
@@ -45,3 +46,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
         d = tempfile.mkdtemp(prefix="planscore-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
+
+    For derived inputs used several times in one plan (each use is pruned differently, so Spark
+    cannot reuse the exchange). The written table cuts the lineage and outlives lost executors."""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/planscore-tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
