@@ -53,8 +53,8 @@ def month_year_text(d: Column) -> Column:
 
 
 def percent_text(x: Column) -> Column:
-    """``FORMAT(x, "0.00%")``."""
-    return F.format_string("%.2f%%", x * 100)
+    """``FORMAT(x, "0.00%")``; a blank stays blank (Java would print ``nu%`` for NULL)."""
+    return F.when(x.isNotNull(), F.format_string("%.2f%%", x * 100))
 
 
 def current_month_label(month_text: Column, pct: Column, today: Column) -> Column:
