@@ -139,6 +139,7 @@ ORACLE: dict[str, str] = {
         f"SELECT program, sum({execute_gate()}) AS execute_actuals FROM work_items "
         f"WHERE {scope_where()} GROUP BY program"),
     "program_actuals": with_ctes("SELECT * FROM acts", a1_cte(), acts_cte()),
+    "program_actuals_streamed": with_ctes("SELECT * FROM acts", a1_cte(), acts_cte()),
     "weekly_targets": with_ctes("SELECT * FROM dot", dot_cte()),
     "nickname_completions": with_ctes(
         "SELECT program, week, month2, month, ytd_completions FROM dot", dot_cte()),

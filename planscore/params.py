@@ -123,3 +123,11 @@ FIXTURE_RULES = ProgramRules(
 )
 
 DEFAULT_PARAMS = ReportParams()
+
+
+def param_echo(spark, params: ReportParams):
+    """The parameters as one row (week, cutoff, rag min, rag max), as the procedure's first
+    result set. Reads no table, so it is a helper, not a registered query."""
+    return spark.range(1).select(
+        F.lit(params.week).alias("week"), params.cutoff().alias("actuals_date"),
+        F.lit(float(params.rag_min)).alias("rag_min"), F.lit(float(params.rag_max)).alias("rag_max"))

@@ -42,9 +42,11 @@ VERSIONS = ("v1", "v2", "v3", "v4", "v5", "v6")
 
 @dataclass(frozen=True)
 class ScorecardInputs:
-    work_items: DataFrame
+    work_items: DataFrame | None
     weekly_targets: DataFrame
     unit_forecast: DataFrame
+    # Precomputed program actuals (e.g. from the streaming rollup); replaces the work-item scan.
+    program_actuals: DataFrame | None = None
 
 
 def week_targets(inputs: ScorecardInputs, params: ReportParams, rules: ProgramRules) -> DataFrame:
@@ -82,7 +84,8 @@ def actual_rows(inputs: ScorecardInputs, params: ReportParams, rules: ProgramRul
                 dot: DataFrame | None = None) -> DataFrame:
     """Program actuals with J2 applied: one row per target row of the program (rank 1..m), or a
     single row (rank NULL) for programs without target rows this week."""
-    acts = program_actuals(inputs.work_items, params, rules)
+    acts = (inputs.program_actuals if inputs.program_actuals is not None
+            else program_actuals(inputs.work_items, params, rules))
     if dot is None:
         dot = week_targets(inputs, params, rules)
     j = acts.join(dot.select("program", "target_rank", "ytd_completions"), "program", "left")
@@ -188,7 +191,8 @@ def scorecard_union_form(inputs: ScorecardInputs, params: ReportParams, rules: P
 
     Kept for equivalence tests and for the benchmark against :func:`scorecard`; the one-pass form
     is the one to run."""
-    acts = program_actuals(inputs.work_items, params, rules)
+    acts = (inputs.program_actuals if inputs.program_actuals is not None
+            else program_actuals(inputs.work_items, params, rules))
     dot = targets_at_week(inputs.weekly_targets, params, rules)
     wdot = acts.join(dot.select("program", "ytd_completions"), "program", "left").select(
         *acts.columns, external_execute(rules).alias("execute_actuals"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +26,8 @@ from planscore.params import FIXTURE_RULES, ReportParams
 from planscore.plans import finance, labour
 from planscore.plans.gate import gated_scorecard
 from planscore.plans.scorecard import ScorecardInputs, joined_phase_rows, phase_rows, scorecard
-from planscore.session import ensure_conf, materialize
+from planscore.session import checkpoint_dir, ensure_conf, materialize
+from planscore.streaming.actuals_rollup import program_actuals_from_rollup, start_rollup_stream
 from planscore.sources import fixtures as fx
 from planscore.sources.sinks import tsv_roundtrip
 from planscore.sources.tables import Tables
@@ -208,5 +210,23 @@ QUERIES: dict[str, Query] = {
 }
 
 
+def program_actuals_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 through the incremental rollup: line items arrive as a stream (stream-static joins to
+    the order, part and customer dimensions), the rollup state is written to the shared
+    checkpoint folder, and the program actuals are read from it at the cutoff."""
+    t = tables(spark, sf_dir)
+    root = f"{checkpoint_dir(spark).rstrip('/')}/planscore-stream/{uuid.uuid4().hex}"
+    li = (spark.readStream.schema(t.lineitem.schema)
+          .parquet(f"{t.root}/lineitem.parque[t]"))
+    q = start_rollup_stream(fx.work_items(t, li), P, R, f"{root}/rollup", f"{root}/state")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return program_actuals_from_rollup(spark.read.parquet(f"{root}/rollup"), P, R)
+
+
+QUERIES["program_actuals_streamed"] = program_actuals_streamed
+
+
 def phase_initiation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["phase_initiation"](spark, sf_dir)

@@ -45,9 +45,11 @@ def _orders_with_geo(t: Tables) -> DataFrame:
             .join(geo, F.col("o_custkey") == F.col("c_custkey")))
 
 
-def work_items(t: Tables) -> DataFrame:
-    li = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
-                           "l_returnflag", "l_linestatus", "l_shipdate")
+def work_items(t: Tables, lineitem: DataFrame | None = None) -> DataFrame:
+    """Work-item facts. ``lineitem`` may be a streaming DataFrame (stream-static joins)."""
+    li = lineitem if lineitem is not None else t.lineitem
+    li = li.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag",
+                   "l_linestatus", "l_shipdate")
     part = t.part.select("p_partkey", "p_brand", "p_type", "p_size")
     j = (li.join(_orders_with_geo(t), F.col("l_orderkey") == F.col("o_orderkey"))
          .join(part, F.col("l_partkey") == F.col("p_partkey")))

@@ -1,0 +1 @@
+"""Incremental maintenance of program actuals with Structured Streaming."""

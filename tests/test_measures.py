@@ -88,3 +88,10 @@ def test_ratio_rounded_before_threshold(spark):
     got = evaluate(spark, [("X", "Initiation", 10000.0, 9951.0), ("X", "Initiation", 10000.0, 12549.0)],
                    M.rag_threshold(F.col("raw"), F.col("actual"), P))
     assert got == [("GREEN",), ("GREEN",)]
+
+
+def test_param_echo(spark):
+    from planscore.params import param_echo
+    import datetime as dt
+    r = param_echo(spark, P).collect()
+    assert [tuple(x) for x in r] == [(38, dt.date(1998, 9, 28), 0.995, 1.25)]
