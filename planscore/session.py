@@ -41,7 +41,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for written intermediates: the cluster's ``spark.checkpoint.dir``.
 
     Only when the session names none (local tests) is a scratch folder created and set."""
-    d = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        d = spark.sparkContext.getCheckpointDir() or d
+    except Exception:  # sessions without a SparkContext handle: the conf is all there is
+        pass
     if not d:
         d = tempfile.mkdtemp(prefix="planscore-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
