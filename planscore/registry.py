@@ -48,7 +48,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
     ensure_conf(spark)
-    return Tables(spark, sf_dir)
+    return Tables.of(spark, sf_dir)
 
 
 def inputs(spark: SparkSession, sf_dir: str) -> ScorecardInputs:
