@@ -4,6 +4,7 @@ values (floats to 6 decimals)."""
 from __future__ import annotations
 
 import math
+import os
 from collections import Counter
 
 import duckdb
@@ -18,9 +19,14 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+EXACT = os.environ.get("ORACLE_EXACT") == "1"
+
+
 def _norm(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else round(v, 6)
+        if math.isnan(v):
+            return "nan"
+        return v if EXACT else round(v, 6)
     if hasattr(v, "isoformat"):
         return v.isoformat()
     return v
