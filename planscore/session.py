@@ -22,6 +22,9 @@ def build_session(master: str = "local[*]", app: str = "planscore",
     builder = (SparkSession.builder.master(master).appName(app)
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
+               # Call-site capture for error messages costs several JVM round trips per Column
+               # function on the driver; off for batch runs.
+               .config("spark.python.sql.dataFrameDebugging.enabled", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
     for k, v in REQUIRED_CONF.items():
         builder = builder.config(k, v)
