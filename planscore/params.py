@@ -32,6 +32,13 @@ class ReportParams:
     year: int = 1998
     as_of: dt.date | None = None
 
+    @classmethod
+    def reference_defaults(cls) -> "ReportParams":
+        """The original report's defaults: week 38, cutoff 2024-09-28, thresholds .995 / 1.25,
+        tag 'PDC', year 2024."""
+        return cls(week=38, actuals_date=dt.date(2024, 9, 28), rag_min=0.995, rag_max=1.25,
+                   output="PDC", year=2024)
+
     def cutoff(self) -> Column:
         if self.actuals_date is not None:
             return F.lit(self.actuals_date)

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,8 +27,17 @@ REPORT_SCHEMA = T.StructType(
 BLANK_COLUMNS = ("unit_of_measure", "on_track", "rag")
 
 
+NUMERIC_COLUMNS = ("plan", "completions", "pct_to_plan")
+
+
+def report_number_text(c: Column) -> Column:
+    """Numbers as the report prints them: whole values without a trailing ``.0``."""
+    return F.regexp_replace(c.cast("string"), r"\.0$", "")
+
+
 def write_report_tsv(report: DataFrame, path: str, single_file: bool = False) -> str:
-    out = report.select(*[F.col(c).alias(h) for c, h in REPORT_HEADERS])
+    out = report.select(*[(report_number_text(F.col(c)) if c in NUMERIC_COLUMNS else F.col(c))
+                          .alias(h) for c, h in REPORT_HEADERS])
     out = out.orderBy("PDC Program")
     if single_file:
         # The report is programs x phases rows; one file is what a report consumer expects.

@@ -107,7 +107,8 @@ def test_tsv_sink_roundtrip(spark, tmp_path):
     text = "".join(open(p).read() for p in sorted((tmp_path / "report").glob("part-*")))
     lines = text.splitlines()
     assert lines[0].split("\t")[:3] == ["Output", "Mega Process", "MPO"]
-    assert lines[1].split("\t")[4] == "A" and lines[1].split("\t")[3] == "NULL"
+    first = lines[1].split("\t")
+    assert first[4] == "A" and first[3] == "NULL" and first[7:10] == ["3", "0", "0"]
     back = read_report_tsv(spark, path)
     assert sorted(map(tuple, back.collect()), key=str) == sorted(rows, key=str)
     assert checkpoint_dir(spark)

@@ -190,3 +190,25 @@ def test_semi_equals_inner_distinct(spark):
     a = rebaselines(inp.unit_forecast, inp.weekly_targets, P, R)
     b = rebaselines_inner_distinct(inp.unit_forecast, inp.weekly_targets, P, R)
     same_multiset(a, b)
+
+
+def test_reference_rules_golden_rows(spark):
+    """Original program names: the design override list and its never-matching name, the
+    maintenance classification, and the zero-target rule of v1."""
+    from planscore.params import REFERENCE_RULES
+    rules = dataclasses.replace(REFERENCE_RULES, maintenance_owner="M", projects_owner="P")
+    p = ReportParams.reference_defaults()
+    d = dt.date(2024, 3, 1)
+    names = ("COE Expense", "ED WFM Surge Arresters HFTD", "Mobile Home Park Electric", "ED Cable")
+    wi = [work_item(n, 7.0, reporting_year=2024, work_plan_date=d, report_date=d, reference_date=d)
+          for n in names]
+    wt = [target(n, ytd=7.0, nickname=n) for n in names]
+    wt.append(target("Zero Program", ytd=0.0, nickname="Zero Program"))
+    sc = scorecard(make_inputs(spark, wi, wt), p, rules, "v1")
+    got = {(r.program, r.phase): (r.rag, r.pct_to_plan, r.mega_process) for r in sc.collect()}
+    assert got[("COE Expense", "Design")] == ("BLACK", 1.0, "ED Maintenance")
+    assert got[("ED WFM Surge Arresters HFTD", "Design")] == ("GREEN", 1.0, "ED Projects")
+    assert got[("Mobile Home Park Electric", "Dependencies")][0] == "BLACK"
+    assert got[("Mobile Home Park Electric", "Design")][0] == "BLACK"
+    assert got[("ED Cable", "Design")] == ("GREEN", 1.0, "ED Projects")
+    assert got[("Zero Program", "Initiation")] == ("GREEN", 1.0, None)
