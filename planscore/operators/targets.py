@@ -44,11 +44,13 @@ def schedule_targets(wt: DataFrame, params: ReportParams) -> DataFrame:
 
 
 def normalize_nickname(nickname: Column, rules: ProgramRules) -> Column:
-    """nickname -> program through the configured map, identity otherwise."""
-    if not rules.nickname_map:
-        return nickname
-    m = F.create_map(*[F.lit(x) for pair in rules.nickname_map for x in pair])
-    return F.coalesce(F.try_element_at(m, nickname), nickname)
+    """nickname -> program through the configured map (a handful of pairs, compared under
+    the input's collation), identity otherwise."""
+    out = None
+    for nick, program in rules.nickname_map:
+        out = (F.when(nickname == nick, F.lit(program)) if out is None
+               else out.when(nickname == nick, F.lit(program)))
+    return nickname if out is None else out.otherwise(nickname)
 
 
 def rebaseline_by_nickname(uf: DataFrame, params: ReportParams,

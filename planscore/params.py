@@ -74,6 +74,8 @@ class ProgramRules:
     projects_owner: str | None = None
     cancel_marker: str = "CNCL"
     complete_status: str = "COMP"
+    # e.g. "UTF8_LCASE_RTRIM": compare names case-insensitively, ignoring trailing blanks.
+    collation: str | None = None
     extra: dict = field(default_factory=dict)
 
 

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from planscore.functions import measures as M
+from planscore.functions.collation import with_collation, without_collation
 from planscore.operators.actuals import external_execute, program_actuals
 from planscore.operators.targets import (rebaselines, schedule_targets, targets_at_week,
                                          with_target_rank)
@@ -175,10 +176,22 @@ def scorecard(inputs: ScorecardInputs, params: ReportParams, rules: ProgramRules
 
     v1: whole-number plan, percent rule v1, full RAG. v2: percent rule v2, phase RAG blank.
     v3: two-decimal plan for the fractional program. v4: its completions too. v5: v4 with the
-    cutoff defaulting to ``as_of``. v6 (gated) is :func:`planscore.plans.gate.gated_scorecard`."""
+    cutoff defaulting to ``as_of``. v6 (gated) is :func:`planscore.plans.gate.gated_scorecard`.
+    With ``rules.collation`` set, names compare under that collation."""
+    if rules.collation:
+        inputs = collated_inputs(inputs, rules.collation)
+        rows = joined_phase_rows(inputs, params, rules)
+        return without_collation(apply_version(rows, version, params, rules))
     return apply_version(joined_phase_rows(inputs, params, rules), version, params, rules)
 
 
+def collated_inputs(inputs: ScorecardInputs, collation: str) -> ScorecardInputs:
+    def c(df):
+        return None if df is None else with_collation(df, collation)
+    return ScorecardInputs(c(inputs.work_items), c(inputs.weekly_targets),
+                           c(inputs.unit_forecast), c(inputs.program_actuals))
+
+
 def phase_rows(inputs: ScorecardInputs, params: ReportParams, rules: ProgramRules,
                phase: str, version: str = "v4") -> DataFrame:
     """One phase block (R1-R9) of a version."""

@@ -212,3 +212,21 @@ def test_reference_rules_golden_rows(spark):
     assert got[("Mobile Home Park Electric", "Design")][0] == "BLACK"
     assert got[("ED Cable", "Design")] == ("GREEN", 1.0, "ED Projects")
     assert got[("Zero Program", "Initiation")] == ("GREEN", 1.0, None)
+
+
+def test_server_like_collation(spark):
+    """With the collation option, names match regardless of case and trailing blanks."""
+    from planscore.functions.collation import SERVER_LIKE
+    wi = [work_item("brand#5 ", 8.0, user_status="rdy cncl"),        # exempt program, any case
+          work_item("Brand#10", 2.0, user_status="Rdy Cncl"),        # cancelled, any case
+          work_item("Brand#10", 3.0)]
+    wt = [target("BRAND#5", ytd=8.0), target("brand#10", ytd=3.0)]
+    inp = make_inputs(spark, wi, wt)
+    plain = {(r.program, r.phase): r.completions for r in scorecard(inp, P, R, "v1").collect()}
+    assert plain[("BRAND#5", "Initiation")] == 0.0          # binary: no match
+    coll = dataclasses.replace(R, collation=SERVER_LIKE)
+    sc = scorecard(inp, P, coll, "v1")
+    assert all(t == "string" for c, t in sc.dtypes if c not in ("plan", "completions", "pct_to_plan"))
+    got = {(r.program, r.phase): r.completions for r in sc.collect()}
+    assert got[("BRAND#5", "Initiation")] == 8.0
+    assert got[("brand#10", "Initiation")] == 3.0
