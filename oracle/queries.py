@@ -140,6 +140,11 @@ ORACLE: dict[str, str] = {
         f"WHERE {scope_where()} GROUP BY program"),
     "program_actuals": with_ctes("SELECT * FROM acts", a1_cte(), acts_cte()),
     "program_actuals_streamed": with_ctes("SELECT * FROM acts", a1_cte(), acts_cte()),
+    "program_actuals_two_level": with_ctes("SELECT * FROM acts", a1_cte(), acts_cte()),
+    "rebaseline_inner_distinct": with_ctes("SELECT * FROM reb", reb_nick_cte(), reb_cte()),
+    "business_days_in_month": with_ctes(
+        f"SELECT * FROM calendar WHERE is_business_day AND year(calendar_date) = {GATE_ON.year} "
+        f"AND month(calendar_date) = {GATE_ON.month}"),
     "weekly_targets": with_ctes("SELECT * FROM dot", dot_cte()),
     "nickname_completions": with_ctes(
         "SELECT program, week, month2, month, ytd_completions FROM dot", dot_cte()),
@@ -208,6 +213,7 @@ ORACLE: dict[str, str] = {
     "scorecard_v2": _sc("v2"),
     "scorecard_v3": _sc("v3"),
     "scorecard_v4": _sc("v4"),
+    "scorecard_v4_union_form": _sc("v4"),
     "scorecard_v4_week40": _sc("v4", P_WEEK40),
     "scorecard_v5": _sc("v5"),
     "scorecard_v6": _sc("v4", gate_day=GATE_ON),

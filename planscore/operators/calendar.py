@@ -33,12 +33,18 @@ def nth_business_day_of_week(cal: DataFrame, year: int, n: int = 1) -> DataFrame
             .select("calendar_date", "calendar_week", "business_day_number"))
 
 
+def business_days_in_month(cal: DataFrame, today: dt.date | Column) -> DataFrame:
+    """F8: business days of the month containing ``today`` (a date range, so it prunes)."""
+    t = F.lit(today) if isinstance(today, dt.date) else today
+    return cal.filter(F.col("is_business_day")
+                      & (F.col("calendar_date") >= F.trunc(t, "MM"))
+                      & (F.col("calendar_date") <= F.last_day(t)))
+
+
 def business_day_gate(cal: DataFrame, today: dt.date | Column, n: int = 5) -> DataFrame:
     """J4's subquery: one row when ``today`` is the n-th business day of its month, else none."""
     t = F.lit(today) if isinstance(today, dt.date) else today
-    month = cal.filter(F.col("is_business_day")
-                       & (F.col("calendar_date") >= F.trunc(t, "MM"))
-                       & (F.col("calendar_date") <= F.last_day(t)))
+    month = business_days_in_month(cal, t)
     w = Window.partitionBy("calendar_year", "calendar_month").orderBy("calendar_date")
     return (month.withColumn("business_day_number", F.row_number().over(w))
             .filter((F.col("business_day_number") == n) & (F.col("calendar_date") == t))

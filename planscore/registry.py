@@ -25,7 +25,8 @@ from planscore.operators.grouping import selected_values
 from planscore.params import FIXTURE_RULES, ReportParams
 from planscore.plans import finance, labour
 from planscore.plans.gate import gated_scorecard
-from planscore.plans.scorecard import ScorecardInputs, joined_phase_rows, phase_rows, scorecard
+from planscore.plans.scorecard import (ScorecardInputs, joined_phase_rows, phase_rows, scorecard,
+                                       scorecard_union_form)
 from planscore.session import checkpoint_dir, ensure_conf, materialize
 from planscore.streaming.actuals_rollup import program_actuals_from_rollup, start_rollup_stream
 from planscore.sources import fixtures as fx
@@ -226,6 +227,12 @@ def program_actuals_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["program_actuals_streamed"] = program_actuals_streamed
+QUERIES["business_days_in_month"] = lambda s, d: C.business_days_in_month(_cal(s, d), GATE_ON)
+QUERIES["scorecard_v4_union_form"] = lambda s, d: scorecard_union_form(inputs(s, d), P, R, "v4")
+QUERIES["program_actuals_two_level"] = lambda s, d: A.program_actuals_two_level(
+    A.notification_actuals(_wi(s, d), P, R), P, R)
+QUERIES["rebaseline_inner_distinct"] = lambda s, d: TG.rebaselines_inner_distinct(
+    _uf(s, d), _wt(s, d), P, R)
 
 
 def phase_initiation(spark: SparkSession, sf_dir: str) -> DataFrame:
