@@ -53,6 +53,14 @@ def test_scans_read_only_needed_columns(spark):
     assert "l_extendedprice" not in li and "l_discount" not in li and "l_tax" not in li
 
 
-def test_gate_is_a_subquery_not_a_join(spark):
-    plan = physical(E.queries()["scorecard_v6"](spark, SF))
-    assert "Subquery" in plan
+def test_closed_gate_reads_nothing(spark):
+    plan = physical(E.queries()["gated_report"](spark, SF))
+    assert "FileScan" not in plan and "Scan parquet" not in plan
+
+
+def test_lazy_gate_is_a_subquery_not_a_join(spark):
+    from planscore.plans.gate import gated_scorecard
+    from planscore.registry import P_V6_ON, _cal
+    df = gated_scorecard(inputs(spark, SF), _cal(spark, SF), P_V6_ON, R, decide_first=False)
+    plan = physical(df)
+    assert "Subquery" in plan and "BroadcastNestedLoopJoin" not in plan
