@@ -33,4 +33,8 @@ def selected_values(df: DataFrame, keys: list[str], cols: list[str],
     alts = alts or {}
     aggs = [a for c in cols for a in selected_value_aggs(c)]
     g = df.groupBy(*keys).agg(*aggs)
-    return g.select(*keys, *[selected_value_result(c, alts.get(c)) for c in cols])
+    # Alternates may name other selected columns: resolve plain values first.
+    plain = g.select(*keys, *[selected_value_result(c) for c in cols if c not in alts],
+                     *[F.col(f"__{c}_{x}") for c in alts for x in ("min", "max", "n", "rows")])
+    return plain.select(*keys, *[F.col(c) if c not in alts else
+                                 selected_value_result(c, alts[c]) for c in cols])

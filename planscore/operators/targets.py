@@ -64,14 +64,18 @@ def rebaseline_by_nickname(uf: DataFrame, params: ReportParams,
 
 
 def rebaselines(uf: DataFrame, wt: DataFrame, params: ReportParams,
-                rules: ProgramRules) -> DataFrame:
+                rules: ProgramRules, resum: bool = False) -> DataFrame:
     """Keep rebaselines of programs that have targets, then DISTINCT (program, value).
 
     The report writes an inner join + DISTINCT; since only rebaseline columns are kept, a
-    semi-join + DISTINCT is the same set and never multiplies rows by target rows."""
+    semi-join + DISTINCT is the same set and never multiplies rows by target rows.
+    ``resum=True`` sums the nicknames of a program into one row (the report does not)."""
     reb = rebaseline_by_nickname(uf, params, rules)
     progs = wt.select("program").where(F.col("program").isNotNull())
-    return reb.join(progs, "program", "left_semi").select("program", "rebaseline").distinct()
+    kept = reb.join(progs, "program", "left_semi")
+    if resum:
+        return kept.groupBy("program").agg(F.sum("rebaseline").alias("rebaseline"))
+    return kept.select("program", "rebaseline").distinct()
 
 
 def rebaselines_inner_distinct(uf: DataFrame, wt: DataFrame, params: ReportParams,

@@ -12,9 +12,17 @@ VALUE_COLUMNS = ("category", "period", "actual", "budget", "variance")
 
 
 def variance_colors(fin: DataFrame, keys: list[str]) -> DataFrame:
-    """One colour per group of ``keys``: each input is the group's single value or blank."""
+    """One colour per group of ``keys``: each input is the group's single value or blank.
+
+    If the rows carry a ``forecast`` column, the actual falls back to the group's single
+    forecast when the actual is not single-valued (``SELECTEDVALUE(Actual, Forecast)``)."""
     cols = [c for c in VALUE_COLUMNS if c not in keys]
-    sel = selected_values(fin, keys, cols)
+    alts = {}
+    if "forecast" in fin.columns and "actual" in cols:
+        cols = cols + ["forecast"]
+        alts["actual"] = F.col("forecast")
+    sel = selected_values(fin, keys, cols, alts)
+    cols = [c for c in cols if c != "forecast"]
     return sel.select(*keys, *cols,
                       bi.variance_color(F.col("category"), F.col("period"), F.col("actual"),
                                         F.col("budget"), F.col("variance")).alias("color"))

@@ -112,3 +112,25 @@ def test_tsv_sink_roundtrip(spark, tmp_path):
     back = read_report_tsv(spark, path)
     assert sorted(map(tuple, back.collect()), key=str) == sorted(rows, key=str)
     assert checkpoint_dir(spark)
+
+
+def test_selected_value_falls_back_to_forecast(spark):
+    rows = [("Capital", "EOY", 1.0, 100.0, 2e7, 9.0),     # two actuals, one forecast -> forecast
+            ("Capital", "EOY", 2.0, 100.0, 2e7, 9.0),
+            ("Expense", "YTD", 3.0, 100.0, 0.0, 7.0)]     # single actual -> actual
+    df = spark.createDataFrame(rows, "category string, period string, actual double, budget double, "
+                                     "variance double, forecast double")
+    got = {r.category: (r.actual, r.color) for r in finance.variance_colors(df, ["category", "period"]).collect()}
+    # 9 / 100 >= .02 with variance >= 10M -> red; 3 / 100 >= .02 with a small variance -> amber.
+    assert got == {"Capital": (9.0, "#FF0000"), "Expense": (3.0, "#FFA500")}
+
+
+def test_rebaseline_resum(spark):
+    from planscore.operators.targets import rebaselines
+    from planscore.params import FIXTURE_RULES as R, ReportParams
+    uf = spark.createDataFrame([("M Brand#1 A", "Wk 1 1998", 2.0), ("M Brand#1 B", "Wk 1 1998", 3.0)],
+                               "nickname string, date_range string, rebaseline double")
+    wt = spark.createDataFrame([("Brand#1",)], "program string")
+    kept = sorted(r.rebaseline for r in rebaselines(uf, wt, ReportParams(), R).collect())
+    summed = [tuple(r) for r in rebaselines(uf, wt, ReportParams(), R, resum=True).collect()]
+    assert kept == [2.0, 3.0] and summed == [("Brand#1", 5.0)]
