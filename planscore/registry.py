@@ -107,9 +107,23 @@ def _measure_query(expr_fn) -> Query:
     return run
 
 
-def _gated_sums(s, d):
-    wi = _wi(s, d).filter(FL.report_scope(P, R))
-    return wi
+def _in_scope(s, d):
+    return _wi(s, d).filter(FL.report_scope(P, R))
+
+
+def program_actuals_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 through the incremental rollup: line items arrive as a stream (stream-static joins to
+    the order, part and customer dimensions), the rollup state is written to the shared
+    checkpoint folder, and the program actuals are read from it at the cutoff."""
+    t = tables(spark, sf_dir)
+    root = f"{checkpoint_dir(spark).rstrip('/')}/planscore-stream/{uuid.uuid4().hex}"
+    li = (spark.readStream.schema(t.lineitem.schema)
+          .parquet(f"{t.root}/lineitem.parque[t]"))
+    q = start_rollup_stream(fx.work_items(t, li), P, R, f"{root}/rollup", f"{root}/state")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return program_actuals_from_rollup(spark.read.parquet(f"{root}/rollup"), P, R)
 
 
 QUERIES: dict[str, Query] = {
@@ -120,8 +134,7 @@ QUERIES: dict[str, Query] = {
     "source_finance_rows": _fin,
     "source_labour_by_day": _lab,
     "dim_calendar": _cal,
-    "week_lookup_distinct": lambda s, d: (
-        _wt(s, d).filter(F.col("week") == 30).select("week", "month", "month2").distinct()),
+    "week_lookup_distinct": lambda s, d: fx.week_lookup(tables(s, d)).filter(F.col("week") == 30),
     # filters (F1-F7, F10, F11)
     "filter_tracked": lambda s, d: FL.filter_tracked(_wi(s, d), R),
     "filter_cancelled_exempt": lambda s, d: FL.filter_cancelled_exempt(_wi(s, d), R),
@@ -139,19 +152,24 @@ QUERIES: dict[str, Query] = {
         .select("nickname", TG.normalize_nickname(F.col("nickname"), R).alias("program"))),
     # aggregations (A1-A5) and joins
     "notification_actuals": lambda s, d: A.notification_actuals(_wi(s, d), P, R),
-    "agg_year_gated": lambda s, d: _gated_sums(s, d).groupBy("program").agg(
+    "agg_year_gated": lambda s, d: _in_scope(s, d).groupBy("program").agg(
         *[F.sum(A.year_gated(m, P)).alias(m) for m in
           ("initiation_actuals", "design_actuals", "dependency_actuals", "in_workplan")]),
-    "agg_schedule_8w": lambda s, d: _gated_sums(s, d).groupBy("program").agg(
+    "agg_schedule_8w": lambda s, d: _in_scope(s, d).groupBy("program").agg(
         F.sum(A.schedule_gated(P, R)).alias("schedule_actuals")),
-    "agg_execute_completed": lambda s, d: _gated_sums(s, d).groupBy("program").agg(
+    "agg_execute_completed": lambda s, d: _in_scope(s, d).groupBy("program").agg(
         F.sum(A.execute_gated(P, R)).alias("execute_actuals")),
     "program_actuals": lambda s, d: _acts(s, d),
+    "program_actuals_two_level": lambda s, d: A.program_actuals_two_level(
+        A.notification_actuals(_wi(s, d), P, R), P, R),
+    "program_actuals_streamed": program_actuals_streamed,
     "weekly_targets": lambda s, d: _dot(s, d),
     "nickname_completions": lambda s, d: TG.nickname_completions(_wt(s, d), P, R),
     "schedule_target": lambda s, d: TG.schedule_targets(_wt(s, d), P),
     "rebaseline_by_nickname": lambda s, d: TG.rebaseline_by_nickname(_uf(s, d), P, R),
     "rebaseline_semi": lambda s, d: TG.rebaselines(_uf(s, d), _wt(s, d), P, R),
+    "rebaseline_inner_distinct": lambda s, d: TG.rebaselines_inner_distinct(
+        _uf(s, d), _wt(s, d), P, R),
     "join_left_plan_actual": lambda s, d: _dot(s, d).join(_acts(s, d), "program", "left"),
     "execute_with_external": lambda s, d: A.execute_with_external(_acts(s, d), _dot(s, d), R),
     # measure rules (M2, M4-M9) over the joined phase rows
@@ -167,7 +185,8 @@ QUERIES: dict[str, Query] = {
         lambda raw, a, p, ph: M.rag_threshold(raw, a, P).alias("rag")),
     "rag_black_override": _measure_query(
         lambda raw, a, p, ph: M.rag_threshold(raw, a, P, M.black_override(ph, p, R)).alias("rag")),
-    # windows and the gate
+    # calendar predicate, windows and the gate
+    "business_days_in_month": lambda s, d: C.business_days_in_month(_cal(s, d), GATE_ON),
     "nth_business_day_month": lambda s, d: C.nth_business_day_of_month(_cal(s, d), 5),
     "first_business_day_week": lambda s, d: C.nth_business_day_of_week(_cal(s, d), P.year, 1),
     "gated_report": lambda s, d: gated_scorecard(inputs(s, d), _cal(s, d), P_V6_OFF, R),
@@ -203,37 +222,10 @@ QUERIES: dict[str, Query] = {
     "scorecard_v2": lambda s, d: scorecard(inputs(s, d), P, R, "v2"),
     "scorecard_v3": lambda s, d: scorecard(inputs(s, d), P, R, "v3"),
     "scorecard_v4": lambda s, d: scorecard(inputs(s, d), P, R, "v4"),
+    "scorecard_v4_union_form": lambda s, d: scorecard_union_form(inputs(s, d), P, R, "v4"),
     "scorecard_v4_week40": lambda s, d: scorecard(inputs(s, d), P_WEEK40, R, "v4"),
     "scorecard_v5": lambda s, d: scorecard(inputs(s, d), P_V5, R, "v5"),
     "scorecard_v6": lambda s, d: gated_scorecard(inputs(s, d), _cal(s, d), P_V6_ON, R),
     # sink (S9)
     "sink_tsv_roundtrip": lambda s, d: tsv_roundtrip(scorecard(inputs(s, d), P, R, "v1")),
 }
-
-
-def program_actuals_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A2 through the incremental rollup: line items arrive as a stream (stream-static joins to
-    the order, part and customer dimensions), the rollup state is written to the shared
-    checkpoint folder, and the program actuals are read from it at the cutoff."""
-    t = tables(spark, sf_dir)
-    root = f"{checkpoint_dir(spark).rstrip('/')}/planscore-stream/{uuid.uuid4().hex}"
-    li = (spark.readStream.schema(t.lineitem.schema)
-          .parquet(f"{t.root}/lineitem.parque[t]"))
-    q = start_rollup_stream(fx.work_items(t, li), P, R, f"{root}/rollup", f"{root}/state")
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    return program_actuals_from_rollup(spark.read.parquet(f"{root}/rollup"), P, R)
-
-
-QUERIES["program_actuals_streamed"] = program_actuals_streamed
-QUERIES["business_days_in_month"] = lambda s, d: C.business_days_in_month(_cal(s, d), GATE_ON)
-QUERIES["scorecard_v4_union_form"] = lambda s, d: scorecard_union_form(inputs(s, d), P, R, "v4")
-QUERIES["program_actuals_two_level"] = lambda s, d: A.program_actuals_two_level(
-    A.notification_actuals(_wi(s, d), P, R), P, R)
-QUERIES["rebaseline_inner_distinct"] = lambda s, d: TG.rebaselines_inner_distinct(
-    _uf(s, d), _wt(s, d), P, R)
-
-
-def phase_initiation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return QUERIES["phase_initiation"](spark, sf_dir)
