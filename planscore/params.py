@@ -39,6 +39,14 @@ class ReportParams:
         return cls(week=38, actuals_date=dt.date(2024, 9, 28), rag_min=0.995, rag_max=1.25,
                    output="PDC", year=2024)
 
+    @classmethod
+    def procedure_defaults(cls) -> "ReportParams":
+        """The values the stored procedures actually ran with: their parameters are declared as
+        bare ``DECIMAL`` (scale 0) and ``VARCHAR`` (length 1), so .995 / 1.25 become 1 / 1 and
+        'PDC' becomes 'P'. These reproduce the second golden report."""
+        return cls(week=38, actuals_date=dt.date(2024, 9, 28), rag_min=1.0, rag_max=1.0,
+                   output="P", year=2024)
+
     def cutoff(self) -> Column:
         if self.actuals_date is not None:
             return F.lit(self.actuals_date)

@@ -95,3 +95,10 @@ def test_param_echo(spark):
     import datetime as dt
     r = param_echo(spark, P).collect()
     assert [tuple(x) for x in r] == [(38, dt.date(1998, 9, 28), 0.995, 1.25)]
+
+
+def test_procedure_defaults_are_the_truncated_parameters():
+    p = ReportParams.procedure_defaults()
+    assert (p.rag_min, p.rag_max, p.output) == (1.0, 1.0, "P")
+    r = ReportParams.reference_defaults()
+    assert (r.rag_min, r.rag_max, r.output, r.year, r.week) == (0.995, 1.25, "PDC", 2024, 38)

@@ -64,3 +64,8 @@ def test_lazy_gate_is_a_subquery_not_a_join(spark):
     df = gated_scorecard(inputs(spark, SF), _cal(spark, SF), P_V6_ON, R, decide_first=False)
     plan = physical(df)
     assert "Subquery" in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_nth_business_day_uses_window_group_limit(spark):
+    plan = physical(E.queries()["nth_business_day_month"](spark, SF))
+    assert "WindowGroupLimit" in plan
