@@ -81,10 +81,12 @@ def _variance_sql(keys: list[str]) -> str:
         f"CASE WHEN (count({c}) = count(*) AND min({c}) = max({c})) OR count({c}) = 0 THEN max({c}) END AS {c}"
         for c in cols)
     color = """CASE WHEN period IN ('EOY', 'YTD') AND coalesce(variance, 0E0) >= lim
-                   AND (CASE WHEN coalesce(budget, 0E0) <> 0 THEN abs(coalesce(actual, 0E0) / coalesce(budget, 0E0)) >= 0.02
-                             ELSE coalesce(actual, 0E0) <> 0 END) THEN '#FF0000'
+                   AND (CASE WHEN actual IS NULL THEN false
+                             WHEN coalesce(budget, 0E0) <> 0 THEN abs(actual / coalesce(budget, 0E0)) >= 0.02
+                             ELSE actual <> 0 END) THEN '#FF0000'
               WHEN period IN ('EOY', 'YTD') AND coalesce(variance, 0E0) < lim
-                   AND (CASE WHEN coalesce(budget, 0E0) <> 0 THEN abs(coalesce(actual, 0E0) / coalesce(budget, 0E0)) < 0.02
+                   AND (CASE WHEN actual IS NULL THEN true
+                             WHEN coalesce(budget, 0E0) <> 0 THEN abs(actual / coalesce(budget, 0E0)) < 0.02
                              ELSE false END) THEN '#00FF00'
               ELSE '#FFA500' END"""
     lim = ("CASE WHEN category = 'Capital' THEN 10000000E0 WHEN category IN ('Expense', "

@@ -72,14 +72,17 @@ def variance_limit(category: Column) -> Column:
 
 def variance_color(category: Column, period: Column, actual: Column, budget: Column,
                    variance: Column) -> Column:
-    """B1. Blank values count as 0; actual / 0 is infinite (so the ratio test ``>=`` holds) unless
-    the actual is 0 too (0 / 0: neither test holds). Unlisted categories and periods: amber."""
-    a = F.coalesce(actual, F.lit(0.0))
+    """B1 with DAX arithmetic on blanks: a blank actual makes the ratio blank, which compares as
+    0 (so ``< 0.02`` holds); actual / blank-or-zero budget is infinite (``>= 0.02`` holds) unless
+    the actual is 0 (0 / 0 is NaN: neither test holds). A blank variance compares as 0.
+    Unlisted categories and periods: amber."""
     b = F.coalesce(budget, F.lit(0.0))
     v = F.coalesce(variance, F.lit(0.0))
-    ratio = F.abs(F.try_divide(a, b))
-    big_ratio = F.when(b != 0, ratio >= VARIANCE_RATIO).otherwise(a != 0)
-    small_ratio = F.when(b != 0, ratio < VARIANCE_RATIO).otherwise(F.lit(False))
+    ratio = F.abs(F.try_divide(actual, b))
+    big_ratio = (F.when(actual.isNull(), F.lit(False)).when(b != 0, ratio >= VARIANCE_RATIO)
+                 .otherwise(actual != 0))
+    small_ratio = (F.when(actual.isNull(), F.lit(True)).when(b != 0, ratio < VARIANCE_RATIO)
+                   .otherwise(F.lit(False)))
     limit = variance_limit(category)
     in_period = period.isin(*VARIANCE_PERIODS)
     return (F.when(in_period & (v >= limit) & big_ratio, F.lit(RED_HEX))

@@ -61,17 +61,21 @@ def test_variance_color(spark):
             ("Capital", "MTD", 1.0, 1000.0, 1.0),        # period not listed -> amber
             ("Expense", "EOY", 5.0, 0.0, 6e6),           # budget 0, actual -> infinite -> red
             ("Expense", "EOY", 0.0, 0.0, 1.0),           # 0 / 0 -> amber
-            ("Non-EIE", "YTD", None, None, None),        # blanks -> 0 / 0 -> amber
+            ("Non-EIE", "YTD", None, None, None),        # blank / blank is blank (= 0) -> green
+            ("Non-EIE", "EOY", 0.0, None, None),         # 0 / blank is NaN -> amber
             ("Other", "EOY", 100.0, 1000.0, 2e7)]        # unknown category -> amber
     df = spark.createDataFrame(rows, "category string, period string, actual double, budget double, variance double")
     got = [r.c for r in df.select(bi.variance_color(*[F.col(c) for c in df.columns]).alias("c")).collect()]
-    assert got == ["#FF0000", "#00FF00", "#FFA500", "#FF0000", "#FFA500", "#FFA500", "#FFA500"]
-    # Per visual cell: the two (Expense, EOY) rows disagree, so their selected values are blank.
+    assert got == ["#FF0000", "#00FF00", "#FFA500", "#FF0000", "#FFA500", "#00FF00", "#FFA500",
+                   "#FFA500"]
+    # Per visual cell: the two (Expense, EOY) rows disagree, so their actual and variance are
+    # blank; budget is a single 0. Blank ratio and blank variance compare as 0 -> green.
     per_cell = finance.variance_colors(df.withColumn("line", F.lit("x")), ["line", "category", "period"])
     got = {(r.category, r.period): r.color for r in per_cell.collect()}
     assert got == {("Capital", "EOY"): "#FF0000", ("Capital", "YTD"): "#00FF00",
-                   ("Capital", "MTD"): "#FFA500", ("Expense", "EOY"): "#FFA500",
-                   ("Non-EIE", "YTD"): "#FFA500", ("Other", "EOY"): "#FFA500"}
+                   ("Capital", "MTD"): "#FFA500", ("Expense", "EOY"): "#00FF00",
+                   ("Non-EIE", "YTD"): "#00FF00", ("Non-EIE", "EOY"): "#FFA500",
+                   ("Other", "EOY"): "#FFA500"}
 
 
 def test_period_bucket_month_boundary(spark):
