@@ -62,7 +62,7 @@ SELECT {cols} FROM (
               WHEN (year(month_start) * 12 + month(month_start)) - (year({today}) * 12 + month({today})) < 0 THEN 'Actuals'
               ELSE 'Future' END AS period,
          CASE WHEN strftime(month_start, '%m-%Y') = strftime({today}, '%m-%Y')
-              THEN printf('%.2f%%', {pct} * 100) END AS current_month_label
+              THEN coalesce(printf('%.2f%%', {pct} * 100), '') END AS current_month_label
   FROM (SELECT job_level, CAST(date_trunc('month', calendar_day) AS DATE) AS month_start,
                sum(field_work_time) AS field_work_time, sum(total_hours) AS total_hours,
                sum(non_productive_time) AS non_productive_time, sum(total_ot_hours) AS total_ot_hours,

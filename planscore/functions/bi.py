@@ -58,8 +58,10 @@ def percent_text(x: Column) -> Column:
 
 
 def current_month_label(month_text: Column, pct: Column, today: Column) -> Column:
-    """B2: the formatted percent on rows of the current month, blank (NULL) elsewhere."""
-    return F.when(month_text == month_year_text(today), percent_text(pct))
+    """B2: the formatted percent on rows of the current month, blank (NULL) elsewhere.
+    Formatting a blank percent gives an empty string, as DAX ``FORMAT`` does."""
+    return F.when(month_text == month_year_text(today),
+                  F.coalesce(percent_text(pct), F.lit("")))
 
 
 def variance_limit(category: Column) -> Column:
