@@ -119,7 +119,8 @@ def program_actuals_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = f"{checkpoint_dir(spark).rstrip('/')}/planscore-stream/{uuid.uuid4().hex}"
     li = (spark.readStream.schema(t.lineitem.schema)
           .parquet(f"{t.root}/lineitem.parque[t]"))
-    q = start_rollup_stream(fx.work_items(t, li), P, R, f"{root}/rollup", f"{root}/state")
+    q = start_rollup_stream(fx.work_items(t, li), P, R, f"{root}/rollup", f"{root}/state",
+                            state_partitions=spark.sparkContext.defaultParallelism)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

@@ -95,13 +95,17 @@ def program_actuals_from_rollup(rollup: DataFrame, params: ReportParams,
 
 
 def start_rollup_stream(work_items_stream: DataFrame, params: ReportParams, rules: ProgramRules,
-                        table_path: str, checkpoint_path: str,
-                        available_now: bool = True) -> StreamingQuery:
+                        table_path: str, checkpoint_path: str, available_now: bool = True,
+                        state_partitions: int | None = None) -> StreamingQuery:
     """Keep the rollup table at ``table_path`` current.
 
     Complete output mode rewrites the whole (bounded) rollup each micro-batch; the write is
     idempotent, so a batch replayed after a failure gives the same table. State and progress
-    live under ``checkpoint_path`` (a shared folder)."""
+    live under ``checkpoint_path`` (a shared folder).
+
+    ``state_partitions`` sizes the aggregation state (fixed for the life of the checkpoint; AQE
+    does not resize streaming state). The state is programs x 6 x days keys, so a few dozen
+    partitions serve any data volume; the session's shuffle setting is left as it was."""
     def write(batch: DataFrame, _batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(table_path)
 
@@ -110,4 +114,13 @@ def start_rollup_stream(work_items_stream: DataFrame, params: ReportParams, rule
               .foreachBatch(write))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="1 hour")
-    return writer.start()
+    if state_partitions is None:
+        return writer.start()
+    spark = work_items_stream.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start()   # the query takes its own copy of the session conf here
+    finally:
+        spark.conf.set(key, before)
