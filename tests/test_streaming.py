@@ -61,3 +61,30 @@ def test_streamed_rollup_feeds_scorecard(spark):
                                       program_actuals=program_actuals_from_rollup(rollup, P, R))
     assert bag(scorecard(from_rollup, P, R, "v4")) == bag(scorecard(base, P, R, "v4"))
     assert isinstance(from_rollup, ScorecardInputs)
+
+
+def test_rollup_state_survives_restart(spark, tmp_path):
+    """Two arrivals of line items, with the query stopped and restarted from its checkpoint in
+    between: the restored state plus the new file give the same rollup as one batch run."""
+    t = tables(spark, SF)
+    src, root = str(tmp_path / "lineitem"), f"{checkpoint_dir(spark).rstrip('/')}/test-restart/{uuid.uuid4().hex}"
+    first = t.lineitem.filter("l_orderkey % 2 = 0")
+    second = t.lineitem.filter("l_orderkey % 2 = 1")
+    first.write.parquet(f"{src}/part=1")
+
+    def run_once():
+        li = spark.readStream.schema(t.lineitem.schema).parquet(f"{src}/*")
+        q = start_rollup_stream(fx.work_items(t, li), P, R, f"{root}/rollup", f"{root}/state",
+                                state_partitions=4)
+        q.awaitTermination()
+        assert q.exception() is None
+        return q
+
+    run_once()
+    partial = bag(spark.read.parquet(f"{root}/rollup"))
+    second.write.parquet(f"{src}/part=2")
+    q = run_once()
+    assert q.lastProgress is not None
+    full = bag(spark.read.parquet(f"{root}/rollup"))
+    assert full == bag(actuals_rollup(fx.work_items(t), P, R))
+    assert partial != full
