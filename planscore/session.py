@@ -12,6 +12,9 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Static size estimates use compressed file bytes; parquet expands several-fold in memory.
+    # Without this, a pruned fact scan can look small enough to broadcast.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
 }
 
 
