@@ -27,7 +27,7 @@ from planscore.plans import finance, labour
 from planscore.plans.gate import gated_scorecard
 from planscore.plans.scorecard import (ScorecardInputs, joined_phase_rows, phase_rows, scorecard,
                                        scorecard_union_form)
-from planscore.session import checkpoint_dir, ensure_conf, materialize
+from planscore.session import checkpoint_dir, default_parallelism, ensure_conf, materialize
 from planscore.streaming.actuals_rollup import program_actuals_from_rollup, start_rollup_stream
 from planscore.sources import fixtures as fx
 from planscore.sources.sinks import tsv_roundtrip
@@ -120,7 +120,7 @@ def program_actuals_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = (spark.readStream.schema(t.lineitem.schema)
           .parquet(f"{t.root}/lineitem.parque[t]"))
     q = start_rollup_stream(fx.work_items(t, li), P, R, f"{root}/rollup", f"{root}/state",
-                            state_partitions=spark.sparkContext.defaultParallelism)
+                            state_partitions=default_parallelism(spark))
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

@@ -54,10 +54,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
         pass
     if not d:
         d = tempfile.mkdtemp(prefix="planscore-ckpt-")
-        spark.sparkContext.setCheckpointDir(d)
+        try:
+            spark.sparkContext.setCheckpointDir(d)
+        except Exception:  # no SparkContext handle: the path alone serves `materialize`
+            pass
     return d
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def materialize(df, name: str):
     """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
 
