@@ -6,14 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def selected_value_aggs(col: str, alt: Column | None = None, name: str | None = None
-                        ) -> list[Column]:
+def selected_value_aggs(col: str) -> list[Column]:
     """A7 (DAX ``SELECTEDVALUE``) as algebraic aggregates: the group's value if it holds exactly
-    one distinct value (a blank counts as a value), else ``alt``.
+    one distinct value (a blank counts as a value), else the alternate.
 
     Built from min / max / count only, so it pre-aggregates map-side and a hot group is just a
     larger partial sum. Returns helper aggregates; finish with :func:`selected_value_result`."""
-    name = name or col
+    name = col
     c = F.col(col)
     return [F.min(c).alias(f"__{name}_min"), F.max(c).alias(f"__{name}_max"),
             F.count(c).alias(f"__{name}_n"), F.count(F.lit(1)).alias(f"__{name}_rows")]
