@@ -227,3 +227,14 @@ def calendar(t: Tables) -> DataFrame:
         F.date_format(d, "MM-yyyy").alias("month_year_text"),
         (F.weekday(d) < 5).alias("is_business_day"),
     )
+
+
+def write_inputs(t: Tables, root: str, year: int = FIXTURE_YEAR) -> dict[str, str]:
+    """Store the report's inputs as parquet tables under ``root`` (as a deployment would hold
+    them) and return their paths."""
+    paths = {}
+    for name, df in (("work_items", work_items(t)), ("weekly_targets", weekly_targets(t, year)),
+                     ("unit_forecast", unit_forecast(t)), ("calendar", calendar(t))):
+        paths[name] = f"{root.rstrip('/')}/{name}"
+        df.write.mode("overwrite").parquet(paths[name])
+    return paths
