@@ -21,3 +21,26 @@ def test_v6_gate(spark, tmp_path):
     base = ["--fixture-dir", SF, "--rules", "fixture", "--year", "1998", "--version", "v6"]
     assert run(spark, parse_args(base + ["--as-of", "1998-09-08", "--out", str(tmp_path / "a")])) is None
     assert run(spark, parse_args(base + ["--as-of", "1998-09-07", "--out", str(tmp_path / "b")]))
+
+
+def test_report_job_on_stored_inputs(spark, tmp_path):
+    from collections import Counter
+
+    from planscore.params import FIXTURE_RULES as R
+    from planscore.params import ReportParams
+    from planscore.plans.scorecard import scorecard
+    from planscore.registry import inputs, tables
+    from planscore.sources.fixtures import write_inputs
+    from planscore.sources.sinks import read_report_tsv
+
+    paths = write_inputs(tables(spark, SF), str(tmp_path / "inputs"))
+    stored = ["--work-items", paths["work_items"], "--weekly-targets", paths["weekly_targets"],
+              "--unit-forecast", paths["unit_forecast"], "--calendar", paths["calendar"],
+              "--rules", "fixture", "--year", "1998"]
+    out = run(spark, parse_args(stored + ["--version", "v4", "--actuals-date", "1998-09-28",
+                                          "--out", str(tmp_path / "v4")]))
+    got = Counter(map(tuple, read_report_tsv(spark, out).collect()))
+    want = Counter(map(tuple, scorecard(inputs(spark, SF), ReportParams(), R, "v4").collect()))
+    assert got == want
+    assert run(spark, parse_args(stored + ["--version", "v6", "--as-of", "1998-09-07",
+                                           "--out", str(tmp_path / "v6")]))
