@@ -17,13 +17,21 @@ GATE_OFF = dt.date(1998, 9, 8)
 LABOUR_TODAY = dt.date(2024, 1, 15)
 
 
-def _sc(version, p=P, gate_day=None, phase=None):
+def _sc(version, p=P, gate_day=None, phase=None, gate_sql=None):
     if gate_day is not None:
         p = dataclasses.replace(p, actuals_date=gate_day)
-    gate = nth_business_day_sql(5, dlit(gate_day)) if gate_day else None
+    gate = gate_sql or (nth_business_day_sql(5, dlit(gate_day)) if gate_day else None)
     return scorecard_sql(version, p, R, gate=gate, phase=phase)
 
 
+WEEK_GATE_ON = dt.date(1998, 9, 14)
+WEEK_GATE_SQL = f"""SELECT calendar_date FROM (
+      SELECT calendar_date, row_number() OVER (PARTITION BY calendar_week ORDER BY calendar_date) AS rn
+      FROM calendar WHERE is_business_day AND year(calendar_date) = year({dlit(WEEK_GATE_ON)})
+                          AND calendar_week = weekofyear({dlit(WEEK_GATE_ON)})) c
+    WHERE rn = 1 AND calendar_date = {dlit(WEEK_GATE_ON)}"""
+
+
 def _phase_sql(phase):
     return _sc("v4", phase=phase)
 
@@ -219,5 +227,6 @@ ORACLE: dict[str, str] = {
     "scorecard_v4_week40": _sc("v4", P_WEEK40),
     "scorecard_v5": _sc("v5"),
     "scorecard_v6": _sc("v4", gate_day=GATE_ON),
+    "scorecard_v6_week_gate": _sc("v4", gate_day=WEEK_GATE_ON, gate_sql=WEEK_GATE_SQL),
     "sink_tsv_roundtrip": _sc("v1"),
 }

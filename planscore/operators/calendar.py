@@ -51,6 +51,19 @@ def business_day_gate(cal: DataFrame, today: dt.date | Column, n: int = 5) -> Da
             .select("calendar_date"))
 
 
+def business_day_of_week_gate(cal: DataFrame, today: dt.date | Column, n: int = 1) -> DataFrame:
+    """The week variant of J4: one row when ``today`` is the n-th business day of its calendar
+    week, counted within today's year (days of the same ISO week in the other year do not
+    count)."""
+    t = F.lit(today) if isinstance(today, dt.date) else today
+    days = cal.filter(F.col("is_business_day") & (F.col("calendar_year") == F.year(t))
+                      & (F.col("calendar_week") == F.weekofyear(t)))
+    w = Window.partitionBy("calendar_week").orderBy("calendar_date")
+    return (days.withColumn("business_day_number", F.row_number().over(w))
+            .filter((F.col("business_day_number") == n) & (F.col("calendar_date") == t))
+            .select("calendar_date"))
+
+
 def gated(report: DataFrame, gate: DataFrame) -> DataFrame:
     """Keep the report only if the gate has a row: an uncorrelated EXISTS, planned as a scalar
     subquery filter (no join). Gate off gives an empty result with the report's schema."""

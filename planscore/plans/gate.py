@@ -6,14 +6,24 @@ import dataclasses
 
 from pyspark.sql import DataFrame
 
-from planscore.operators.calendar import business_day_gate, gated
+from planscore.operators.calendar import business_day_gate, business_day_of_week_gate, gated
 from planscore.params import ProgramRules, ReportParams
 from planscore.plans.scorecard import ScorecardInputs, scorecard
 
 
+def run_gate(calendar: DataFrame, today, business_day: int = 5, per: str = "month") -> DataFrame:
+    """The gate's subquery: ``per="month"`` (n-th business day of the month, the procedure's
+    gate) or ``per="week"`` (n-th business day of the calendar week, its alternative)."""
+    if per == "month":
+        return business_day_gate(calendar, today, business_day)
+    if per == "week":
+        return business_day_of_week_gate(calendar, today, business_day)
+    raise ValueError(f"unknown gate period {per!r}")
+
+
 def gated_scorecard(inputs: ScorecardInputs, calendar: DataFrame, params: ReportParams,
                     rules: ProgramRules, business_day: int = 5, version: str = "v6",
-                    decide_first: bool = True) -> DataFrame:
+                    decide_first: bool = True, per: str = "month") -> DataFrame:
     """Empty (same schema) unless ``params.as_of`` is the n-th business day of its month. The
     cutoff defaults to ``as_of`` when ``actuals_date`` is None.
 
@@ -24,7 +34,7 @@ def gated_scorecard(inputs: ScorecardInputs, calendar: DataFrame, params: Report
     if params.as_of is None:
         raise ValueError("gated_scorecard needs params.as_of (the run date)")
     report = scorecard(inputs, params, rules, "v4" if version == "v6" else version)
-    gate = business_day_gate(calendar, params.as_of, business_day)
+    gate = run_gate(calendar, params.as_of, business_day, per)
     if not decide_first:
         return gated(report, gate)
     if gate.isEmpty():

@@ -42,6 +42,8 @@ GATE_ON = dt.date(1998, 9, 7)     # 5th business day of September 1998
 GATE_OFF = dt.date(1998, 9, 8)
 P_V6_ON = dataclasses.replace(P, actuals_date=None, as_of=GATE_ON)
 P_V6_OFF = dataclasses.replace(P, actuals_date=None, as_of=GATE_OFF)
+WEEK_GATE_ON = dt.date(1998, 9, 14)   # Monday: 1st business day of ISO week 38
+P_WEEK_GATE = dataclasses.replace(P, actuals_date=None, as_of=WEEK_GATE_ON)
 LABOUR_TODAY = dt.date(2024, 1, 15)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -227,6 +229,8 @@ QUERIES: dict[str, Query] = {
     "scorecard_v4_week40": lambda s, d: scorecard(inputs(s, d), P_WEEK40, R, "v4"),
     "scorecard_v5": lambda s, d: scorecard(inputs(s, d), P_V5, R, "v5"),
     "scorecard_v6": lambda s, d: gated_scorecard(inputs(s, d), _cal(s, d), P_V6_ON, R),
+    "scorecard_v6_week_gate": lambda s, d: gated_scorecard(inputs(s, d), _cal(s, d), P_WEEK_GATE,
+                                                           R, business_day=1, per="week"),
     # sink (S9)
     "sink_tsv_roundtrip": lambda s, d: tsv_roundtrip(scorecard(inputs(s, d), P, R, "v1")),
 }

@@ -21,7 +21,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 from planscore.params import FIXTURE_RULES, REFERENCE_RULES, ReportParams
-from planscore.operators.calendar import business_day_gate
+from planscore.plans.gate import run_gate
 from planscore.plans.scorecard import VERSIONS, ScorecardInputs, scorecard
 from planscore.session import checkpoint_dir, ensure_conf, materialize
 from planscore.sources import fixtures as fx
@@ -50,6 +50,8 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--rag-max", type=float, default=1.25)
     ap.add_argument("--output-tag", default="PDC")
     ap.add_argument("--business-day", type=int, default=5, help="v6 gate: n-th business day")
+    ap.add_argument("--gate", choices=("month", "week"), default="month",
+                    help="v6 gate: n-th business day of the month or of the week")
     ap.add_argument("--rules", choices=("reference", "fixture"), default="reference")
     ap.add_argument("--owners", nargs=2, metavar=("MAINTENANCE", "PROJECTS"))
     ap.add_argument("--collation", help='e.g. "UTF8_LCASE_RTRIM"')
@@ -77,7 +79,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> str | None:
             raise SystemExit("--calendar is required for v6")
         if params.as_of is None:
             params = dataclasses.replace(params, as_of=dt.date.today())
-        if business_day_gate(calendar, params.as_of, args.business_day).isEmpty():
+        if run_gate(calendar, params.as_of, args.business_day, args.gate).isEmpty():
             return None
     if t is not None:
         inputs = ScorecardInputs(fx.work_items(t), materialize(fx.weekly_targets(t, args.year),

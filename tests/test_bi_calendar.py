@@ -138,3 +138,13 @@ def test_rebaseline_resum(spark):
     kept = sorted(r.rebaseline for r in rebaselines(uf, wt, ReportParams(), R).collect())
     summed = [tuple(r) for r in rebaselines(uf, wt, ReportParams(), R, resum=True).collect()]
     assert kept == [2.0, 3.0] and summed == [("Brand#1", 5.0)]
+
+
+def test_week_gate(spark):
+    from planscore.operators.calendar import business_day_of_week_gate
+    c = cal(spark, dt.date(1998, 12, 20), dt.date(1999, 1, 15))
+    assert business_day_of_week_gate(c, dt.date(1999, 1, 4), 1).count() == 1    # Monday
+    assert business_day_of_week_gate(c, dt.date(1999, 1, 5), 1).count() == 0
+    assert business_day_of_week_gate(c, dt.date(1999, 1, 5), 2).count() == 1
+    # 1999-01-01 (Fri) is in ISO week 53, whose earlier days fall in 1998: first within 1999.
+    assert business_day_of_week_gate(c, dt.date(1999, 1, 1), 1).count() == 1
