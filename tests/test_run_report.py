@@ -44,3 +44,19 @@ def test_report_job_on_stored_inputs(spark, tmp_path):
     assert got == want
     assert run(spark, parse_args(stored + ["--version", "v6", "--as-of", "1998-09-07",
                                            "--out", str(tmp_path / "v6")]))
+
+
+def test_report_views_for_sql(spark):
+    from planscore.params import FIXTURE_RULES as R
+    from planscore.params import ReportParams
+    from planscore.plans.views import register_report_views
+    from planscore.registry import inputs
+
+    names = register_report_views(spark, inputs(spark, SF), ReportParams(), R, prefix="t_")
+    assert "t_scorecard_v4" in names and "t_program_actuals" in names
+    n = spark.sql("SELECT count(*) AS n FROM t_scorecard_v4").collect()[0].n
+    assert n == 225
+    joined = spark.sql("""SELECT s.program, s.completions, a.initiation_actuals
+                          FROM t_scorecard_v1 s JOIN t_program_actuals a USING (program)
+                          WHERE s.phase = 'Initiation'""").collect()
+    assert joined and all(r.completions == (r.initiation_actuals or 0.0) for r in joined)
