@@ -14,7 +14,7 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Static size estimates use compressed file bytes; parquet expands several-fold in memory.
     # Without this, a pruned fact scan can look small enough to broadcast.
-    "spark.sql.sources.fileCompressionFactor": "4.0",
+    "spark.sql.sources.fileCompressionFactor": "8.0",
 }
 
 
@@ -37,8 +37,10 @@ def build_session(master: str = "local[*]", app: str = "planscore",
 
 
 def ensure_conf(spark: SparkSession) -> SparkSession:
+    """Apply :data:`REQUIRED_CONF` to settings the session has not chosen explicitly; a value the
+    cluster or the caller set is left alone."""
     for k, v in REQUIRED_CONF.items():
-        if spark.conf.get(k, None) != v:
+        if spark.conf.get(k, None) is None:
             spark.conf.set(k, v)
     return spark
 
