@@ -19,7 +19,15 @@ from planscore.session import build_session  # noqa: E402
 FACT_COLUMNS = ("l_orderkey", "event_id")   # lineitem, events
 
 
+def final_section(plan: str) -> str:
+    """A finalised adaptive plan prints its final and initial plans; keep the final one."""
+    if "== Final Plan ==" in plan:
+        plan = plan.split("== Final Plan ==", 1)[1].split("== Initial Plan ==", 1)[0]
+    return plan
+
+
 def summarise(plan: str) -> dict:
+    plan = final_section(plan)
     lines = plan.splitlines()
     fact_bcast = 0
     for i, ln in enumerate(lines):
