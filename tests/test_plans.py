@@ -69,3 +69,14 @@ def test_lazy_gate_is_a_subquery_not_a_join(spark):
 def test_nth_business_day_uses_window_group_limit(spark):
     plan = physical(E.queries()["nth_business_day_month"](spark, SF))
     assert "WindowGroupLimit" in plan
+
+
+def test_notification_grain_needs_no_shuffle_of_its_own(spark):
+    """Sort-merge joins (as at scale) leave the work items partitioned by order key, the
+    notification key, so the 19-key aggregation adds no exchange."""
+    s = spark.newSession()
+    s.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    s.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    plan = physical(E.queries()["notification_actuals"](s, SF))
+    exchanges = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln]
+    assert exchanges and not any("program" in ln or "notification" in ln for ln in exchanges)
