@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -45,22 +48,32 @@ def ensure_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@functools.cache
+def _local_scratch() -> str:
+    """One scratch folder per process, for local sessions that name no shared folder (tests)."""
+    return tempfile.mkdtemp(prefix="planscore-ckpt-")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for written intermediates: the cluster's ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) is a scratch folder created and set."""
+    Only a single-JVM session (master ``local`` / ``local[n]``), whose executor threads share the
+    driver's disk, may leave it unset; a scratch folder is then used and the session is left
+    unchanged. On any other master a missing shared folder is an error, because files written to
+    one machine's disk are not seen by the others."""
     d = spark.conf.get("spark.checkpoint.dir", None)
+    if d:
+        return d
     try:
-        d = spark.sparkContext.getCheckpointDir() or d
-    except Exception:  # sessions without a SparkContext handle: the conf is all there is
-        pass
-    if not d:
-        d = tempfile.mkdtemp(prefix="planscore-ckpt-")
-        try:
-            spark.sparkContext.setCheckpointDir(d)
-        except Exception:  # no SparkContext handle: the path alone serves `materialize`
-            pass
-    return d
+        d, master = spark.sparkContext.getCheckpointDir(), spark.sparkContext.master
+    except Exception:  # sessions without a SparkContext handle
+        master = spark.conf.get("spark.master", "")
+    if d:
+        return d
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all "
+                           f"executors share (master is {master!r})")
+    return _local_scratch()
 
 
 def default_parallelism(spark: SparkSession) -> int:
@@ -70,14 +83,27 @@ def default_parallelism(spark: SparkSession) -> int:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+_written: dict[int, list[str]] = {}
+
+
 def materialize(df, name: str):
     """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
 
-    For derived inputs used several times in one plan (each use is pruned differently, so Spark
-    cannot reuse the exchange). The written table cuts the lineage and outlives lost executors."""
-    import uuid
-
+    For derived inputs used several times, and to cut lineage: the written table outlives lost
+    executors. :func:`drop_materialized` removes what a session has written."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/planscore-tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    _written.setdefault(id(spark), []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_materialized(spark: SparkSession) -> int:
+    """Delete the tables :func:`materialize` wrote for this session; DataFrames that read them
+    are unusable afterwards. Returns the number of tables removed."""
+    paths = _written.pop(id(spark), [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    return len(paths)
