@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-from planscore.llm import exact_dedup, line_dedup
+from planscore.llm import (entropy_mix, exact_dedup, line_dedup, minhash_hamming,
+                           secret_ledger, sentencepiece_bpe)
 
 LLM_QUERIES = {
+    "op5_secret_blob_ledger": secret_ledger.op5,
+    "op6_entropy_mix": entropy_mix.op6,
+    "op7_sentencepiece_rounds": sentencepiece_bpe.op7,
     "op8_line_window_dedup": line_dedup.op8,
+    "op9_minhash_hamming": minhash_hamming.op9,
     "op10_exact_tree_merge": exact_dedup.op10,
 }
 
+# The other queries are not expressible in SQL; tests/llm holds them against brute force.
 LLM_ORACLE = {
+    "op5_secret_blob_ledger": secret_ledger.OP5_SQL,
     "op8_line_window_dedup": line_dedup.OP8_SQL,
     "op10_exact_tree_merge": exact_dedup.OP10_SQL,
 }
