@@ -40,6 +40,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from planscore.llm.sampling import text_bytes
 from planscore.session import materialize
 
 CHUNKS, LANES, ERRORS = 8, 4, 1
@@ -145,19 +146,9 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return np.ascontiguousarray(lanes).view(np.int64)
 
 
-def _texts(column) -> tuple[np.ndarray, np.ndarray]:
-    """Byte buffer and offsets of an Arrow string column; null as empty."""
-    column = column.cast(pa.large_string()).fill_null("")
-    n = len(column)
-    _, offs, data = column.buffers()
-    offsets = np.frombuffer(offs, np.int64, n + 1, column.offset * 8)
-    raw = np.zeros(0, np.uint8) if data is None else np.frombuffer(data, np.uint8)
-    return raw, offsets
-
-
 def _batches_of(column, k: int):
     """(first row, shingle sets) of slices of the column of about ``4 * BLOCK`` bytes."""
-    data, offsets = _texts(column)
+    data, offsets = text_bytes(column)
     row, n = 0, len(offsets) - 1
     while row < n:
         end = int(np.searchsorted(offsets, offsets[row] + 4 * BLOCK, side="right")) - 1

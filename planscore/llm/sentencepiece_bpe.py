@@ -325,10 +325,10 @@ def _with_columns(df: DataFrame, fields: list[T.StructField], text_col: str, tab
     src = df.select(*[df[c] for c in df.columns if c not in names or c == text_col])
     keep = [c for c in df.columns if c not in names]
     schema = T.StructType([df.schema[c] for c in keep] + fields)
-    shared = df.sparkSession.sparkContext.broadcast(tables)
+    shared = df.sparkSession.sparkContext.broadcast(vars(tables))
 
     def run(batches):
-        enc = Encoder(shared.value)
+        enc = Encoder(Tables(**shared.value))
         for b in batches:
             texts = [x.as_py() or "" for x in b.column(src_names.index(text_col))]
             made = make(enc, texts)
