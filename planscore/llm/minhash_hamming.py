@@ -12,7 +12,10 @@
 3. Pairs under a key are followed in two steps, so that a group of n copies costs n pairs and not
    n^2: first every class against the key's smallest class; then, once those links have been
    confirmed and joined into components, the pairs of different components that are left. Both
-   steps test the signature distance and set sizes before any set is moved.
+   steps test the signature distance and set sizes before any set is moved. The second step also
+   bounds the symmetric difference from below: each bit in which two classes' bitmaps of hashed
+   shingles differ stands for a shingle that only one of them has. That bound drops no link and
+   refutes most pairs of a large family of edited copies without a look at the sets.
 4. Links are confirmed on full shingle sets (``100 * intersection >= percent * union``), and
    components come from alternating large-star / small-star rounds on the confirmed links.
 
@@ -48,6 +51,7 @@ FOLLOW = 20
 BLOCK = 1 << 21                # bytes hashed at once
 SHINGLES = 1 << 18             # shingles signed at once
 SIG = [f"c{i}" for i in range(CHUNKS)]
+MAP_WORDS = 32                 # 64-bit words of the shingle bitmaps
 
 _random = np.random.Generator(np.random.PCG64(20240607))
 _BYTE = _random.integers(0, 2 ** 64, 256, np.uint64)
@@ -183,39 +187,65 @@ def signature_table(df: DataFrame, id_col: str, text_col: str, k: int) -> DataFr
         run, schema)
 
 
+def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
+    """One row of ``MAP_WORDS`` long integers per set: bit ``h % bits`` for each shingle hash."""
+    out = np.zeros((len(sets), MAP_WORDS * 64), np.uint8)
+    for i, s in enumerate(sets):
+        out[i, s % np.uint64(MAP_WORDS * 64)] = 1
+    return np.packbits(out, axis=1).view(np.int64)
+
+
 def set_table(df: DataFrame, k: int) -> DataFrame:
-    """``id, text, cls`` -> ``cls, members`` (the shingle set), for rows whose set is ``cls``."""
+    """``id, text, cls`` -> ``cls, members`` (the shingle set) and its bitmap, for rows whose set
+    is ``cls``."""
     def run(batches):
         for b in batches:
             want = b.column(2).to_pylist()
             for row, sets in _batches_of(b.column(1), k):
                 good = [i for i, s in enumerate(sets) if _digest(s) == want[row + i]]
+                bits = bitmaps([sets[i] for i in good])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([want[row + i] for i in good], pa.binary()),
-                     pa.array([sets[i].view(np.int64) for i in good], pa.list_(pa.int64()))],
-                    names=["cls", "members"])
-    return df.select("id", "text", "cls").mapInArrow(run, "cls binary, members array<long>")
+                     pa.array([sets[i].view(np.int64) for i in good], pa.list_(pa.int64())),
+                     pa.array(list(bits), pa.list_(pa.int64()))], names=["cls", "members", "map"])
+    return df.select("id", "text", "cls").mapInArrow(
+        run, "cls binary, members array<long>, map array<long>")
 
 
 def index_keys() -> Column:
-    """Keys of a signature: each chunk with every choice of ``ERRORS`` lanes masked out."""
+    """(slot, chunk, key) of a signature: each chunk with one of its lanes masked out; the slot
+    numbers chunk and lane."""
     keys, lane = [], (1 << 64 // LANES) - 1
     for i, chunk in enumerate(SIG):
         for m, gone in enumerate(itertools.combinations(range(LANES), ERRORS)):
             mask = ~sum(lane << (16 * g) for g in gone) & (2 ** 64 - 1)
             mask -= (mask >> 63) << 64
-            keys.append(F.xxhash64(F.lit(i * 64 + m), F.col(chunk).bitwiseAND(F.lit(mask))))
+            slot = F.lit(i * LANES + m)
+            keys.append(F.struct(slot.alias("slot"), F.col(chunk).alias("chunk"), F.xxhash64(
+                slot, F.col(chunk).bitwiseAND(F.lit(mask))).alias("key")))
     return F.array(*keys)
 
 
+def lanes_apart(a: str, b: str, chunk: str) -> Column:
+    """Number of lanes of a chunk in which two signatures (column prefixes) differ."""
+    x = F.col(f"{a}.{chunk}").bitwiseXOR(F.col(f"{b}.{chunk}"))
+    for s in (8, 4, 2, 1):
+        x = x.bitwiseOR(F.shiftrightunsigned(x, s))
+    return F.bit_count(x.bitwiseAND(F.lit(0x0001000100010001)))
+
+
 def distance(a: str, b: str) -> Column:
-    """Number of lanes in which two signatures (column prefixes) differ."""
-    def lanes(x: Column) -> Column:
-        for s in (8, 4, 2, 1):
-            x = x.bitwiseOR(F.shiftrightunsigned(x, s))
-        return F.bit_count(x.bitwiseAND(F.lit(0x0001000100010001)))
-    return reduce(lambda p, q: p + q,
-                  [lanes(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in SIG])
+    return reduce(lambda p, q: p + q, [lanes_apart(a, b, c) for c in SIG])
+
+
+def first_meeting(a: str, b: str) -> Column:
+    """True at one of the keys under which a pair meets: the first chunk with at most one
+    differing lane, and there the masked lane if one differs, else the first lane."""
+    slot = F.col(f"{a}.slot")
+    first = reduce(lambda rest, ic: F.when(lanes_apart(a, b, ic[1]) <= ERRORS, ic[0]).otherwise(
+        rest), reversed(list(enumerate(SIG))), F.lit(CHUNKS))
+    return (((lanes_apart(a, b, "chunk") == ERRORS) | (slot % LANES == 0))
+            & (first == F.floor(slot / LANES)))
 
 
 def alike(a: str, b: str, percent: int) -> Column:
@@ -225,13 +255,28 @@ def alike(a: str, b: str, percent: int) -> Column:
             & (distance(a, b) <= FOLLOW))
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int,
-              percent: int) -> DataFrame:
-    """The pairs (``a, b``: classes) that meet the threshold on full sets."""
-    used = (pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-            .join(classes, "cls").select("cls", F.col("rep").alias("rep_id")))
+def near_enough(a: str, b: str, percent: int) -> Column:
+    """Necessary condition on the bitmaps: with at least ``d`` shingles in only one of two sets
+    of sizes m and n, the similarity is at most ``(m + n - d) / (m + n + d)``."""
+    d = F.aggregate(F.zip_with(f"{a}.map", f"{b}.map", lambda p, q: F.bit_count(p.bitwiseXOR(q))),
+                    F.lit(0), lambda s, v: s + v)
+    both = F.col(f"{a}.n_shingles") + F.col(f"{b}.n_shingles")
+    return 100 * both - percent * both >= (100 + percent) * d
+
+
+def sets_of(classes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """Shingle sets of classes (``cls, rep``), read again from their representative's text."""
+    used = classes.select("cls", F.col("rep").alias("rep_id"))
     texts = docs.join(used.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("rep_id")))
-    sets = materialize(set_table(texts, k), "shingle-sets")
+    return materialize(set_table(texts, k), "shingle-sets")
+
+
+def members_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (``a, b``: classes) that meet the threshold on full sets."""
     both = (pairs.join(sets.select(F.col("cls").alias("a"), F.col("members").alias("sa")), "a")
             .join(sets.select(F.col("cls").alias("b"), F.col("members").alias("sb")), "b")
             .select("a", "b", F.size("sa").cast("long").alias("na"),
@@ -281,41 +326,43 @@ def link_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     classes = materialize(full.groupBy("cls").agg(
         F.min("id").alias("rep"), *[F.min(c).alias(c) for c in ["n_shingles", "nid", *SIG]]),
         "classes")
-    entries = classes.select("nid", F.explode(index_keys()).alias("key"))
+    entries = (classes.select("nid", F.explode(index_keys()).alias("e"))
+               .select("nid", "e.slot", "e.chunk", "e.key"))
     shared = (entries.groupBy("key").agg(F.min("nid").alias("hub"), F.count("*").alias("n"))
               .filter("n > 1"))
     met = materialize(entries.join(shared.select("key", "hub"), "key"), "met")
     sides = classes.select("cls", "nid", "n_shingles", *SIG)
 
-    def pairs_of(ids: DataFrame, name: str) -> DataFrame:
-        return materialize(
-            ids.join(sides.alias("x"), F.col("p") == F.col("x.nid"))
-            .join(sides.alias("y"), F.col("q") == F.col("y.nid"))
-            .filter(alike("x", "y", percent) & (F.col("x.cls") != F.col("y.cls")))
-            .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")), name)
-
-    stars = pairs_of(met.filter("nid != hub")
-                     .select(F.col("nid").alias("p"), F.col("hub").alias("q")).distinct(),
-                     "star-pairs")
-    links = materialize(confirmed(stars, classes, docs, k, percent), "star-links")
+    # step 1: every class against the smallest class of its keys
+    ids = met.filter("nid != hub").select(F.col("nid").alias("p"), F.col("hub").alias("q"))
+    stars = materialize(
+        ids.distinct().join(sides.alias("x"), F.col("p") == F.col("x.nid"))
+        .join(sides.alias("y"), F.col("q") == F.col("y.nid"))
+        .filter(alike("x", "y", percent) & (F.col("x.cls") != F.col("y.cls")))
+        .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")), "star-pairs")
+    sets = sets_of(classes.join(met.select("nid").distinct(), "nid", "left_semi"), docs, k)
+    links = materialize(confirmed(stars, sets.select("cls", "members"), percent), "star-links")
     labels = components(links)
-    # what is left: pairs under a key whose classes are in different components
-    labelled = (classes.join(labels, "cls", "left")
-                .select("cls", "nid", "n_shingles", *SIG,
+
+    # step 2: pairs under a key whose classes are still in different components
+    labelled = (classes.join(sets.select("cls", "map"), "cls").join(labels, "cls", "left")
+                .select("cls", "nid", "n_shingles", *SIG, "map",
                         F.coalesce("label", "cls").alias("label")))
+    labelled = materialize(labelled, "labelled")
     open_keys = (met.join(labelled.select("nid", "label"), "nid").groupBy("key")
                  .agg(F.min("label").alias("l1"), F.max("label").alias("l2"))
                  .filter("l1 != l2").select("key"))
-    left = materialize(met.select("key", "nid").join(open_keys, "key", "left_semi")
+    left = materialize(met.select("key", "slot", "chunk", "nid").join(open_keys, "key", "left_semi")
                        .join(labelled, "nid"), "open-keys")
     x, y = left.alias("x"), left.alias("y")
     rest = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.cls") < F.col("y.cls"))
-                   & (F.col("x.label") != F.col("y.label")) & alike("x", "y", percent))
+                   & (F.col("x.label") != F.col("y.label")) & first_meeting("x", "y")
+                   & alike("x", "y", percent) & near_enough("x", "y", percent))
             .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct())
     tested = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = materialize(rest.join(tested, ["a", "b"], "left_anti"), "rest-pairs")
     if not rest.isEmpty():
-        more = materialize(confirmed(rest, classes, docs, k, percent), "rest-links")
+        more = materialize(confirmed(rest, sets.select("cls", "members"), percent), "rest-links")
         labels = components(links.union(more))
     named = classes.select("cls", "rep").join(labels, "cls", "left").withColumn(
         "label", F.coalesce("label", "cls"))
