@@ -193,8 +193,8 @@ def merge_rounds(t: Tables, sym: np.ndarray, unit: np.ndarray) -> tuple[np.ndarr
     return all_sym[order], all_unit[order]
 
 
-def encode_words(t: Tables, words: list[str]) -> list[np.ndarray]:
-    """Ids of each word with its leading space mark (bare if the word starts with no piece)."""
+def encode_words(t: Tables, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the words, each with its leading space mark, end to end; and where each ends."""
     text = MARK + MARK.join(words)
     code = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
     # words hold no mark, so each mark starts a word
@@ -219,7 +219,7 @@ def encode_words(t: Tables, words: list[str]) -> list[np.ndarray]:
         out[np.repeat(sym < 0, times)] = t.byte_id[np.frombuffer(b"".join(raw), np.uint8)]
         sym = out
     ends = np.searchsorted(word, np.arange(len(words)), side="right")
-    return np.split(sym.astype(np.int32), ends[:-1])
+    return sym.astype(np.int32), ends
 
 
 def decode_ids(t: Tables, ids) -> str:
@@ -235,6 +235,7 @@ class Encoder:
 
     def __init__(self, tables: Tables):
         self.t, self.cache = tables, {}
+        self.names = [str(i) for i in range(tables.size)]
 
     def learn(self, words: set[str]) -> None:
         missing = [w for w in words if w not in self.cache]
@@ -246,10 +247,14 @@ class Encoder:
             chunk.append(w)
             chars += len(w) + 1
             if chars >= NEW_CHARS or k == len(missing) - 1:
-                for word, ids in zip(chunk, encode_words(self.t, chunk)):
-                    self.cache[word] = (",".join(map(str, ids.tolist())), ids.tobytes(),
-                                        b"".join([self.t.surface[i] for i in ids]),
-                                        len(ids), int(ids[0]) == bare)
+                flat, ends = encode_words(self.t, chunk)
+                ids, raw, a = flat.tolist(), flat.tobytes(), 0
+                names = [self.names[i] for i in ids]
+                surface = [self.t.surface[i] for i in ids]
+                for word, b in zip(chunk, ends.tolist()):
+                    self.cache[word] = (",".join(names[a:b]), raw[4 * a:4 * b],
+                                        b"".join(surface[a:b]), b - a, ids[a] == bare)
+                    a = b
                 chunk, chars = [], 0
 
     def entries(self, words: list[str]) -> list[tuple]:
@@ -296,27 +301,45 @@ def blocks(text: str, size: int = BLOCK_CHARS) -> Iterator[list[str]]:
     yield text[at:].split(" ")
 
 
-def _digests(enc: Encoder, text: str) -> tuple[int, str, str]:
-    ids, out, n, sep = hashlib.sha256(), hashlib.sha256(), 0, ""
-    lead = True
-    for words in blocks(text) if text else ():
-        enc.learn(set(words))
-        found = enc.entries(words)
+def encoded(enc: Encoder, texts: list[str]) -> Iterator[Iterator[list[tuple]]]:
+    """Per text its blocks of entries. The words of consecutive texts are learnt together, up to
+    ``BLOCK_CHARS`` characters; a longer text goes block by block."""
+    def one_by_one(text: str) -> Iterator[list[tuple]]:
+        for words in blocks(text):
+            enc.learn(set(words))
+            yield enc.entries(words)
+
+    at = 0
+    while at < len(texts):
+        group, chars = [], 0
+        while at + len(group) < len(texts) and chars + len(texts[at + len(group)]) <= BLOCK_CHARS:
+            text = texts[at + len(group)]
+            group.append(next(blocks(text)) if text else [])
+            chars += len(text)
+        if not group:
+            yield one_by_one(texts[at])
+            at += 1
+            continue
+        enc.learn(set().union(*group))
+        for words in group:
+            yield iter([enc.entries(words)] if words else [])
+        at += len(group)
+
+
+def _digests(parts: Iterator[list[tuple]]) -> tuple[int, str, str]:
+    ids, out, n, sep, lead = hashlib.sha256(), hashlib.sha256(), 0, "", " "
+    for found in parts:
         ids.update((sep + ",".join([e[0] for e in found])).encode())
         raw = b"".join([e[2] for e in found])
         # blocks are cut before a space mark, never inside a character
-        out.update(raw.decode("utf-8", "replace").removeprefix(" " if lead else "").encode())
+        out.update(raw.decode("utf-8", "replace").removeprefix(lead).encode())
         n += sum([e[3] for e in found])
-        sep, lead = ",", False
+        sep, lead = ",", ""
     return n, ids.hexdigest(), out.hexdigest()
 
 
-def _ids(enc: Encoder, text: str) -> np.ndarray:
-    parts = []
-    for words in blocks(text) if text else ():
-        enc.learn(set(words))
-        parts += [e[1] for e in enc.entries(words)]
-    return np.frombuffer(b"".join(parts), np.int32)
+def _ids(parts: Iterator[list[tuple]]) -> np.ndarray:
+    return np.frombuffer(b"".join([e[1] for found in parts for e in found]), np.int32)
 
 
 def _with_columns(df: DataFrame, fields: list[T.StructField], text_col: str, tables, make):
@@ -342,7 +365,7 @@ def _with_columns(df: DataFrame, fields: list[T.StructField], text_col: str, tab
 def encode_digests(df: DataFrame, tables: Tables, text_col: str = "text") -> DataFrame:
     """Adds ``n_tokens``, ``ids_sha256`` (decimal ids, comma-joined) and ``decoded_sha256``."""
     def make(enc, texts):
-        rows = [_digests(enc, x) for x in texts]
+        rows = [_digests(x) for x in encoded(enc, texts)]
         return [pa.array([r[0] for r in rows], pa.int64()),
                 pa.array([r[1] for r in rows], pa.string()),
                 pa.array([r[2] for r in rows], pa.string())]
@@ -354,7 +377,7 @@ def encode_digests(df: DataFrame, tables: Tables, text_col: str = "text") -> Dat
 def encode_ids(df: DataFrame, tables: Tables, text_col: str = "text") -> DataFrame:
     """Adds ``n_tokens`` and ``token_ids`` (array of int)."""
     def make(enc, texts):
-        rows = [_ids(enc, x) for x in texts]
+        rows = [_ids(x) for x in encoded(enc, texts)]
         n = np.array([len(r) for r in rows], np.int64)
         flat = np.concatenate(rows) if rows else np.zeros(0, np.int32)
         offsets = np.r_[0, np.cumsum(n)].astype(np.int32)
