@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from planscore.llm.ordering import numbered
 from planscore.session import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -52,21 +53,6 @@ def source_key(source: Column) -> Column:
     return F.when(source.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), source))
 
 
-def numbered(df: DataFrame, *order: str) -> DataFrame:
-    """``df`` (distinct by ``order``) with ``position`` 0, 1, ... in that order, without a
-    single-task sort: positions inside range partitions plus the partitions' offsets."""
-    parts = materialize(df.repartitionByRange(*order)
-                        .withColumn("_pid", F.spark_partition_id()), "numbered")
-    sizes = parts.groupBy("_pid").agg(F.count("*").alias("_n"))
-    before = sizes.alias("a").join(F.broadcast(sizes.select(  # one row per partition
-        F.col("_pid").alias("_p"), F.col("_n").alias("_m"))), F.col("_p") < F.col("_pid"),
-        "left").groupBy("_pid").agg(F.coalesce(F.sum("_m"), F.lit(0)).alias("_off"))
-    inside = F.row_number().over(W.partitionBy("_pid").orderBy(*order)) - 1
-    return (parts.withColumn("_i", inside).join(before, "_pid")
-            .withColumn("position", F.col("_i") + F.col("_off"))
-            .drop("_pid", "_i", "_off"))
-
-
 def source_targets(sizes: DataFrame, weights: Sequence[float] = (5, 2, 1),
                    share: float = 1.5, cap: float = 2.0) -> DataFrame:
     """``sizes``: key, size, docs per source. Adds ``weight`` (cycling in key order) and
@@ -74,7 +60,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = (5, 2, 1),
     size; what a capped source leaves is dealt out again by weight until none is above."""
     w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]),
                      (F.col("position") % len(weights) + 1).cast("int"))
-    table = materialize(numbered(sizes, "key").withColumn("weight", w), "source-weights")
+    table = materialize(numbered(sizes, F.col("key")).withColumn("weight", w), "source-weights")
     total = table.agg(F.sum("size")).first()[0] or 0
     level, capped = 0.0, -1
     # water level: every pass caps more sources; two sums and a count reach the driver

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from planscore.llm import (entropy_mix, exact_dedup, line_dedup, minhash_hamming,
-                           secret_ledger, sentencepiece_bpe)
+from planscore.llm import (entropy_mix, exact_dedup, iblt_fingerprint, language_id, line_dedup,
+                           minhash_hamming, secret_ledger, sentencepiece_bpe, toxicity)
 
 LLM_QUERIES = {
+    "op1_language_byte_cnn": language_id.op1,
+    "op3_iblt_fingerprint": iblt_fingerprint.op3,
+    "op4_toxicity_automaton": toxicity.op4,
     "op5_secret_blob_ledger": secret_ledger.op5,
     "op6_entropy_mix": entropy_mix.op6,
     "op7_sentencepiece_rounds": sentencepiece_bpe.op7,
