@@ -201,14 +201,16 @@ def mix_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                source_col: str = "source", **kw) -> DataFrame:
     """The mix itself: the input's rows, each as often as it has copies. Rows repeated exactly
     cannot be told apart; each takes the mean of their copies, rounded."""
-    rates = (mix_rates(df, id_col, text_col, source_col, **kw)
-             .groupBy("id", "h", "key").agg(F.round(F.avg("copies")).cast("int").alias("_copies"))
-             .filter("_copies > 0"))
-    keyed = df.withColumns({"_h": F.xxhash64(text_col), "_key": source_key(F.col(source_col))})
-    out = keyed.join(rates.hint("shuffle_hash"), F.col("_h").eqNullSafe(F.col("h"))
-                     & F.col(id_col).eqNullSafe(F.col("id")) & (F.col("_key") == F.col("key")))
+    rates = (mix_rates(df, id_col, text_col, source_col, **kw).groupBy("id", "h", "key")
+             .agg(F.round(F.avg("copies")).cast("int").alias("_copies")).filter("_copies > 0")
+             .select(F.col("id").alias("_m_id"), F.col("h").alias("_m_h"),
+                     F.col("key").alias("_m_key"), "_copies"))
+    out = df.join(rates.hint("shuffle_hash"),
+                  F.xxhash64(text_col).eqNullSafe(F.col("_m_h"))
+                  & F.col(id_col).eqNullSafe(F.col("_m_id"))
+                  & (source_key(F.col(source_col)) == F.col("_m_key")))
     times = F.explode(F.sequence(F.lit(1), F.col("_copies")))
-    return out.select(*[df[c] for c in df.columns], times.alias("_t")).drop("_t")
+    return out.select(*[df[c] for c in df.columns], times.alias("_m_copy")).drop("_m_copy")
 
 
 def op6(spark, sf_dir: str) -> DataFrame:

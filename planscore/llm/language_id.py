@@ -140,22 +140,23 @@ def padded(raw: bytes) -> np.ndarray:
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang",
         docs_per_label: int = SAMPLE_DOCS) -> ByteCnn | None:
     """Train on a bounded sample of the labelled rows outside the held-out fold."""
-    ids = bounded_sample(df.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")),
-                         "label", "id", docs_per_label)
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+                     F.col(label_col).alias("label"))
+    ids = bounded_sample(rows.select("id", "label"), "label", "id", docs_per_label)
+    text = F.coalesce("text", F.lit(""))
     # windows at hashed places of the whole text
     starts = F.transform(F.sequence(F.lit(1), F.lit(SAMPLE_WINDOWS)), lambda i: F.pmod(
-        F.xxhash64(F.col(id_col), i), F.greatest(F.length(text) - WINDOW // 2, F.lit(1))) + 1)
+        F.xxhash64("id", i), F.greatest(F.length(text) - WINDOW // 2, F.lit(1))) + 1)
     cuts = F.array_distinct(F.transform(starts, lambda s: F.substr(
         text, s.cast("int"), F.lit(WINDOW))))
-    picked = (df.filter(F.col(label_col).isNotNull() & ~held_out(F.col(id_col)))
+    picked = (rows.filter(F.col("label").isNotNull() & ~held_out(F.col("id")))
               .join(F.broadcast(ids.select("id")),           # docs_per_label rows per label
-                    F.col(id_col) == F.col("id"), "left_semi")
-              .select(F.col(label_col).alias("label"), F.explode(cuts).alias("cut")))
-    rows = sorted((r.label, r.cut) for r in picked.distinct().collect() if r.cut)
-    if not rows:
+                    "id", "left_semi")
+              .select("label", F.explode(cuts).alias("cut")))
+    known = sorted((r.label, r.cut) for r in picked.distinct().collect() if r.cut)
+    if not known:
         return None
-    return train(np.stack([padded(c.encode()) for _, c in rows]), [x for x, _ in rows])
+    return train(np.stack([padded(c.encode()) for _, c in known]), [x for x, _ in known])
 
 
 def predict_column(net: ByteCnn, column) -> tuple[np.ndarray, np.ndarray]:
@@ -179,9 +180,10 @@ def predict_column(net: ByteCnn, column) -> tuple[np.ndarray, np.ndarray]:
     return total.argmax(axis=1), total.max(axis=1)
 
 
-def identify(df: DataFrame, net: ByteCnn | None, text_col: str = "text") -> DataFrame:
-    """Adds ``lang_pred`` and ``score``."""
-    keep = [c for c in df.columns if c not in ("lang_pred", "score")]
+def identify(df: DataFrame, net: ByteCnn | None, text_col: str = "text",
+             pred_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
+    """Adds the prediction and its score."""
+    keep = [c for c in df.columns if c not in (pred_col, score_col)]
     shared = df.sparkSession.sparkContext.broadcast(net and vars(net))
     at = keep.index(text_col)
 
@@ -200,9 +202,9 @@ def identify(df: DataFrame, net: ByteCnn | None, text_col: str = "text") -> Data
                 score[known] = np.minimum(p[known], 1.0)
             yield pa.RecordBatch.from_arrays(
                 b.columns + [pa.array(name, pa.string()), pa.array(score)],
-                names=keep + ["lang_pred", "score"])
-    schema = df.select(*[df[c] for c in keep]).schema.add("lang_pred", "string").add(
-        "score", "double")
+                names=keep + [pred_col, score_col])
+    schema = df.select(*[df[c] for c in keep]).schema.add(pred_col, "string").add(
+        score_col, "double")
     return df.select(*[df[c] for c in keep]).mapInArrow(run, schema)
 
 

@@ -338,10 +338,6 @@ def _digests(parts: Iterator[list[tuple]]) -> tuple[int, str, str]:
     return n, ids.hexdigest(), out.hexdigest()
 
 
-def _ids(parts: Iterator[list[tuple]]) -> np.ndarray:
-    return np.frombuffer(b"".join([e[1] for found in parts for e in found]), np.int32)
-
-
 def _with_columns(df: DataFrame, fields: list[T.StructField], text_col: str, tables, make):
     """``df`` plus the fields that ``make(encoder, texts)`` returns as Arrow arrays."""
     names = {f.name for f in fields}
@@ -374,16 +370,25 @@ def encode_digests(df: DataFrame, tables: Tables, text_col: str = "text") -> Dat
     return _with_columns(df, fields, text_col, tables, make)
 
 
-def encode_ids(df: DataFrame, tables: Tables, text_col: str = "text") -> DataFrame:
-    """Adds ``n_tokens`` and ``token_ids`` (array of int)."""
+def encode_decode(df: DataFrame, tables: Tables, text_col: str = "text") -> DataFrame:
+    """Adds ``n_tokens``, ``token_ids`` and ``decoded``, the text that the ids decode to."""
     def make(enc, texts):
-        rows = [_ids(x) for x in encoded(enc, texts)]
-        n = np.array([len(r) for r in rows], np.int64)
-        flat = np.concatenate(rows) if rows else np.zeros(0, np.int32)
-        offsets = np.r_[0, np.cumsum(n)].astype(np.int32)
-        return [pa.array(n), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))]
+        sizes, flat, back = [], [], []
+        for parts in encoded(enc, texts):
+            found = [e for block in parts for e in block]
+            raw = b"".join([e[1] for e in found])
+            sizes.append(len(raw) // 4)
+            flat.append(raw)
+            back.append(b"".join([e[2] for e in found]).decode("utf-8", "replace")
+                        .removeprefix(" "))
+        ids = np.frombuffer(b"".join(flat), np.int32)
+        offsets = np.r_[0, np.cumsum(sizes)].astype(np.int32)
+        return [pa.array(sizes, pa.int64()),
+                pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids)),
+                pa.array(back, pa.string())]
     fields = [T.StructField("n_tokens", T.LongType()),
-              T.StructField("token_ids", T.ArrayType(T.IntegerType()))]
+              T.StructField("token_ids", T.ArrayType(T.IntegerType())),
+              T.StructField("decoded", T.StringType())]
     return _with_columns(df, fields, text_col, tables, make)
 
 

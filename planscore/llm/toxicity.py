@@ -398,9 +398,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
              .agg(F.count("*").alias("n")).collect()}                     # two rows
     ids = bounded_sample(known, "toxic", "lid", docs_per_label)
     # docs_per_label ids per label; several rows of one id all count
-    sample = (docs.join(F.broadcast(ids), F.col(id_col) == F.col("lid"))
-              .select(F.col("lid").alias("id"), "toxic",
-                      F.coalesce(F.col(text_col), F.lit("")).alias("text")))
+    texts = docs.select(F.col(id_col).alias("id"),
+                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    sample = texts.join(F.broadcast(ids), F.col("id") == F.col("lid")).select(
+        "id", "toxic", "text")
     sample = materialize(sample.withColumn("cluster", cluster_of(F.col("text"))),
                          "toxicity-sample")
     toxic, clean = sample.agg(
