@@ -235,7 +235,7 @@ class Scorer:
         state = a.step[1, cls[start]]
         alive = np.flatnonzero(state)
         at, state = start[alive] + 1, state[alive]
-        done_word, done_state = [], []
+        done_word, done_state = [alive[:0]], [state[:0]]
         while len(alive):
             over = at >= end[alive]
             done_word.append(alive[over])
