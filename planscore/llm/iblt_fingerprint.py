@@ -179,8 +179,10 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id",
     before = order.select(F.pmod(F.col("position") + 1, F.lit(max(total, 1))).alias("position"),
                           F.col("k1").alias("p1"), F.col("k2").alias("p2"),
                           F.floor(F.col("n") / 3).cast("int").alias("take"))
-    place_of = order.select(*KEY, "position", "n").join(before, "position").drop("position")
-    own = docs.join(place_of.hint("shuffle_hash"), list(KEY))
+    place_of = order.select(*KEY, "id", "position", "n").join(before, "position").drop(
+        "position")
+    # both uses below read the same columns of the texts, so one shuffle of them serves both
+    own = docs.drop("id").join(place_of.hint("shuffle_hash"), list(KEY))
     heads = own.select(F.col("p1").alias("k1"), F.col("p2").alias("k2"),
                        F.substr("text", F.lit(1), F.col("take")).alias("head"),
                        digests(F.col("text")).alias("next"))
