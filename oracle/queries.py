@@ -5,16 +5,18 @@ from __future__ import annotations
 import dataclasses
 import datetime as dt
 
-from oracle import (P, R, a1_cte, acts_cte, classify_sql, dlit, dot_cte, execute_gate,
-                    nickname_case, nth_business_day_sql, pct_sql, q, qlist, rag_sql, reb_cte,
-                    reb_nick_cte, report_ctes, sched_cte, schedule_gate, scope_where,
-                    scorecard_sql, wdot_cte, with_ctes, year_gate)
+from oracle import (MEASURES, P, R, TOTAL_NAMES, classify_sql, dlit, external_cte, gated_cte,
+                    lookahead_cte, nickname_rebaseline_cte, nickname_sql, notification_cte,
+                    nth_business_day_sql, pct_sql, q, qlist, rag_sql, rebaseline_cte, report_ctes,
+                    scope_where, scorecard_sql, targets_cte, total, totals_cte, with_ctes)
 
 P_WEEK40 = dataclasses.replace(P, week=40)
 P_UNIT = dataclasses.replace(P, rag_min=1.0, rag_max=1.0)
 GATE_ON = dt.date(1998, 9, 7)
 GATE_OFF = dt.date(1998, 9, 8)
 LABOUR_TODAY = dt.date(2024, 1, 15)
+CALENDAR_TODAY = dt.date(1995, 6, 15)
+P_V5 = dataclasses.replace(P, actuals_date=dt.date(1998, 8, 24))
 
 
 def _sc(version, p=P, gate_day=None, phase=None, gate_sql=None):
@@ -82,12 +84,17 @@ ROLE_TARGET_SQL = ("CASE WHEN job_level = 'Supervisor' THEN 0.5E0 WHEN job_level
                    "WHEN job_level = 'Senior Leader' THEN 0.15E0 END")
 
 
-def _variance_sql(keys: list[str]) -> str:
+def _variance_sql(keys: list[str], forecast: str | None = None) -> str:
+    """``forecast``: an expression over the keys that stands in for an actual that is not one
+    value."""
     cols = [c for c in ("category", "period", "actual", "budget", "variance") if c not in keys]
     k = ", ".join(keys)
     sel = ", ".join(
         f"CASE WHEN (count({c}) = count(*) AND min({c}) = max({c})) OR count({c}) = 0 THEN max({c}) END AS {c}"
         for c in cols)
+    if forecast:
+        sel = sel.replace("THEN max(actual) END AS actual",
+                          f"THEN max(actual) ELSE {forecast} END AS actual")
     color = """CASE WHEN period IN ('EOY', 'YTD') AND coalesce(variance, 0E0) >= lim
                    AND (CASE WHEN actual IS NULL THEN false
                              WHEN coalesce(budget, 0E0) <> 0 THEN abs(actual / coalesce(budget, 0E0)) >= 0.02
@@ -106,6 +113,32 @@ SELECT {k}, {', '.join(cols)}, {color} AS color FROM (
 
 WI = "SELECT * FROM work_items"
 
+
+def _with_texts(report: str) -> str:
+    """The report with its numbers as printed: plain decimals without trailing zeros."""
+    texts = ", ".join(
+        f"regexp_replace(CAST(CAST({c} AS DECIMAL(38, 10)) AS VARCHAR), '[.]?0+$', '') AS {c}_text"
+        for c in ("plan", "completions", "pct_to_plan"))
+    return f"SELECT *, {texts} FROM ({report}) printed"
+
+
+def _totals(*measures: str) -> str:
+    return with_ctes("SELECT program, " + ", ".join(f"{total(m)} AS {m}" for m in measures)
+                     + " FROM facts GROUP BY program", gated_cte())
+
+
+def _gate_counts_sql() -> str:
+    days = ", ".join(
+        f"CAST(sum(CASE WHEN EXISTS ({nth_business_day_sql(5, dlit(day))}) THEN 1 ELSE 0 END) "
+        f"AS BIGINT) AS {name}" for name, day in (("n_open", GATE_ON), ("n_closed", GATE_OFF)))
+    return with_ctes(f"SELECT month, count(*) AS n_rows, {days} FROM weekly_targets GROUP BY month")
+
+
+def _bucket_sql(day: str, today) -> str:
+    return (f"CASE sign(datediff('month', {dlit(today)}, {day})) WHEN 0 THEN 'This Month' "
+            f"WHEN -1 THEN 'Actuals' ELSE 'Future' END")
+
+
 ORACLE: dict[str, str] = {
     "source_work_items": with_ctes(WI),
     "source_weekly_targets": with_ctes("SELECT * FROM weekly_targets"),
@@ -114,7 +147,12 @@ ORACLE: dict[str, str] = {
     "source_labour_by_day": with_ctes("SELECT * FROM labour_by_day"),
     "dim_calendar": with_ctes("SELECT * FROM calendar"),
     "week_lookup_distinct": with_ctes(
-        "SELECT DISTINCT week, month, month2 FROM weekly_targets WHERE week = 30"),
+        f"""SELECT DISTINCT week, month, month2, date_range FROM weekly_targets JOIN (
+        SELECT week, month, min(d) || ' - ' || max(d) AS date_range
+        FROM (SELECT CAST(unnest(generate_series(DATE '{P.year}-01-01', DATE '{P.year}-12-31',
+                                                 INTERVAL 1 DAY)) AS DATE) AS d,
+                     CAST(weekofyear(d) AS INT) AS week, CAST(month(d) AS INT) AS month) days
+        GROUP BY week, month) s USING (week, month) WHERE week = {P.week}"""),
     "filter_tracked": with_ctes(f"{WI} WHERE program IS NOT NULL AND program <> {q(R.untracked)}"),
     "filter_cancelled_exempt": with_ctes(
         f"{WI} WHERE (user_status NOT LIKE '%CNCL%' AND program <> {q(R.cancel_exempt)}) "
@@ -125,8 +163,7 @@ ORACLE: dict[str, str] = {
         f"AND program IN ({qlist(R.reference_cohort)}))"),
     "cohort_semi": with_ctes(f"{WI} WHERE program IN ({qlist(R.reference_cohort)})"),
     "cohort_anti": with_ctes(
-        f"{WI} w WHERE NOT EXISTS (SELECT 1 FROM (VALUES {', '.join(f'({q(x)})' for x in R.reference_cohort)}) "
-        f"c(program) WHERE c.program = w.program)"),
+        f"{WI} WHERE program NOT IN ({qlist(R.reference_cohort)})"),
     "filter_label_year": with_ctes(f"SELECT * FROM unit_forecast WHERE date_range LIKE '%{P.year}%'"),
     "filter_week": with_ctes(f"SELECT * FROM weekly_targets WHERE week = {P.week} AND program IS NOT NULL"),
     "filter_week_lookahead": with_ctes(
@@ -135,40 +172,30 @@ ORACLE: dict[str, str] = {
         f"SELECT program, {classify_sql(R)} FROM (SELECT DISTINCT program FROM work_items "
         f"WHERE program IS NOT NULL AND program <> {q(R.untracked)}) d"),
     "normalize_nickname": with_ctes(
-        f"SELECT nickname, {nickname_case('nickname', R)} AS program "
+        f"SELECT nickname, {nickname_sql('nickname', R)} AS program "
         f"FROM (SELECT DISTINCT nickname FROM unit_forecast) d"),
-    "notification_actuals": with_ctes("SELECT * FROM a1", a1_cte()),
-    "agg_year_gated": with_ctes(
-        "SELECT program, " + ", ".join(f"sum({year_gate(m)}) AS {m}" for m in (
-            "initiation_actuals", "design_actuals", "dependency_actuals", "in_workplan"))
-        + f" FROM work_items WHERE {scope_where()} GROUP BY program"),
-    "agg_schedule_8w": with_ctes(
-        f"SELECT program, sum({schedule_gate()}) AS schedule_actuals FROM work_items "
-        f"WHERE {scope_where()} GROUP BY program"),
-    "agg_execute_completed": with_ctes(
-        f"SELECT program, sum({execute_gate()}) AS execute_actuals FROM work_items "
-        f"WHERE {scope_where()} GROUP BY program"),
-    "program_actuals": with_ctes("SELECT * FROM acts", a1_cte(), acts_cte()),
-    "program_actuals_streamed": with_ctes("SELECT * FROM acts", a1_cte(), acts_cte()),
-    "program_actuals_two_level": with_ctes("SELECT * FROM acts", a1_cte(), acts_cte()),
-    "rebaseline_inner_distinct": with_ctes("SELECT * FROM reb", reb_nick_cte(), reb_cte()),
+    "notification_actuals": with_ctes("SELECT * FROM a1", gated_cte(), notification_cte()),
+    "agg_year_gated": _totals("initiation_actuals", "design_actuals", "dependency_actuals",
+                              "in_workplan"),
+    "agg_schedule_8w": _totals("schedule_actuals"),
+    "agg_execute_completed": _totals("execute_actuals"),
+    **{k: with_ctes("SELECT * FROM acts", gated_cte(), totals_cte())
+       for k in ("program_actuals", "program_actuals_streamed", "program_actuals_two_level")},
+    **{k: with_ctes("SELECT * FROM reb", nickname_rebaseline_cte(), rebaseline_cte())
+       for k in ("rebaseline_semi", "rebaseline_inner_distinct")},
     "business_days_in_month": with_ctes(
         f"SELECT * FROM calendar WHERE is_business_day AND year(calendar_date) = {GATE_ON.year} "
         f"AND month(calendar_date) = {GATE_ON.month}"),
-    "weekly_targets": with_ctes("SELECT * FROM dot", dot_cte()),
+    "weekly_targets": with_ctes("SELECT * FROM dot", targets_cte()),
     "nickname_completions": with_ctes(
-        "SELECT program, week, month2, month, ytd_completions FROM dot", dot_cte()),
-    "schedule_target": with_ctes("SELECT * FROM sched", sched_cte()),
-    "rebaseline_by_nickname": with_ctes("SELECT * FROM reb_nick", reb_nick_cte()),
-    "rebaseline_semi": with_ctes("SELECT * FROM reb", reb_nick_cte(), reb_cte()),
+        "SELECT program, week, month2, month, ytd_completions FROM dot", targets_cte()),
+    "schedule_target": with_ctes("SELECT * FROM sched", lookahead_cte()),
+    "rebaseline_by_nickname": with_ctes("SELECT * FROM reb_nick", nickname_rebaseline_cte()),
     "join_left_plan_actual": with_ctes(
-        "SELECT dot.*, act.mega_process, act.owner, act.process, act.initiation_actuals, "
-        "act.design_actuals, act.dependency_actuals, act.schedule_actuals, "
-        "act.execute_actuals_without_external, act.total_in_workplan "
-        "FROM dot LEFT JOIN acts act ON dot.program = act.program",
-        a1_cte(), acts_cte(), dot_cte()),
-    "execute_with_external": with_ctes("SELECT * FROM wdot", a1_cte(), acts_cte(), dot_cte(),
-                                       wdot_cte()),
+        "SELECT * FROM dot LEFT JOIN acts USING (program)",
+        gated_cte(), totals_cte(), targets_cte()),
+    "execute_with_external": with_ctes("SELECT * FROM wdot", gated_cte(), totals_cte(),
+                                       targets_cte(), external_cte()),
     "plan_rounding": _measure(_frac_plan(), "plan"),
     "completions_rounding": _measure(
         f"CASE WHEN dot.program = {q(R.fractional_program)} THEN round(coalesce(actual, 0E0), 2) "
@@ -189,6 +216,23 @@ ORACLE: dict[str, str] = {
         "SELECT calendar_date, calendar_week, CAST(rn AS INT) AS business_day_number FROM ("
         "SELECT *, row_number() OVER (PARTITION BY calendar_week ORDER BY calendar_date) AS rn "
         f"FROM calendar WHERE is_business_day AND calendar_year = {P.year}) c WHERE rn = 1"),
+    "gate_exists_counts": _gate_counts_sql(),
+    "selected_value_cells": with_ctes(
+        "SELECT line, period, " + ", ".join(
+            f"if(count(DISTINCT coalesce(CAST({c} AS VARCHAR), 'blank')) = 1, any_value({c}), NULL) "
+            f"AS {c}" for c in ("actual", "budget", "variance"))
+        + " FROM finance_rows GROUP BY line, period"),
+    "period_bucket_calendar": with_ctes(
+        f"SELECT calendar_date, {_bucket_sql('calendar_date', CALENDAR_TODAY)} AS period "
+        "FROM calendar"),
+    "month_label_calendar": with_ctes(
+        "SELECT calendar_date, month_year_text, CASE WHEN calendar_year = 1995 AND "
+        "calendar_month = 6 THEN CASE WHEN day(calendar_date) = 13 THEN '' ELSE "
+        "printf('%.2f%%', day(calendar_date) / 31.0 * 100) END END AS current_month_label "
+        "FROM calendar"),
+    "variance_color_forecast": _variance_sql(
+        ["category", "period"], "CASE category WHEN 'Capital' THEN 1.2e7 WHEN 'Expense' THEN 6e6 "
+        "END"),
     "gated_report": _sc("v4", gate_day=GATE_OFF),
     "selected_value": with_ctes(
         "SELECT category, period, " + ", ".join(
@@ -225,8 +269,8 @@ ORACLE: dict[str, str] = {
     "scorecard_v4": _sc("v4"),
     "scorecard_v4_union_form": _sc("v4"),
     "scorecard_v4_week40": _sc("v4", P_WEEK40),
-    "scorecard_v5": _sc("v5"),
+    "scorecard_v5": _sc("v5", P_V5),
     "scorecard_v6": _sc("v4", gate_day=GATE_ON),
     "scorecard_v6_week_gate": _sc("v4", gate_day=WEEK_GATE_ON, gate_sql=WEEK_GATE_SQL),
-    "sink_tsv_roundtrip": _sc("v1"),
+    "sink_tsv_roundtrip": _with_texts(_sc("v1")),
 }

@@ -37,7 +37,8 @@ def year_gated(measure: str, params: ReportParams) -> Column:
 def schedule_gated(params: ReportParams, rules: ProgramRules) -> Column:
     """Scheduled within eight weeks of the cutoff, or done in the year; the reference-date
     cohort counts completion by reference date instead of report date."""
-    soon = F.col("click_end_date") <= F.date_add(params.cutoff(), 56)
+    # by date: a time of day on the last day of the window still counts
+    soon = F.col("click_end_date").cast("date") <= F.date_add(params.cutoff(), 56)
     cohort = F.col("program").isin(*rules.reference_cohort)
     this_year = F.col("reporting_year") == params.year
     return (F.when((soon | in_year("report_date", params.year)) & ~cohort & this_year,
@@ -89,6 +90,7 @@ def classify(rules: ProgramRules) -> list[Column]:
 
 def _by_cutoff(out_col: str, value: Column, params: ReportParams) -> Column:
     # No ELSE: NULL when nothing qualifies (kept distinct from 0 until the report coalesces).
+    # Phase-out columns are dates (FIXTURES.md §1); only the CLICK end may carry a time of day.
     return F.when(F.col(out_col) <= params.cutoff(), value)
 
 

@@ -75,9 +75,10 @@ def cohort_semi(wi: DataFrame, cohort: DataFrame) -> DataFrame:
 
 
 def cohort_anti(wi: DataFrame, cohort: DataFrame) -> DataFrame:
-    """Rows whose program is not in the cohort. Unlike ``NOT IN`` over a list, NULL programs are
-    kept (``NOT EXISTS`` semantics)."""
-    return wi.join(F.broadcast(cohort), "program", "left_anti")
+    """Rows whose program is ``NOT IN`` the cohort: a NULL program compares as unknown and is
+    dropped. The cohort is a configured list without NULLs."""
+    return wi.filter(F.col("program").isNotNull()).join(F.broadcast(cohort), "program",
+                                                        "left_anti")
 
 
 def filter_label_year(uf: DataFrame, params: ReportParams) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import dataclasses
-
 from pyspark.sql import DataFrame
 
 from planscore.operators.calendar import business_day_gate, business_day_of_week_gate, gated
@@ -24,23 +22,19 @@ def run_gate(calendar: DataFrame, today, business_day: int = 5, per: str = "mont
 def gated_scorecard(inputs: ScorecardInputs, calendar: DataFrame, params: ReportParams,
                     rules: ProgramRules, business_day: int = 5, version: str = "v6",
                     decide_first: bool = True, per: str = "month") -> DataFrame:
-    """Empty (same schema) unless ``params.as_of`` is the n-th business day of its month. The
+    """Empty (same schema) unless ``params.as_of`` (default: today) is the n-th business day of
+    its month. The
     cutoff defaults to ``as_of`` when ``actuals_date`` is None.
 
     By default the gate (a calendar-sized job) is decided before the report is planned, as the
     procedure's ``IF EXISTS ... BEGIN ... END`` does: a closed gate returns an empty local frame
     and reads no facts. ``decide_first=False`` keeps the gate inside one lazy plan (an
     uncorrelated EXISTS); Spark then still runs the report and filters it out."""
-    if params.as_of is None:
-        raise ValueError("gated_scorecard needs params.as_of (the run date)")
+    today = params.today()
     report = scorecard(inputs, params, rules, "v4" if version == "v6" else version)
-    gate = run_gate(calendar, params.as_of, business_day, per)
+    gate = run_gate(calendar, today, business_day, per)
     if not decide_first:
         return gated(report, gate)
     if gate.isEmpty():
         return report.sparkSession.createDataFrame([], report.schema)
     return report
-
-
-def v6_params(as_of, **kw) -> ReportParams:
-    return dataclasses.replace(ReportParams(), actuals_date=None, as_of=as_of, **kw)

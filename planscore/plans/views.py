@@ -14,7 +14,8 @@ from pyspark.sql import SparkSession
 from planscore.operators.actuals import program_actuals
 from planscore.operators.targets import rebaselines, schedule_targets, targets_at_week
 from planscore.params import ProgramRules, ReportParams
-from planscore.plans.scorecard import VERSIONS, ScorecardInputs, scorecard
+from planscore.plans.scorecard import (VERSIONS, ScorecardInputs, collated_inputs,
+                                       scorecard)
 
 
 def register_report_views(spark: SparkSession, inputs: ScorecardInputs, params: ReportParams,
@@ -22,6 +23,8 @@ def register_report_views(spark: SparkSession, inputs: ScorecardInputs, params:
     """Register ``work_items``, ``program_actuals``, ``week_targets``, ``schedule_targets``,
     ``rebaselines`` and ``scorecard_v1`` … ``scorecard_v5`` (names optionally prefixed); return
     the names."""
+    if rules.collation:   # the stage views compare names as the scorecards do
+        inputs = collated_inputs(inputs, rules.collation)
     views = {
         "weekly_targets": inputs.weekly_targets,
         "unit_forecast": inputs.unit_forecast,

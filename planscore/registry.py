@@ -27,8 +27,9 @@ from planscore.plans import finance, labour
 from planscore.plans.gate import gated_scorecard
 from planscore.plans.scorecard import (ScorecardInputs, joined_phase_rows, phase_rows, scorecard,
                                        scorecard_union_form)
-from planscore.session import checkpoint_dir, default_parallelism, ensure_conf, materialize
-from planscore.streaming.actuals_rollup import program_actuals_from_rollup, start_rollup_stream
+from planscore.session import checkpoint_dir, default_parallelism, ensure_conf
+from planscore.streaming.actuals_rollup import (program_actuals_from_rollup, read_rollup,
+                                                start_rollup_stream)
 from planscore.sources import fixtures as fx
 from planscore.sources.sinks import tsv_roundtrip
 from planscore.sources.tables import Tables
@@ -37,7 +38,7 @@ R = FIXTURE_RULES
 P = ReportParams()
 P_WEEK40 = dataclasses.replace(P, week=40)
 P_UNIT_THRESHOLDS = dataclasses.replace(P, rag_min=1.0, rag_max=1.0)
-P_V5 = dataclasses.replace(P, actuals_date=None, as_of=dt.date(1998, 9, 28))
+P_V5 = dataclasses.replace(P, actuals_date=None, as_of=dt.date(1998, 8, 24))
 GATE_ON = dt.date(1998, 9, 7)     # 5th business day of September 1998
 GATE_OFF = dt.date(1998, 9, 8)
 P_V6_ON = dataclasses.replace(P, actuals_date=None, as_of=GATE_ON)
@@ -45,6 +46,7 @@ P_V6_OFF = dataclasses.replace(P, actuals_date=None, as_of=GATE_OFF)
 WEEK_GATE_ON = dt.date(1998, 9, 14)   # Monday: 1st business day of ISO week 38
 P_WEEK_GATE = dataclasses.replace(P, actuals_date=None, as_of=WEEK_GATE_ON)
 LABOUR_TODAY = dt.date(2024, 1, 15)
+CALENDAR_TODAY = dt.date(1995, 6, 15)   # inside the calendar: months before, of and after it
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,11 +57,10 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
 
 
 def inputs(spark: SparkSession, sf_dir: str) -> ScorecardInputs:
-    """Report inputs. The targets table is read three times by the report (week, look-ahead
-    week, rebaseline programs), so it is written once (bounded: nicknames x plan weeks)."""
+    """Report inputs, all lazy: building a query starts no job and writes no file."""
     t = tables(spark, sf_dir)
-    wt = materialize(fx.weekly_targets(t), "weekly_targets")
-    return ScorecardInputs(fx.work_items(t), wt, fx.unit_forecast(t))
+    return ScorecardInputs(fx.work_items(t), fx.weekly_targets(t, P.year),
+                           fx.unit_forecast(t, P.year))
 
 
 def _wi(s, d):
@@ -67,13 +68,17 @@ def _wi(s, d):
 
 
 def _wt(s, d):
-    return fx.weekly_targets(tables(s, d))
+    return fx.weekly_targets(tables(s, d), P.year)
 
 
 def _uf(s, d):
     return fx.unit_forecast(tables(s, d))
 
 
+def _uf_year(s, d):
+    return fx.unit_forecast(tables(s, d), P.year)
+
+
 def _cal(s, d):
     return fx.calendar(tables(s, d))
 
@@ -109,6 +114,18 @@ def _measure_query(expr_fn) -> Query:
     return run
 
 
+def _gate_exists_counts(s, d):
+    """The gate as EXISTS inside one plan: rows of the weekly targets per month, without a gate, and
+    behind a gate on an open and on a closed day."""
+    rows = _wt(s, d).select("program", "month")
+
+    def count(name, day):
+        kept = rows if day is None else C.gated(rows, C.business_day_gate(_cal(s, d), day))
+        return kept.groupBy("month").agg(F.count("*").alias(name))
+    return (count("n_rows", None).join(count("n_open", GATE_ON), "month", "left")
+            .join(count("n_closed", GATE_OFF), "month", "left").na.fill(0))
+
+
 def _in_scope(s, d):
     return _wi(s, d).filter(FL.report_scope(P, R))
 
@@ -117,16 +134,17 @@ def program_actuals_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2 through the incremental rollup: line items arrive as a stream (stream-static joins to
     the order, part and customer dimensions), the rollup state is written to the shared
     checkpoint folder, and the program actuals are read from it at the cutoff."""
-    t = tables(spark, sf_dir)
+    own = spark.newSession()    # the state's partition count is a setting of the stream's session
+    own.conf.set("spark.sql.shuffle.partitions", str(default_parallelism(spark)))
+    t = tables(own, sf_dir)
     root = f"{checkpoint_dir(spark).rstrip('/')}/planscore-stream/{uuid.uuid4().hex}"
-    li = (spark.readStream.schema(t.lineitem.schema)
+    li = (own.readStream.schema(t.lineitem.schema)
           .parquet(f"{t.root}/lineitem.parque[t]"))
-    q = start_rollup_stream(fx.work_items(t, li), P, R, f"{root}/rollup", f"{root}/state",
-                            state_partitions=default_parallelism(spark))
+    q = start_rollup_stream(fx.work_items(t, li), P, R, f"{root}/rollup", f"{root}/state")
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return program_actuals_from_rollup(spark.read.parquet(f"{root}/rollup"), P, R)
+    return program_actuals_from_rollup(read_rollup(spark, f"{root}/rollup"), P, R)
 
 
 QUERIES: dict[str, Query] = {
@@ -137,14 +155,15 @@ QUERIES: dict[str, Query] = {
     "source_finance_rows": _fin,
     "source_labour_by_day": _lab,
     "dim_calendar": _cal,
-    "week_lookup_distinct": lambda s, d: fx.week_lookup(tables(s, d)).filter(F.col("week") == 30),
+    "week_lookup_distinct": lambda s, d: fx.week_lookup(tables(s, d), P.year).filter(
+        F.col("week") == P.week),
     # filters (F1-F7, F10, F11)
     "filter_tracked": lambda s, d: FL.filter_tracked(_wi(s, d), R),
     "filter_cancelled_exempt": lambda s, d: FL.filter_cancelled_exempt(_wi(s, d), R),
     "filter_year_eligible": lambda s, d: FL.filter_year_eligible(_wi(s, d), P, R),
     "cohort_semi": lambda s, d: FL.cohort_semi(_wi(s, d), FL.cohort_table(s, R.reference_cohort)),
     "cohort_anti": lambda s, d: FL.cohort_anti(_wi(s, d), FL.cohort_table(s, R.reference_cohort)),
-    "filter_label_year": lambda s, d: FL.filter_label_year(_uf(s, d), P),
+    "filter_label_year": lambda s, d: FL.filter_label_year(_uf_year(s, d), P),
     "filter_week": lambda s, d: FL.filter_week(_wt(s, d), P.week),
     "filter_week_lookahead": lambda s, d: FL.filter_week(_wt(s, d), P.lookahead_week()),
     "classify_program": lambda s, d: (
@@ -169,10 +188,10 @@ QUERIES: dict[str, Query] = {
     "weekly_targets": lambda s, d: _dot(s, d),
     "nickname_completions": lambda s, d: TG.nickname_completions(_wt(s, d), P, R),
     "schedule_target": lambda s, d: TG.schedule_targets(_wt(s, d), P),
-    "rebaseline_by_nickname": lambda s, d: TG.rebaseline_by_nickname(_uf(s, d), P, R),
-    "rebaseline_semi": lambda s, d: TG.rebaselines(_uf(s, d), _wt(s, d), P, R),
+    "rebaseline_by_nickname": lambda s, d: TG.rebaseline_by_nickname(_uf_year(s, d), P, R),
+    "rebaseline_semi": lambda s, d: TG.rebaselines(_uf_year(s, d), _wt(s, d), P, R),
     "rebaseline_inner_distinct": lambda s, d: TG.rebaselines_inner_distinct(
-        _uf(s, d), _wt(s, d), P, R),
+        _uf_year(s, d), _wt(s, d), P, R),
     "join_left_plan_actual": lambda s, d: _dot(s, d).join(_acts(s, d), "program", "left"),
     "execute_with_external": lambda s, d: A.execute_with_external(_acts(s, d), _dot(s, d), R),
     # measure rules (M2, M4-M9) over the joined phase rows
@@ -192,10 +211,25 @@ QUERIES: dict[str, Query] = {
     "business_days_in_month": lambda s, d: C.business_days_in_month(_cal(s, d), GATE_ON),
     "nth_business_day_month": lambda s, d: C.nth_business_day_of_month(_cal(s, d), 5),
     "first_business_day_week": lambda s, d: C.nth_business_day_of_week(_cal(s, d), P.year, 1),
+    "gate_exists_counts": _gate_exists_counts,
     "gated_report": lambda s, d: gated_scorecard(inputs(s, d), _cal(s, d), P_V6_OFF, R),
     # BI measures
     "selected_value": lambda s, d: selected_values(
         _fin(s, d), ["category", "period"], ["actual", "budget", "variance"]),
+    "selected_value_cells": lambda s, d: selected_values(
+        _fin(s, d), ["line", "period"], ["actual", "budget", "variance"]),
+    "variance_color_forecast": lambda s, d: finance.variance_colors(
+        _fin(s, d).withColumn("forecast", F.when(F.col("category") == "Capital", 1.2e7)
+                              .when(F.col("category") == "Expense", 6e6)),
+        ["category", "period"]),
+    "period_bucket_calendar": lambda s, d: _cal(s, d).select(
+        "calendar_date", bi.period_bucket(F.col("calendar_date"), F.lit(CALENDAR_TODAY))
+        .alias("period")),
+    "month_label_calendar": lambda s, d: _cal(s, d).select(
+        "calendar_date", "month_year_text", bi.current_month_label(
+            F.col("month_year_text"),
+            F.when(F.dayofmonth("calendar_date") != 13, F.dayofmonth("calendar_date") / 31.0),
+            F.lit(CALENDAR_TODAY)).alias("current_month_label")),
     "variance_color": lambda s, d: finance.variance_colors(_fin(s, d), ["line", "category",
                                                                          "period"]),
     "variance_color_by_category": lambda s, d: finance.variance_colors(_fin(s, d),

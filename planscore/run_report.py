@@ -23,7 +23,7 @@ from pyspark.sql import SparkSession
 from planscore.params import FIXTURE_RULES, REFERENCE_RULES, ReportParams
 from planscore.plans.gate import run_gate
 from planscore.plans.scorecard import VERSIONS, ScorecardInputs, scorecard
-from planscore.session import checkpoint_dir, ensure_conf, materialize
+from planscore.session import checkpoint_dir, ensure_conf
 from planscore.sources import fixtures as fx
 from planscore.sources.sinks import write_report_tsv
 from planscore.sources.tables import Tables
@@ -82,9 +82,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> str | None:
         if run_gate(calendar, params.as_of, args.business_day, args.gate).isEmpty():
             return None
     if t is not None:
-        inputs = ScorecardInputs(fx.work_items(t), materialize(fx.weekly_targets(t, args.year),
-                                                               "weekly_targets"),
-                                 fx.unit_forecast(t))
+        inputs = ScorecardInputs(fx.work_items(t), fx.weekly_targets(t, args.year),
+                                 fx.unit_forecast(t, args.year))
     else:
         inputs = ScorecardInputs(spark.read.parquet(args.work_items),
                                  spark.read.parquet(args.weekly_targets),

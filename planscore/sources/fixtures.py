@@ -31,8 +31,17 @@ def year_range(df: DataFrame, col: str, year: int) -> Column:
 
 
 def _units(brand: Column) -> Column:
-    # Brand#9 is the fractional program: its units are multiples of 0.125.
-    return F.col("l_quantity") * F.when(brand == "Brand#9", F.lit(0.125)).otherwise(F.lit(1.0))
+    # Brand#9 is the fractional program: its units are multiples of 1/128, so that rounding its
+    # actuals to two decimals shows in the fourth decimal of its percentages.
+    return F.col("l_quantity") * F.when(brand == "Brand#9", F.lit(0.0078125)).otherwise(
+        F.lit(1.0))
+
+
+def _target_scale(brand: Column) -> Column:
+    """Targets relative to the year's units, by brand number: 1, 3/8 or 1/4, so that completion
+    ratios fall below, inside and above the threshold band."""
+    third = F.regexp_extract(brand, r"(\d+)$", 1).cast("int") % 3
+    return F.when(third == 0, 1.0).when(third == 1, 0.375).otherwise(0.25)
 
 
 def _orders_with_geo(t: Tables) -> DataFrame:
@@ -85,7 +94,9 @@ def work_items(t: Tables, lineitem: DataFrame | None = None) -> DataFrame:
         F.date_add(odate, 20).alias("design_out"),
         F.date_add(odate, 40).alias("dependency_out"),
         F.date_add(odate, 60).alias("schedule_out"),
-        ship.alias("click_end_date"),
+        # a point in time, as scheduling tools store it
+        (F.col("l_shipdate").cast("date").cast("timestamp_ntz") + F.expr("INTERVAL 15 HOURS"))
+        .alias("click_end_date"),
         ship.alias("execute_out"),
         u.alias("initiation_actuals"),
         F.when(F.col("p_brand") == "Brand#7", F.lit(None).cast("double")).otherwise(u)
@@ -130,7 +141,8 @@ def weekly_targets(t: Tables, year: int = FIXTURE_YEAR) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ytd = (grid.join(sales, ["nickname", "week", "month"], "left")
            .select("program", "nickname", "week", "month",
-                   F.sum(F.coalesce(F.col("q"), F.lit(0.0))).over(run).alias("ytd")))
+                   (F.sum(F.coalesce(F.col("q"), F.lit(0.0))).over(run)
+                    * _target_scale(F.col("program"))).alias("ytd")))
     p = F.col("program")
     return ytd.select(
         "program", "nickname", "week", "month",
@@ -146,11 +158,15 @@ def weekly_targets(t: Tables, year: int = FIXTURE_YEAR) -> DataFrame:
     )
 
 
-def unit_forecast(t: Tables) -> DataFrame:
+def unit_forecast(t: Tables, year: int | None = None) -> DataFrame:
+    """Unit forecasts with their week label. The label derives from the order date, so a year
+    asked for also prunes the orders scan."""
+    orders = t.orders.select("o_orderkey", "o_orderdate")
+    if year is not None:
+        orders = orders.filter(year_range(orders, "o_orderdate", year))
     part = t.part.select("p_partkey", "p_brand", "p_size")
     j = (t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
-         .join(t.orders.select("o_orderkey", "o_orderdate"),
-               F.col("l_orderkey") == F.col("o_orderkey"))
+         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
          .join(part, F.col("l_partkey") == F.col("p_partkey")))
     b = F.col("p_brand")
     return j.select(
@@ -167,7 +183,14 @@ def unit_forecast(t: Tables) -> DataFrame:
 
 
 def week_lookup(t: Tables, year: int = FIXTURE_YEAR) -> DataFrame:
-    return weekly_targets(t, year).select("week", "month", "month2").distinct()
+    """Weeks of the plan with their months and date range (first and last day of the year in that
+    week and month)."""
+    days = F.sequence(F.lit(dt.date(year, 1, 1)), F.lit(dt.date(year, 12, 31)))
+    span = F.filter(days, lambda d: (F.weekofyear(d) == F.col("week"))
+                    & (F.month(d) == F.col("month")))
+    return (weekly_targets(t, year).select("week", "month", "month2").distinct()
+            .withColumn("date_range", F.concat_ws(
+                " - ", F.array_min(span).cast("string"), F.array_max(span).cast("string"))))
 
 
 def finance_rows(t: Tables) -> DataFrame:
@@ -191,9 +214,13 @@ def finance_rows(t: Tables) -> DataFrame:
         F.when(F.col("m3") == 0, F.lit("EOY")).when(F.col("m3") == 1, F.lit("YTD"))
          .otherwise(F.lit("MTD")).alias("period"),
         s.alias("actual"),
-        (s * F.when(nk == 0, F.lit(128.0)).when(nk == 1, F.lit(0.0)).otherwise(F.lit(0.5)))
-         .alias("budget"),
-        (s * F.when(nk == 0, F.lit(-127.0)).when(nk == 2, F.lit(64.0)).otherwise(F.lit(0.5)))
+        # blank for one category of the lines without a budget: one value plus blanks per period
+        (s * F.when(nk == 0, F.lit(128.0))
+         .when(nk == 1, F.when(seg == "AUTOMOBILE", F.lit(None)).otherwise(F.lit(0.0)))
+         .otherwise(F.lit(0.5))).alias("budget"),
+        # one value for all rows of some lines
+        F.when(nk == 4, F.lit(6000000.0)).otherwise(
+            s * F.when(nk == 0, F.lit(-127.0)).when(nk == 2, F.lit(64.0)).otherwise(F.lit(0.5)))
          .alias("variance"),
     )
 
@@ -237,7 +264,7 @@ def write_inputs(t: Tables, root: str, year: int = FIXTURE_YEAR) -> dict[str, st
     them) and return their paths."""
     paths = {}
     for name, df in (("work_items", work_items(t)), ("weekly_targets", weekly_targets(t, year)),
-                     ("unit_forecast", unit_forecast(t)), ("calendar", calendar(t))):
+                     ("unit_forecast", unit_forecast(t, year)), ("calendar", calendar(t))):
         paths[name] = f"{root.rstrip('/')}/{name}"
         df.write.mode("overwrite").parquet(paths[name])
     return paths

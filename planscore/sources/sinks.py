@@ -31,8 +31,9 @@ NUMERIC_COLUMNS = ("plan", "completions", "pct_to_plan")
 
 
 def report_number_text(c: Column) -> Column:
-    """Numbers as the report prints them: whole values without a trailing ``.0``."""
-    return F.regexp_replace(c.cast("string"), r"\.0$", "")
+    """Numbers as the report prints them: plain decimals at any size, no trailing zeros."""
+    plain = F.regexp_replace(c.try_cast("decimal(38,10)").cast("string"), r"\.?0+$", "")
+    return F.coalesce(F.when(plain.isin("", "-"), "0").otherwise(plain), c.cast("string"))
 
 
 def write_report_tsv(report: DataFrame, path: str, single_file: bool = False) -> str:
@@ -47,10 +48,15 @@ def write_report_tsv(report: DataFrame, path: str, single_file: bool = False) ->
     return path
 
 
-def read_report_tsv(spark, path: str) -> DataFrame:
+def read_report_tsv(spark, path: str, texts: bool = False) -> DataFrame:
+    """The report's columns; with ``texts`` also the numbers as printed (``plan_text``, ...)."""
+    schema = T.StructType([T.StructField(h, T.StringType()) for _, h in REPORT_HEADERS])
     df = (spark.read.option("sep", "\t").option("header", True).option("nullValue", "NULL")
-          .schema(REPORT_SCHEMA).csv(path))
-    df = df.select(*[F.col(f"`{h}`").alias(c) for c, h in REPORT_HEADERS])
+          .schema(schema).csv(path))
+    kinds = dict(zip((c for c, _ in REPORT_HEADERS), (f.dataType for f in REPORT_SCHEMA)))
+    df = df.select(*[F.col(f"`{h}`").cast(kinds[c]).alias(c) for c, h in REPORT_HEADERS],
+                   *[F.col(f"`{h}`").alias(f"{c}_text") for c, h in REPORT_HEADERS
+                     if texts and c in NUMERIC_COLUMNS])
     # A blank string reads back as NULL; these columns are never NULL in the report.
     return df.fillna("", subset=list(BLANK_COLUMNS))
 
@@ -59,4 +65,4 @@ def tsv_roundtrip(report: DataFrame) -> DataFrame:
     spark = report.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/report-tsv-{uuid.uuid4().hex}"
     write_report_tsv(report, path)
-    return read_report_tsv(spark, path)
+    return read_report_tsv(spark, path, texts=True)

@@ -14,19 +14,11 @@ class Tables:
 
     Reads are lazy DataFrames: Catalyst prunes columns and pushes filters into each scan."""
 
-    _shared: dict[tuple[int, str], "Tables"] = {}
-
     @classmethod
     def of(cls, spark: SparkSession, root: str) -> "Tables":
-        """One handle per (session, directory): footers are read and files listed once, not on
-        every query. Call :meth:`refresh` after the directory changes."""
-        key = (id(spark), root.rstrip("/"))
-        if key not in cls._shared:
-            cls._shared[key] = cls(spark, root)
-        return cls._shared[key]
-
-    def refresh(self) -> None:
-        self._cache.clear()
+        """A handle for one query: files are listed when the query is built, so files that landed
+        since the last query are seen."""
+        return cls(spark, root)
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark

@@ -33,7 +33,7 @@ ROLLUP_KEYS = ("program", "measure", "out_date", "always")
 
 
 def _entries(params: ReportParams, rules: ProgramRules) -> Column:
-    this_year = F.col("reporting_year") == params.year
+    this_year = F.coalesce(F.col("reporting_year") == params.year, F.lit(False))
     cohort = F.col("program").isin(*rules.reference_cohort)
     done = F.when(cohort, reference_complete(params, rules)).otherwise(
         in_year("report_date", params.year))
@@ -52,7 +52,8 @@ def _entries(params: ReportParams, rules: ProgramRules) -> Column:
         entry("dependency", F.col("dependency_out"), F.lit(False),
               year_gated("dependency_actuals", params)),
         entry("execute", F.col("execute_out"), F.lit(False), execute_gated(params, rules)),
-        entry("schedule", F.when(sched_always, no_date).otherwise(F.col("click_end_date")),
+        entry("schedule", F.when(sched_always, no_date).otherwise(
+            F.col("click_end_date").cast("date")),
               sched_always, sched_value),
         entry("in_workplan", no_date, F.lit(True), year_gated("in_workplan", params)),
     )
@@ -95,32 +96,55 @@ def program_actuals_from_rollup(rollup: DataFrame, params: ReportParams,
 
 
 def start_rollup_stream(work_items_stream: DataFrame, params: ReportParams, rules: ProgramRules,
-                        table_path: str, checkpoint_path: str, available_now: bool = True,
-                        state_partitions: int | None = None) -> StreamingQuery:
-    """Keep the rollup table at ``table_path`` current.
-
-    Complete output mode rewrites the whole (bounded) rollup each micro-batch; the write is
-    idempotent, so a batch replayed after a failure gives the same table. State and progress
-    live under ``checkpoint_path`` (a shared folder).
-
-    ``state_partitions`` sizes the aggregation state (fixed for the life of the checkpoint; AQE
-    does not resize streaming state). The state is programs x 6 x days keys, so a few dozen
-    partitions serve any data volume; the session's shuffle setting is left as it was."""
-    def write(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(table_path)
+                        table_path: str, checkpoint_path: str,
+                        available_now: bool = True) -> StreamingQuery:
+    """Keep the rollup under ``table_path`` current.
+
+    Complete output mode rewrites the whole (bounded) rollup each micro-batch into a folder of its
+    own (``batch=<id>``). A folder counts once its ``_SUCCESS`` marker is there, so a reader
+    (:func:`read_rollup`) or a crash in mid-batch always finds the last complete table; a replayed
+    batch overwrites its own folder with the same rows, and older folders are dropped after the
+    next one is complete. State and progress live under ``checkpoint_path`` (a shared folder).
+
+    The aggregation state is sized by ``spark.sql.shuffle.partitions`` of the stream's session when
+    the checkpoint is first written. It holds programs x 6 x days keys, so a few dozen partitions
+    serve any data volume: start the stream from ``spark.newSession()`` with that setting."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{table_path}/batch={batch_id}")
+        for old in _batches(batch.sparkSession, table_path):
+            if old < batch_id - 1:      # keep the one that a reader may just have opened
+                _fs_path(batch.sparkSession, f"{table_path}/batch={old}", delete=True)
 
     writer = (actuals_rollup(work_items_stream, params, rules).writeStream
               .outputMode("complete").option("checkpointLocation", checkpoint_path)
               .foreachBatch(write))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="1 hour")
-    if state_partitions is None:
-        return writer.start()
-    spark = work_items_stream.sparkSession
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions))
-    try:
-        return writer.start()   # the query takes its own copy of the session conf here
-    finally:
-        spark.conf.set(key, before)
+    return writer.start()
+
+
+def _fs_path(spark, path: str, delete: bool = False):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if delete:
+        fs.delete(p, True)
+    return fs, p
+
+
+def _batches(spark, table_path: str) -> list[int]:
+    """Complete batches of the rollup table, ascending."""
+    fs, p = _fs_path(spark, table_path)
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    ids = sorted(int(n.split("=")[1]) for n in names if n.startswith("batch="))
+    return [i for i in ids if fs.exists(
+        spark._jvm.org.apache.hadoop.fs.Path(f"{table_path}/batch={i}/_SUCCESS"))]
+
+
+def read_rollup(spark, table_path: str) -> DataFrame:
+    """The latest complete rollup."""
+    done = _batches(spark, table_path)
+    if not done:
+        raise FileNotFoundError(f"no complete rollup under {table_path}")
+    return spark.read.parquet(f"{table_path}/batch={done[-1]}")

@@ -1,6 +1,10 @@
 """Session settings: required settings fill gaps only; the checkpoint folder comes from the
 session."""
 
+from types import SimpleNamespace
+
+import pytest
+
 from planscore.session import REQUIRED_CONF, checkpoint_dir, ensure_conf
 
 
@@ -19,5 +23,21 @@ def test_ensure_conf_fills_unset_and_respects_explicit(spark):
 def test_checkpoint_dir_is_the_sessions(spark):
     d = checkpoint_dir(spark)
     assert d and d == checkpoint_dir(spark)
-    assert spark.sparkContext.getCheckpointDir() in (d, None) or d.startswith(
-        spark.sparkContext.getCheckpointDir())
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert named is None or d == named
+
+
+class _Session:
+    """A session on ``master`` that names no shared folder."""
+
+    def __init__(self, master):
+        self.conf = {}
+        self.sparkContext = SimpleNamespace(getCheckpointDir=lambda: None, master=master)
+
+
+def test_a_cluster_must_name_a_shared_folder():
+    for master in ("spark://host:7077", "yarn", "local-cluster[3,2,1024]"):
+        with pytest.raises(RuntimeError):
+            checkpoint_dir(_Session(master))
+    for master in ("local", "local[8]", "local[*]"):
+        assert checkpoint_dir(_Session(master))

@@ -16,7 +16,7 @@ from planscore.registry import inputs, tables
 from planscore.session import checkpoint_dir
 from planscore.sources import fixtures as fx
 from planscore.streaming.actuals_rollup import (actuals_rollup, program_actuals_from_rollup,
-                                                start_rollup_stream)
+                                                read_rollup, start_rollup_stream)
 from tests.conftest import WI_SCHEMA, frame, work_item
 
 P = ReportParams()
@@ -54,7 +54,7 @@ def test_streamed_rollup_feeds_scorecard(spark):
     li = spark.readStream.schema(t.lineitem.schema).parquet(f"{SF}/lineitem.parque[t]")
     q = start_rollup_stream(fx.work_items(t, li), P, R, f"{root}/rollup", f"{root}/state")
     q.awaitTermination()
-    rollup = spark.read.parquet(f"{root}/rollup")
+    rollup = read_rollup(spark, f"{root}/rollup")
     assert bag(rollup) == bag(actuals_rollup(fx.work_items(t), P, R))
     base = inputs(spark, SF)
     from_rollup = dataclasses.replace(base, work_items=None,
@@ -74,17 +74,16 @@ def test_rollup_state_survives_restart(spark, tmp_path):
 
     def run_once():
         li = spark.readStream.schema(t.lineitem.schema).parquet(f"{src}/*")
-        q = start_rollup_stream(fx.work_items(t, li), P, R, f"{root}/rollup", f"{root}/state",
-                                state_partitions=4)
+        q = start_rollup_stream(fx.work_items(t, li), P, R, f"{root}/rollup", f"{root}/state")
         q.awaitTermination()
         assert q.exception() is None
         return q
 
     run_once()
-    partial = bag(spark.read.parquet(f"{root}/rollup"))
+    partial = bag(read_rollup(spark, f"{root}/rollup"))
     second.write.parquet(f"{src}/part=2")
     q = run_once()
     assert q.lastProgress is not None
-    full = bag(spark.read.parquet(f"{root}/rollup"))
+    full = bag(read_rollup(spark, f"{root}/rollup"))
     assert full == bag(actuals_rollup(fx.work_items(t), P, R))
     assert partial != full
