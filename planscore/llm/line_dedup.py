@@ -63,6 +63,8 @@ def repeated_windows(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     first = (occ.groupBy("h1", "h2")
              .agg(F.min(F.struct("id", *ROW, "pos")).alias("first"), F.count("*").alias("n"))
              .filter("n > 1"))
+    # written, so that AQE can split a frequent window (it does not split below an aggregate)
+    first = materialize(first.drop("n"), "repeated-windows")
     here = F.struct("id", *ROW, "pos")
     return (occ.join(first, ["h1", "h2"]).filter(here > F.col("first"))
             .select(*ROW, "pos"))

@@ -300,10 +300,12 @@ def components(edges: DataFrame) -> DataFrame:
     state = _state(e)
     while state[0]:
         sym = e.union(e.select(F.col("b"), F.col("a")))
-        low = sym.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-        large = (sym.join(low, "a").filter("b > a")
-                 .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        # minima are written, so that AQE can split the links of a hub in the join
+        low = materialize(sym.groupBy("a").agg(F.min("b").alias("m"))
+                          .withColumn("m", F.least("a", "m")), "minima")
+        large = materialize(sym.join(low, "a").filter("b > a").select(
+            F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large-star")
+        low = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "minima")
         pairs = large.join(low, "a")
         small = (pairs.filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .union(low.select("a", F.col("m").alias("b"))).distinct())
@@ -330,7 +332,8 @@ def link_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                .select("nid", "e.slot", "e.chunk", "e.key"))
     shared = (entries.groupBy("key").agg(F.min("nid").alias("hub"), F.count("*").alias("n"))
               .filter("n > 1"))
-    met = materialize(entries.join(shared.select("key", "hub"), "key"), "met")
+    shared = materialize(shared.select("key", "hub"), "shared-keys")   # AQE can split hot keys
+    met = materialize(entries.join(shared, "key"), "met")
     sides = classes.select("cls", "nid", "n_shingles", *SIG)
 
     # step 1: every class against the smallest class of its keys
@@ -352,6 +355,7 @@ def link_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     open_keys = (met.join(labelled.select("nid", "label"), "nid").groupBy("key")
                  .agg(F.min("label").alias("l1"), F.max("label").alias("l2"))
                  .filter("l1 != l2").select("key"))
+    open_keys = materialize(open_keys, "open-key-list")
     left = materialize(met.select("key", "slot", "chunk", "nid").join(open_keys, "key", "left_semi")
                        .join(labelled, "nid"), "open-keys")
     x, y = left.alias("x"), left.alias("y")
@@ -366,7 +370,8 @@ def link_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         labels = components(links.union(more))
     named = classes.select("cls", "rep").join(labels, "cls", "left").withColumn(
         "label", F.coalesce("label", "cls"))
-    ids = named.groupBy("label").agg(F.min("rep").alias("component_id"))
+    ids = materialize(named.groupBy("label").agg(F.min("rep").alias("component_id")),
+                      "component-ids")
     by_class = named.join(ids, "label").select("cls", "component_id")
     out = rows.select("id", "n_shingles", "cls").join(by_class, "cls", "left")
     comp = F.when(F.col("cls").isNull(), F.col("id")).otherwise(F.col("component_id"))

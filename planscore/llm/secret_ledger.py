@@ -150,6 +150,9 @@ def scan_versions(files: DataFrame, ledger: DataFrame | None = None,
     known = (ledger.unionByName(new).select("blob", F.explode("findings").alias("f"))
              .filter(F.col("f.name").isin(names))
              .groupBy("blob").agg(F.collect_set("f").alias("findings")))
+    # written, so that AQE can split a blob that many paths share: it splits joins of two plain
+    # exchanges, not of an exchange and an aggregate on the same key
+    known = materialize(known, "blob-findings")
     out = (paths.join(known, "blob", "left")
            .select("path", "version", "blob", F.coalesce("findings", F.expr(NO_FINDINGS))
                    .alias("findings")))
