@@ -39,7 +39,8 @@ from planscore.llm.ordering import numbered
 from planscore.session import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
-ONE = 1 << 30                  # fixed-point unit of the rounding
+SHIFT = 20                     # fixed-point bits: sums stay exact up to 10^12 documents
+ONE = 1 << SHIFT
 TOLERANCE = 1e-9               # largest relative error of a constraint
 MAX_ITERATIONS = 60
 
@@ -135,7 +136,7 @@ def copies(rows: DataFrame, order: Sequence[str]) -> DataFrame:
     total = F.col("_off") + F.sum("_fx").over(upto) + ONE // 2
 
     def whole(v: Column) -> Column:
-        return F.shiftright(v, 30)
+        return F.shiftright(v, SHIFT)
     return (parts.join(offsets, ["key", "_pid"])
             .withColumns({"_total": total, "_row": F.count("*").over(upto)})
             .withColumn("copies", F.col("_base") + whole(F.col("_total"))
