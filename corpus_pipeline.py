@@ -22,7 +22,8 @@ from planscore.llm import (entropy_mix, language_id, line_dedup, minhash_hamming
                            sentencepiece_bpe)
 from planscore.session import materialize
 
-MIN_SCORE = 0.5
+# texts in two known languages score about one half each and stay; only texts like none go
+MIN_SCORE = 0.3
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
