@@ -1,9 +1,9 @@
 """Document fingerprints as invertible Bloom lookup sketches.
 
 A text is a set of paragraph digests: its lines, long ones cut into pieces of at most ``PIECE``
-code points (``SHORT_PIECE`` in short texts) from the line's start, hashed to 64 bits. The sketch has ``TABLES * CELLS`` cells; a
-digest goes into one cell of each table, which keeps a count, the exclusive or of its digests and
-of their check sums. Two versions' sketches subtract cell by cell: what both have cancels, and
+code points from the line's start, whatever the text's size, hashed to 64 bits. The sketch has
+``TABLES * CELLS`` cells; a digest goes into one cell of each table, which keeps a count, the
+exclusive or of its digests and of their check sums. Two versions' sketches subtract cell by cell: what both have cancels, and
 peeling cells that hold a single digest recovers the paragraphs in which the versions differ. When
 peeling stops early, the retry uses a sketch four times as large, laid out as four sketches of the
 digests' quarters (by digest bits); only quarters that fail again are split further. So the work
@@ -32,8 +32,8 @@ from planscore.llm.ordering import numbered
 from planscore.session import materialize
 
 TABLES, CELLS = 3, 8           # cells per table: a power of two
-PIECE = 200                    # code points of a paragraph piece
-SHORT_TEXT, SHORT_PIECE = 400, 24   # texts below that length are cut finer
+PIECE = 24                     # code points of a paragraph piece, in texts of every size
+SHORT_TEXT, SHORT_PIECE = 0, PIECE  # no text is cut otherwise; the tests' reference reads these
 ROUNDS = 12                    # peeling rounds before a retry
 SPLIT_FROM = 16                # digest bits below this choose cells, above it quarters
 LAST_LEVEL = (64 - SPLIT_FROM) // 2
@@ -53,9 +53,7 @@ def check(digest: Column) -> Column:
 
 def digests(text: Column) -> Column:
     """Distinct paragraph digests of a text."""
-    def cut(most: int) -> Column:
-        return F.regexp_extract_all(text, F.lit(r"[^\n]{1,%d}" % most), F.lit(0))
-    pieces = F.when(F.length(text) < SHORT_TEXT, cut(SHORT_PIECE)).otherwise(cut(PIECE))
+    pieces = F.regexp_extract_all(text, F.lit(r"[^\n]{1,%d}" % PIECE), F.lit(0))
     return F.array_distinct(F.transform(pieces, lambda p: F.xxhash64(p)))
 
 

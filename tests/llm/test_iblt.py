@@ -88,3 +88,13 @@ def test_repeats_single_and_empty_table(spark):
     one = I.edited_fingerprints(frame(spark, [(1, "abcdef")])).first()
     assert one.edited_sha256 == brute.sha("abcdab") and one.near_next == 1.0
     assert I.edited_fingerprints(frame(spark, [])).count() == 0
+
+
+def test_texts_of_different_sizes_share_their_pieces(spark):
+    r = random.Random(11)
+    a, b, c, d = ("".join(r.choice("abcdefghij ") for _ in range(n)) for n in (450, 50, 395, 10))
+    got = I.edited_fingerprints(frame(spark, [(9, a), (8, b)])).collect()
+    near = {x.id: x.near_edited for x in got}
+    assert near[9] > 0.4                       # 300 of 450 code points are kept, 350 in all
+    got = I.edited_fingerprints(frame(spark, [(9, c), (8, c + d)])).collect()
+    assert all(x.near_next > 0.8 for x in got)
