@@ -9,9 +9,12 @@ the id, outside the held-out fold):
    cut where a term ends (``idiot``) or where its continuations fan out (a stem such as ``xyz-``).
    At most ``MAX_TERMS`` terms with their log-odds weights are kept.
 2. *Automaton.* The trie is intersected with the Levenshtein automata of its terms (distance 0 to
-   2 by length, the first character exact) and determinised into one transition table over
-   character classes; look-alike digits fold into letters.
-3. *Weights.* A logistic regression on the document features below.
+   2 by length, edits at every character; a stem has the edits of the whole words it stands for)
+   and determinised into one transition table over character classes; look-alike digits fold into
+   letters.
+3. *Doubt.* Words that match as misspellings but are in the sample's clean texts too (ordinary
+   words near a term) get a lower weight, by their own log-odds.
+4. *Weights.* A logistic regression on the document features below.
 
 Scoring runs the table over all words of a batch at once: numpy steps one character position at a
 time through the words still alive. Each match is then judged in its context window: inside
@@ -20,7 +23,8 @@ an address (``you``) as abuse. Features are the log-scaled sums of exact and of
 and their density; quoted matches keep ``QUOTED`` of their weight.
 
 The lexicon, the table and the weights are broadcast; their size is bounded by the parameters.
-Words are runs of letters and digits, with single symbols (``@ * $ !``) inside.
+Words are runs of letters and digits, with single symbols (``@ * $ !``) inside; up to ``LEAD``
+symbols before a word are read with and without it, and the reading with fewer edits counts.
 
 Definitions: a null or empty text has no match and gets the base score. Equal texts get equal
 scores. Without toxic labels in the sample there are no terms and the base score is the sample's
@@ -53,6 +57,7 @@ QUOTED = 0.02
 AROUND = 48                    # characters of context on either side
 SLICE = 1 << 20
 FAN, FAN_SHARE = 3, 0.04       # so many continuations of that share make a stem
+LEAD = 2                       # symbols before a word that may stand for its first letters
 END = "\n"                     # closes a whole word in the prefix counts
 
 # Cue words of the context windows.
@@ -84,24 +89,42 @@ class Automaton:
     edits: np.ndarray
 
 
-def build_automaton(terms: list[tuple[str, bool]]) -> Automaton:
-    """Determinised product of the terms' trie and their Levenshtein automata."""
+def stem_edits(terms: list[tuple], counts: dict[str, tuple]) -> list[int]:
+    """Edits per term (text, whole, ...): a stem allows those of the shortest whole word that it
+    stands for."""
+    shortest: dict[str, int] = {}
+    stems = {t[0] for t in terms if not t[1]}
+    for p in counts:
+        if p.endswith(END):
+            for k in range(3, len(p)):
+                if p[:k] in stems:
+                    shortest[p[:k]] = min(shortest.get(p[:k], len(p)), len(p) - 1)
+    return [max(allowed(t[0], t[1]), 0 if t[1] else allowed("x" * shortest.get(t[0], 0), True))
+            for t in terms]
+
+
+def build_automaton(terms: list[tuple[str, bool]], edits: list[int] | None = None,
+                    exact_first: bool = True) -> Automaton:
+    """Determinised product of the terms' trie and their Levenshtein automata, with the given
+    edits per term (else those of its length); without ``exact_first`` the first character may be
+    missing, wrong or one too many as any other."""
     chars = sorted({c for t, _ in terms for c in t})
     child: list[dict] = [{}]
     reach = [0]                                    # most edits any term below allows
     ends: list[dict] = [{}]                        # whole? -> (term, allowed)
     for i, (text, whole) in enumerate(terms):
+        most = edits[i] if edits else allowed(text, whole)
         node = 0
         for c in text:
-            reach[node] = max(reach[node], allowed(text, whole))
+            reach[node] = max(reach[node], most)
             if c not in child[node]:
                 child[node][c] = len(child)
                 child.append({})
                 reach.append(0)
                 ends.append({})
             node = child[node][c]
-        reach[node] = max(reach[node], allowed(text, whole))
-        ends[node][whole] = (i, allowed(text, whole))
+        reach[node] = max(reach[node], most)
+        ends[node][whole] = (i, most)
 
     def closed(items: dict) -> frozenset:
         """Add the nodes reached by leaving characters of a term out."""
@@ -122,38 +145,53 @@ def build_automaton(terms: list[tuple[str, bool]]) -> Automaton:
                 items[node] = e
         for node, e in state:
             put(node, e + 1)                       # a character too many
-            for k, nxt in child[node].items():
-                put(nxt, e if k == c else e + 1)   # right or wrong character
+            if e + 1 <= reach[node]:
+                for k, nxt in child[node].items():
+                    put(nxt, e if k == c else e + 1)   # right or wrong character
+            elif c in child[node]:
+                put(child[node][c], e)
         return closed(items)
 
     def found(state: frozenset, whole: bool):
         hits = [(e, *ends[n][whole]) for n, e in state if whole in ends[n]]
         return min(((e, i) for e, i, most in hits if e <= most), default=None)
 
-    number: dict = {frozenset(): 0, "start": 1}
-    table, term, edits = [[0] * (len(chars) + 1), None], [-1, -1], [0, 0]
+    number: dict = {(frozenset(), None): 0, "start": 1}
+    table, term, cost = [[0] * (len(chars) + 1), None], [-1, -1], [0, 0]
     todo: list = []
 
-    def state_of(state: frozenset) -> int:
-        stem = found(state, False)
-        key = ("stem", *stem) if stem else state
+    def state_of(state: frozenset, stem) -> int:
+        """Number of the state; ``stem`` is the best stem met so far in the word. Once there is
+        one, only items with fewer edits matter."""
+        stem = min((x for x in (stem, found(state, False)) if x), default=None)
+        if stem:
+            state = frozenset(x for x in state if x[1] < stem[0])
+        key = (state, stem)
         if key not in number:
             number[key] = len(table)
             table.append(None)
-            hit = stem or found(state, True)
+            hit = min((x for x in (stem, found(state, True)) if x), default=None)
             term.append(hit[1] if hit else -1)
-            edits.append(hit[0] if hit else 0)
-            if stem:
-                table[number[key]] = [number[key]] * (len(chars) + 1)
-            else:
-                todo.append(state)
+            cost.append(hit[0] if hit else 0)
+            todo.append(key)
         return number[key]
 
-    table[1] = [state_of(closed({child[0][c]: 0})) if c in child[0] else 0 for c in chars] + [0]
+    def row_of(state: frozenset, stem) -> list[int]:
+        row = [state_of(move(state, None), stem)] * (len(chars) + 1)
+        for c in {c for node, _ in state for c in child[node]}:   # all others move alike
+            row[place[c]] = state_of(move(state, c), stem)
+        return row
+
+    place = {c: i for i, c in enumerate(chars)}
+    if exact_first:
+        table[1] = [state_of(closed({child[0][c]: 0}), None) if c in child[0] else 0
+                    for c in chars] + [0]
+    else:
+        table[1] = row_of(closed({0: 0}), None)
     while todo:
-        state = todo.pop()
-        table[number[state]] = [state_of(move(state, c)) for c in chars + [None]]
-    return Automaton(chars, np.array(table, np.int32), np.array(term), np.array(edits))
+        key = todo.pop()
+        table[number[key]] = row_of(*key)
+    return Automaton(chars, np.array(table, np.int32), np.array(term), np.array(cost))
 
 
 def choose_terms(counts: dict[str, tuple[int, int]], toxic: int, clean: int,
@@ -199,6 +237,7 @@ class Scorer:
     automaton: Automaton | None
     letters: np.ndarray            # packed bits by code point: letter or digit
     weights: np.ndarray            # of the features, last the intercept
+    trust: dict | None = None      # factors of misspelled matches, by form; others have 1
 
     def prepare(self) -> "Scorer":
         """Character tables, built once per task."""
@@ -222,6 +261,7 @@ class Scorer:
         low = code < 128
         sym = np.zeros(len(code), bool)
         sym[low] = self.inner[code[low]]
+        led = sym.copy()
         if len(code) > 2 and sym.any():
             sym[1:-1] &= word[:-2] & word[2:]
             sym[0] = sym[-1] = False
@@ -229,8 +269,16 @@ class Scorer:
         edge = np.diff(np.r_[False, word, False].astype(np.int8))
         start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         a = self.automaton
+        words = start
         if a is None or not len(start):
-            return start[:0], end[:0], start[:0], start[:0], len(start), start
+            return start[:0], end[:0], start[:0], start[:0], len(words), words
+        # words behind symbols are read once more with each of them
+        owner = lead = np.arange(len(start))
+        for k in range(1, LEAD + 1):
+            lead = lead[words[lead] >= k]
+            lead = lead[led[words[lead] - k]]
+            owner = np.r_[owner, lead]
+            start, end = np.r_[start, words[lead] - k], np.r_[end, end[lead]]
         cls = self.cls[code]
         state = a.step[1, cls[start]]
         alive = np.flatnonzero(state)
@@ -247,9 +295,24 @@ class Scorer:
         w, s = np.concatenate(done_word), np.concatenate(done_state)
         hit = a.term[s] >= 0
         w, s = w[hit], s[hit]
-        order = np.argsort(w)
+        order = np.lexsort((w, a.edits[s], owner[w]))
         w, s = w[order], s[order]
-        return start[w], end[w], a.term[s], a.edits[s], len(start), start
+        best = np.r_[True, np.diff(owner[w]) != 0][:len(w)]      # fewest edits of each word
+        w, s = w[best], s[best]
+        return start[w], end[w], a.term[s], a.edits[s], len(words), words
+
+    def misspelled(self, text: str) -> set[tuple[str, int]]:
+        """Forms of the text that match with edits, and their terms."""
+        return {(self.form(part[s:e], t), t) for part in slices(text)
+                for s, e, t, k in zip(*(x.tolist() for x in self.matches(part)[:4])) if k}
+
+    def form(self, word: str, term: int) -> str:
+        """The word, for a stem only as many characters of it, marked with a hyphen."""
+        text, whole, _ = self.terms[term]
+        return word.lower() if whole else word.lower()[:len(text)] + "-"
+
+    def trusted(self, word: str, term: int) -> float:
+        return self.trust.get(self.form(word, term), 1.0) if self.trust else 1.0
 
     def context(self, text: str, start: int, end: int) -> float:
         """Weight of a match by its context window."""
@@ -281,7 +344,7 @@ class Scorer:
             for s, e, t, k in zip(start.tolist(), end.tolist(), term.tolist(), edits.tolist()):
                 v = self.terms[t][2] * self.context(part, s, e)
                 if k:
-                    fuzzy += v / (1 + k)
+                    fuzzy += v * self.trusted(part[s:e], t) / (1 + k)
                 else:
                     exact += v
         return self._row(exact, fuzzy, words)
@@ -319,7 +382,7 @@ class Scorer:
                                  edits.tolist()):
             v = self.terms[t][2] * self.context(joined, s, e)
             if k:
-                fuzzy[d] += v / (1 + k)
+                fuzzy[d] += v * self.trusted(joined[s:e], t) / (1 + k)
             else:
                 exact[d] += v
         for j, i in enumerate(group):
@@ -411,14 +474,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # the strongest prefixes, a bounded number
     rows = (counts.filter("n <= 0.1 * t").orderBy(F.desc("t"), "prefix")
             .limit(MAX_TERMS * 200).collect())
-    terms = choose_terms({r.prefix: (r.t, r.n) for r in rows}, toxic, clean, counts.count())
-    scorer = Scorer(terms, build_automaton([(x, w) for x, w, _ in terms]) if terms else None,
-                    letter_bits(), np.zeros(4))
+    seen = {r.prefix: (r.t, r.n) for r in rows}
+    terms = choose_terms(seen, toxic, clean, counts.count())
+    automaton = build_automaton([(x, w) for x, w, _ in terms], stem_edits(terms, seen),
+                                exact_first=False) if terms else None
+    scorer = Scorer(terms, automaton, letter_bits(), np.zeros(4))
     total = sum(share.values())
     prior = share.get(1, 0) / total if total else 0.0
     if not terms:
         scorer.weights[-1] = math.log(max(prior, 1e-6) / max(1 - prior, 1e-6))
         return scorer
+    scorer.trust = trust_of(sample, scorer, toxic, clean, [seen[x + END * w] for x, w, _ in terms])
     got = (sample.repartition("id").select("id", "text", "toxic")
            .mapInArrow(_features_of(sample, scorer), "toxic int, f array<double>")).collect()
     got = sorted((r.toxic, tuple(r.f)) for r in got)          # docs_per_label rows per label
@@ -437,7 +503,35 @@ def _packed(scorer: Scorer) -> dict:
 def _unpacked(packed: dict) -> Scorer:
     a = packed["automaton"]
     return Scorer(packed["terms"], a and Automaton(**a), packed["letters"],
-                  packed["weights"]).prepare()
+                  packed["weights"], packed["trust"]).prepare()
+
+
+def trust_of(sample: DataFrame, scorer: Scorer, toxic: int, clean: int,
+             exact: list[tuple]) -> dict[str, float]:
+    """Per form that clean texts of the sample have and that matches with edits: its log-odds as a
+    share (0 to 1) of those of the term (``exact``: toxic and clean clusters per term)."""
+    shared = sample.sparkSession.sparkContext.broadcast(_packed(scorer))
+
+    def run(batches):
+        model = _unpacked(shared.value)
+        for b in batches:
+            rows = [(y, c, *wt) for x, y, c in zip(*(b.column(i).to_pylist() for i in range(3)))
+                    for wt in sorted(model.misspelled(x or ""))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(
+                    (pa.int32(), pa.int64(), pa.string(), pa.int32()))],
+                names=["toxic", "cluster", "word", "term"])
+    once = F.count_distinct(F.when(F.col("toxic") == 1, F.col("cluster"))).alias("t")
+    seen = (sample.select("text", "toxic", "cluster")
+            .mapInArrow(run, "toxic int, cluster long, word string, term int")
+            .groupBy("word", "term")
+            .agg(once, F.count_distinct(F.when(F.col("toxic") == 0, F.col("cluster"))).alias("n"))
+            .filter("n > 0").orderBy("word", "term").collect())   # of the bounded sample
+
+    def odds(t: int, c: int) -> float:
+        return math.log((t + 0.5) / (toxic + 1) / ((c + 0.5) / (clean + 1)))
+    return {r.word: min(1.0, max(0.0, odds(r.t, r.n) / max(odds(*exact[r.term][:2]), 1e-9)))
+            for r in seen}
 
 
 def _features_of(df: DataFrame, scorer: Scorer):

@@ -106,6 +106,30 @@ def test_automaton_accepts_exactly_the_allowed_edits():
         assert hit == (best is not None), w
 
 
+def matched(scorer, word):
+    _, _, term, edits, n, _ = scorer.matches(f"aa {word} bb")
+    assert n == 3
+    return [(scorer.terms[t][0], e) for t, e in zip(term.tolist(), edits.tolist())]
+
+
+def test_edits_at_the_first_character_leading_symbols_and_stems():
+    terms = [("asshole", True, 1.0), ("idiot", False, 1.0), ("moron", True, 1.0)]
+    counts = {"idiot\n": (9, 0), "idiots\n": (9, 0), "idiotic\n": (9, 0), "moron\n": (9, 0)}
+    edits = X.stem_edits(terms, counts)
+    assert edits == [1, 1, 1]
+    a = X.build_automaton([t[:2] for t in terms], edits, exact_first=False)
+    s = X.Scorer(terms, a, X.letter_bits(), np.zeros(4)).prepare()
+    for w, term in [("diot", "idiot"), ("xidiot", "idiot"), ("ydiot", "idiot"), ("oron", "moron"),
+                    ("xmoron", "moron"), ("@sshole", "asshole"), ("*diot", "idiot"),
+                    ("ixiots", "idiot"), ("idotic", "idiot")]:
+        assert matched(s, w) == [(term, 1)], w
+    for w, term in [("idiot", "idiot"), ("idiots", "idiot"), ("*moron*", "moron"),
+                    ("@idiot", "idiot"), ("@@moron", "moron")]:
+        assert matched(s, w) == [(term, 0)], w
+    for w in ("xxmoron", "ron", "table", "@"):
+        assert not s.matches(w)[2].size
+
+
 def test_toxicity_learns_and_tells_quotation(spark):
     r = np.random.Generator(np.random.PCG64(3))
     vocab = [f"{a}{b}{c}" for a in "bcdfg" for b in "aeiou" for c in "lmnrst"]
