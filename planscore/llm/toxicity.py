@@ -4,8 +4,9 @@ Fitting (on a bounded sample: at most ``SAMPLE_DOCS`` labelled texts per label,
 the id, outside the held-out fold):
 
 1. *Lexicon.* All prefixes of the sample's words are counted by label, near copies (equal minimum
-   hash of three-word sequences) as one text. Prefixes that mark toxic
-   texts beyond chance (log-likelihood against the number of prefixes tested) form a trie, which is
+   hash of three-word sequences) as one text, once over the whole text and once outside quotation
+   marks. Prefixes that by either count mark toxic texts beyond chance (log-likelihood against the
+   number of prefixes tested) and at ``RATIO`` times the clean texts' rate form a trie, which is
    cut where a term ends (``idiot``) or where its continuations fan out (a stem such as ``xyz-``).
    At most ``MAX_TERMS`` terms with their log-odds weights are kept.
 2. *Automaton.* The trie is intersected with the Levenshtein automata of its terms (distance 0 to
@@ -53,6 +54,8 @@ SAMPLE_DOCS = 2000             # per label
 MAX_TERMS = 200
 LONGEST = 12                   # characters of the prefixes counted
 MIN_DOCS = 3                   # toxic texts that a term must occur in
+RATIO = 10                     # a term's rate in toxic texts against that in clean ones
+QUOTES = '"[^"\n]*"|“[^”\n]*”|«[^»\n]*»|„[^“\n]*“'
 QUOTED = 0.02
 AROUND = 48                    # characters of context on either side
 SLICE = 1 << 20
@@ -194,20 +197,30 @@ def build_automaton(terms: list[tuple[str, bool]], edits: list[int] | None = Non
     return Automaton(chars, np.array(table, np.int32), np.array(term), np.array(cost))
 
 
-def choose_terms(counts: dict[str, tuple[int, int]], toxic: int, clean: int,
+def choose_terms(counts: dict[str, tuple], toxic: int, clean: int,
                  tested: int) -> list[tuple[str, bool, float]]:
-    """(text, whole word, weight) from the prefix counts (toxic texts, clean texts)."""
+    """(text, whole word, weight) from the prefix counts: toxic and clean texts, then, if given,
+    those that have the prefix outside quotation marks."""
     if not toxic or not clean:
         return []
     base = toxic / (toxic + clean)
 
-    def good(p: str) -> bool:
-        t, n = counts[p]
+    def odds(p: str) -> float:
+        c = counts[p]
+        return max(math.log((t + 0.5) / (toxic + 1) / ((n + 0.5) / (clean + 1)))
+                   for t, n in zip(c[::2], c[1::2]))
+
+    def marks(t: int, n: int) -> bool:
         if t < MIN_DOCS:
             return False
         share = t / (t + n)
         gain = t * math.log(share / base) + (n * math.log((1 - share) / (1 - base)) if n else 0)
-        return share > base and n <= 0.1 * t and gain > math.log(10.0 * max(tested, 1))
+        return (share > base and RATIO * n * toxic <= t * clean
+                and gain > math.log(10.0 * max(tested, 1)))
+
+    def good(p: str) -> bool:
+        c = counts[p]
+        return any(marks(t, n) for t, n in zip(c[::2], c[1::2]))
 
     accepted = {p for p in counts if good(p)}
     follow: dict[str, list[str]] = {}
@@ -223,8 +236,7 @@ def choose_terms(counts: dict[str, tuple[int, int]], toxic: int, clean: int,
             todo += below
         else:
             out.append((p, False))
-    weights = {(x, w): math.log(((t := counts[x + END * w])[0] + 0.5) / (toxic + 1)
-                                / ((t[1] + 0.5) / (clean + 1))) for x, w in out}
+    weights = {(x, w): odds(x + END * w) for x, w in out}
     best = sorted(weights.items(), key=lambda kv: (-kv[1], kv[0]))[:MAX_TERMS]
     return sorted((x, w, v / best[0][1]) for (x, w), v in best)
 
@@ -437,18 +449,26 @@ def cluster_of(text: Column) -> Column:
 
 
 def prefix_counts(sample: DataFrame) -> DataFrame:
-    """``prefix, t, n`` (toxic and clean clusters that contain it) over ``text, toxic,
-    cluster``."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0)))
+    """``prefix, t, n, tu, nu`` (toxic and clean clusters that contain it, then those that contain
+    it outside quotation marks) over ``text, toxic, cluster``."""
+    def words(text: Column) -> Column:
+        return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0)))
     w = F.col("w")
     prefixes = F.transform(F.sequence(F.lit(3), F.greatest(F.lit(3), F.least(
         F.length(w), F.lit(LONGEST)))), lambda k: F.substr(w, F.lit(1), k))
-    seen = (sample.select("cluster", "toxic", F.explode(words).alias("w")).distinct()
+    plain = words(F.regexp_replace("text", QUOTES, " "))
+    seen = (sample.select("cluster", "toxic", plain.alias("plain"), words(F.col("text")).alias("a"))
+            .select("cluster", "toxic", "plain", F.explode("a").alias("w"))
+            .select("cluster", "toxic", "w",
+                    F.array_contains("plain", w).cast("int").alias("plain"))
+            .groupBy("cluster", "toxic", "w").agg(F.max("plain").alias("plain"))
             .filter("length(w) >= 3")
-            .select("cluster", "toxic", F.explode(F.concat(
-                prefixes, F.array(F.concat(w, F.lit(END))))).alias("prefix")).distinct())
-    return seen.groupBy("prefix").agg(
-        F.sum("toxic").cast("long").alias("t"), F.sum(1 - F.col("toxic")).cast("long").alias("n"))
+            .select("cluster", "toxic", "plain", F.explode(F.concat(
+                prefixes, F.array(F.concat(w, F.lit(END))))).alias("prefix"))
+            .groupBy("cluster", "toxic", "prefix").agg(F.max("plain").alias("plain")))
+    bad, good = F.col("toxic"), 1 - F.col("toxic")
+    return seen.groupBy("prefix").agg(*[F.sum(x).cast("long").alias(c) for c, x in [
+        ("t", bad), ("n", good), ("tu", bad * F.col("plain")), ("nu", good * F.col("plain"))]])
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -472,9 +492,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         F.count_distinct(F.when(F.col("toxic") == 0, F.col("cluster")))).first()
     counts = materialize(prefix_counts(sample).filter(F.col("t") >= MIN_DOCS), "prefix-counts")
     # the strongest prefixes, a bounded number
-    rows = (counts.filter("n <= 0.1 * t").orderBy(F.desc("t"), "prefix")
-            .limit(MAX_TERMS * 200).collect())
-    seen = {r.prefix: (r.t, r.n) for r in rows}
+    rows = (counts.filter(f"{RATIO} * n * {toxic} <= t * {clean} or "
+                          f"(tu >= {MIN_DOCS} and {RATIO} * nu * {toxic} <= tu * {clean})")
+            .orderBy(F.desc("t"), "prefix").limit(MAX_TERMS * 200).collect())
+    seen = {r.prefix: (r.t, r.n, r.tu, r.nu) for r in rows}
     terms = choose_terms(seen, toxic, clean, counts.count())
     automaton = build_automaton([(x, w) for x, w, _ in terms], stem_edits(terms, seen),
                                 exact_first=False) if terms else None

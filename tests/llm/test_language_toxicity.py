@@ -130,6 +130,20 @@ def test_edits_at_the_first_character_leading_symbols_and_stems():
         assert not s.matches(w)[2].size
 
 
+def test_terms_by_rates_and_outside_quotation(spark):
+    # 25 % of 200 toxic texts, 0.3 % of 2000 clean ones
+    assert [t[:2] for t in X.choose_terms({"idiot\n": (50, 6)}, 200, 2000, 1000)] == [
+        ("idiot\n"[:-1], True)]
+    texts = ([(i, 1, f"one a{i} idiot zzz") for i in range(20)]
+             + [(100 + i, 0, f'he wrote "idiot b{i}" zzz') for i in range(15)]
+             + [(200 + i, 0, "«idiot» idiot zzz") for i in range(2)])
+    got = {r.prefix: (r.t, r.n, r.tu, r.nu) for r in X.prefix_counts(spark.createDataFrame(
+        texts, "cluster long, toxic int, text string")).collect()}
+    assert got["idiot\n"] == got["idi"] == (20, 17, 20, 2) and got["zzz"] == (20, 17, 20, 17)
+    terms = X.choose_terms(got, 40, 100, len(got))
+    assert ("idiot", True) in [t[:2] for t in terms] and "zzz" not in [t[0] for t in terms]
+
+
 def test_toxicity_learns_and_tells_quotation(spark):
     r = np.random.Generator(np.random.PCG64(3))
     vocab = [f"{a}{b}{c}" for a in "bcdfg" for b in "aeiou" for c in "lmnrst"]
