@@ -8,11 +8,11 @@ the id, outside the held-out fold):
    marks. Prefixes that by either count mark toxic texts beyond chance (log-likelihood against the
    number of prefixes tested) and at ``RATIO`` times the clean texts' rate form a trie, which is
    cut where a term ends (``idiot``) or where its continuations fan out (a stem such as ``xyz-``).
-   At most ``MAX_TERMS`` terms with their log-odds weights are kept.
+   All of them are kept with their log-odds weights.
 2. *Automaton.* The trie is intersected with the Levenshtein automata of its terms (distance 0 to
    2 by length, edits at every character; a stem has the edits of the whole words it stands for)
-   and determinised into one transition table over character classes; look-alike digits fold into
-   letters.
+   and determinised into one transition table over character classes for every ``MAX_TERMS`` terms;
+   look-alike digits fold into letters.
 3. *Doubt.* Words that match as misspellings but are in the sample's clean texts too (ordinary
    words near a term) get a lower weight, by their own log-odds.
 4. *Weights.* A logistic regression on the document features below.
@@ -23,7 +23,7 @@ quotation marks or beside reporting words (``said``, ``the word``) it counts as
 an address (``you``) as abuse. Features are the log-scaled sums of exact and of misspelled matches
 and their density; quoted matches keep ``QUOTED`` of their weight.
 
-The lexicon, the table and the weights are broadcast; their size is bounded by the parameters.
+The lexicon, the tables and the weights are broadcast; the sample bounds their size.
 Words are runs of letters and digits, with single symbols (``@ * $ !``) inside; up to ``LEAD``
 symbols before a word are read with and without it, and the reading with fewer edits counts.
 
@@ -51,7 +51,7 @@ from planscore.llm.sampling import bounded_sample, held_out
 from planscore.session import materialize
 
 SAMPLE_DOCS = 2000             # per label
-MAX_TERMS = 200
+MAX_TERMS = 200                # of one automaton; as many automata as the terms need
 LONGEST = 12                   # characters of the prefixes counted
 MIN_DOCS = 3                   # toxic texts that a term must occur in
 RATIO = 10                     # a term's rate in toxic texts against that in clean ones
@@ -107,11 +107,11 @@ def stem_edits(terms: list[tuple], counts: dict[str, tuple]) -> list[int]:
 
 
 def build_automaton(terms: list[tuple[str, bool]], edits: list[int] | None = None,
-                    exact_first: bool = True) -> Automaton:
+                    exact_first: bool = True, chars: list | None = None) -> Automaton:
     """Determinised product of the terms' trie and their Levenshtein automata, with the given
     edits per term (else those of its length); without ``exact_first`` the first character may be
-    missing, wrong or one too many as any other."""
-    chars = sorted({c for t, _ in terms for c in t})
+    missing, wrong or one too many as any other. ``chars`` may hold more than the terms'."""
+    chars = chars or sorted({c for t, _ in terms for c in t})
     child: list[dict] = [{}]
     reach = [0]                                    # most edits any term below allows
     ends: list[dict] = [{}]                        # whole? -> (term, allowed)
@@ -197,6 +197,18 @@ def build_automaton(terms: list[tuple[str, bool]], edits: list[int] | None = Non
     return Automaton(chars, np.array(table, np.int32), np.array(term), np.array(cost))
 
 
+def build_automata(terms: list[tuple[str, bool]], edits: list[int]) -> list[Automaton]:
+    """Automata of at most ``MAX_TERMS`` terms, over the characters of all terms; together they
+    number the terms as given."""
+    chars = sorted({c for t, _ in terms for c in t})
+    out = []
+    for i in range(0, len(terms), MAX_TERMS):
+        a = build_automaton(terms[i:i + MAX_TERMS], edits[i:i + MAX_TERMS], False, chars)
+        a.term[a.term >= 0] += i
+        out.append(a)
+    return out
+
+
 def choose_terms(counts: dict[str, tuple], toxic: int, clean: int,
                  tested: int) -> list[tuple[str, bool, float]]:
     """(text, whole word, weight) from the prefix counts: toxic and clean texts, then, if given,
@@ -237,16 +249,16 @@ def choose_terms(counts: dict[str, tuple], toxic: int, clean: int,
         else:
             out.append((p, False))
     weights = {(x, w): odds(x + END * w) for x, w in out}
-    best = sorted(weights.items(), key=lambda kv: (-kv[1], kv[0]))[:MAX_TERMS]
-    return sorted((x, w, v / best[0][1]) for (x, w), v in best)
+    best = max(weights.values(), default=1.0)
+    return sorted((x, w, v / best) for (x, w), v in weights.items())
 
 
 @dataclasses.dataclass
 class Scorer:
-    """The lexicon's automaton, the fixed character tables and the regression weights."""
+    """The lexicon's automata, the fixed character tables and the regression weights."""
 
     terms: list
-    automaton: Automaton | None
+    automata: list
     letters: np.ndarray            # packed bits by code point: letter or digit
     weights: np.ndarray            # of the features, last the intercept
     trust: dict | None = None      # factors of misspelled matches, by form; others have 1
@@ -255,7 +267,7 @@ class Scorer:
         """Character tables, built once per task."""
         self.is_word = np.unpackbits(self.letters).astype(bool)
         self.inner = np.isin(np.arange(128), [ord(c) for c in "@*$!"])
-        chars = self.automaton.chars if self.automaton else []
+        chars = self.automata[0].chars if self.automata else []
         self.cls = np.full(0x110000, len(chars), np.int16)
         for i, c in enumerate(chars):
             for x in {c, c.upper(), c.title()}:
@@ -280,9 +292,8 @@ class Scorer:
             word = word | sym
         edge = np.diff(np.r_[False, word, False].astype(np.int8))
         start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        a = self.automaton
         words = start
-        if a is None or not len(start):
+        if not self.automata or not len(start):
             return start[:0], end[:0], start[:0], start[:0], len(words), words
         # words behind symbols are read once more with each of them
         owner = lead = np.arange(len(start))
@@ -292,6 +303,17 @@ class Scorer:
             owner = np.r_[owner, lead]
             start, end = np.r_[start, words[lead] - k], np.r_[end, end[lead]]
         cls = self.cls[code]
+        runs = [self._run(a, cls, start, end) for a in self.automata]
+        w, term, edits = (np.concatenate(x) for x in zip(*runs))
+        order = np.lexsort((term, w, edits, owner[w]))
+        w, term, edits = w[order], term[order], edits[order]
+        best = np.r_[True, np.diff(owner[w]) != 0][:len(w)]      # fewest edits of each word
+        w = w[best]
+        return start[w], end[w], term[best], edits[best], len(words), words
+
+    @staticmethod
+    def _run(a: Automaton, cls: np.ndarray, start: np.ndarray, end: np.ndarray):
+        """(word, term, edits) of the words that the automaton accepts."""
         state = a.step[1, cls[start]]
         alive = np.flatnonzero(state)
         at, state = start[alive] + 1, state[alive]
@@ -306,12 +328,7 @@ class Scorer:
             alive, at, state = alive[go], at[go] + 1, state[go]
         w, s = np.concatenate(done_word), np.concatenate(done_state)
         hit = a.term[s] >= 0
-        w, s = w[hit], s[hit]
-        order = np.lexsort((w, a.edits[s], owner[w]))
-        w, s = w[order], s[order]
-        best = np.r_[True, np.diff(owner[w]) != 0][:len(w)]      # fewest edits of each word
-        w, s = w[best], s[best]
-        return start[w], end[w], a.term[s], a.edits[s], len(words), words
+        return w[hit], a.term[s[hit]], a.edits[s[hit]]
 
     def misspelled(self, text: str) -> set[tuple[str, int]]:
         """Forms of the text that match with edits, and their terms."""
@@ -491,15 +508,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         F.count_distinct(F.when(F.col("toxic") == 1, F.col("cluster"))),
         F.count_distinct(F.when(F.col("toxic") == 0, F.col("cluster")))).first()
     counts = materialize(prefix_counts(sample).filter(F.col("t") >= MIN_DOCS), "prefix-counts")
-    # the strongest prefixes, a bounded number
+    # prefixes of the bounded sample
     rows = (counts.filter(f"{RATIO} * n * {toxic} <= t * {clean} or "
                           f"(tu >= {MIN_DOCS} and {RATIO} * nu * {toxic} <= tu * {clean})")
-            .orderBy(F.desc("t"), "prefix").limit(MAX_TERMS * 200).collect())
+            .orderBy("prefix").collect())
     seen = {r.prefix: (r.t, r.n, r.tu, r.nu) for r in rows}
     terms = choose_terms(seen, toxic, clean, counts.count())
-    automaton = build_automaton([(x, w) for x, w, _ in terms], stem_edits(terms, seen),
-                                exact_first=False) if terms else None
-    scorer = Scorer(terms, automaton, letter_bits(), np.zeros(4))
+    scorer = Scorer(terms, build_automata([(x, w) for x, w, _ in terms], stem_edits(terms, seen)),
+                    letter_bits(), np.zeros(4))
     total = sum(share.values())
     prior = share.get(1, 0) / total if total else 0.0
     if not terms:
@@ -517,14 +533,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def _packed(scorer: Scorer) -> dict:
-    a = scorer.automaton
-    return {**vars(scorer), "automaton": a and vars(a)}
+    return {**vars(scorer), "automata": [vars(a) for a in scorer.automata]}
 
 
 def _unpacked(packed: dict) -> Scorer:
-    a = packed["automaton"]
-    return Scorer(packed["terms"], a and Automaton(**a), packed["letters"],
-                  packed["weights"], packed["trust"]).prepare()
+    return Scorer(packed["terms"], [Automaton(**a) for a in packed["automata"]],
+                  packed["letters"], packed["weights"], packed["trust"]).prepare()
 
 
 def trust_of(sample: DataFrame, scorer: Scorer, toxic: int, clean: int,

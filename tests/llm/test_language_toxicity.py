@@ -117,7 +117,7 @@ def test_edits_at_the_first_character_leading_symbols_and_stems():
     counts = {"idiot\n": (9, 0), "idiots\n": (9, 0), "idiotic\n": (9, 0), "moron\n": (9, 0)}
     edits = X.stem_edits(terms, counts)
     assert edits == [1, 1, 1]
-    a = X.build_automaton([t[:2] for t in terms], edits, exact_first=False)
+    a = X.build_automata([t[:2] for t in terms], edits)
     s = X.Scorer(terms, a, X.letter_bits(), np.zeros(4)).prepare()
     for w, term in [("diot", "idiot"), ("xidiot", "idiot"), ("ydiot", "idiot"), ("oron", "moron"),
                     ("xmoron", "moron"), ("@sshole", "asshole"), ("*diot", "idiot"),
@@ -144,6 +144,21 @@ def test_terms_by_rates_and_outside_quotation(spark):
     assert ("idiot", True) in [t[:2] for t in terms] and "zzz" not in [t[0] for t in terms]
 
 
+def test_every_significant_term_is_kept():
+    r = np.random.Generator(np.random.PCG64(6))
+    words = sorted({"".join(r.choice(list("abcdefghijklmnopqrst"), 6)) for _ in range(450)})
+    counts = {w[:k]: (50, 0) for w in words for k in range(3, 7)}
+    counts |= {w + X.END: (50, 0) for w in words}
+    terms = X.choose_terms(counts, 1000, 1000, len(counts))
+    edits = X.stem_edits(terms, counts)
+    s = X.Scorer(terms, X.build_automata([t[:2] for t in terms], edits), X.letter_bits(),
+                 np.zeros(4)).prepare()
+    assert len(terms) > 2 * X.MAX_TERMS == 400 and len(s.automata) == 3
+    for w in words:
+        (term, e), = matched(s, w)
+        assert w.startswith(term) and e == 0
+
+
 def test_toxicity_learns_and_tells_quotation(spark):
     r = np.random.Generator(np.random.PCG64(3))
     vocab = [f"{a}{b}{c}" for a in "bcdfg" for b in "aeiou" for c in "lmnrst"]
