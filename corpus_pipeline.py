@@ -4,8 +4,8 @@ Each stage takes ``(spark, docs, sf_dir)`` and works on all that its predecessor
 is written as Parquet and read again as the next one's ``docs``. All stages but the last return the
 columns of ``documents``.
 
-1. ``language_id``: texts without a letter and texts whose likeliest language has a probability
-   below ``MIN_SCORE`` go.
+1. ``language_id``: texts without a letter and texts that are not familiar (too few of their byte
+   sequences occur in the labelled sample, see ``language_id``) go.
 2. ``line_dedup``: later occurrences of repeated three-line windows are cut out of the texts,
    ``n_chars`` follows; documents left without any line go.
 3. ``near_dedup``: one document of each group at 0.8 of distinct five-word shingles stays.
@@ -22,15 +22,15 @@ from planscore.llm import (entropy_mix, language_id, line_dedup, minhash_hamming
                            sentencepiece_bpe)
 from planscore.session import materialize
 
-# texts in two known languages score about one half each and stay; only texts like none go
-MIN_SCORE = 0.3
+# the largest softmax share rejects nothing, as its least value hangs on the number of labels
+MIN_SCORE = 0.0
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = language_id.identify(docs, language_id.fit(docs), pred_col="_lang_pred",
-                               score_col="_lang_score")
+                               score_col="_lang_score", familiar_col="_lang_familiar")
     return out.filter((F.col("_lang_pred") != language_id.UNKNOWN)
-                      & (F.col("_lang_score") >= MIN_SCORE)).select(*docs.columns)
+                      & F.col("_lang_familiar")).select(*docs.columns)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

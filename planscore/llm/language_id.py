@@ -11,6 +11,11 @@ Prediction covers every byte of every text: windows overlap by the largest filte
 so each filter position falls into one window; window probabilities are averaged by the number of
 bytes. Windows are worked off in blocks of ``BLOCK`` whatever the length of the texts.
 
+A text is *familiar* if enough of its runs of ``GRAM`` letter or space bytes occur in the sample of
+any label: ``SLACK`` times what nearly all sample windows reach against the other half of the sample,
+less what a text of its length may miss by chance. So text in one or several learned languages is
+familiar, gibberish and other languages are not, whatever the number of labels.
+
 Definitions: a null text or one without a letter (Unicode category L) is ``und`` with score 0.
 Equal texts get equal predictions. Without labelled rows everything is ``und``. With one label
 everything with a letter gets it, score 1. Columns named like the results are replaced.
@@ -38,9 +43,13 @@ SAMPLE_DOCS = 300              # per language
 SAMPLE_WINDOWS = 4             # per text
 EPOCHS, BATCH, RATE, DECAY = 14, 64, 0.02, 1e-4
 UNKNOWN = "und"
+GRAM, GRAM_BITS = 4, 22
+SLACK, NEARLY_ALL = 0.7, 0.05
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+_TEXTUAL = np.zeros(256, bool)                               # letters, other scripts, space
+_TEXTUAL[97:123] = _TEXTUAL[128:] = _TEXTUAL[32] = True
 
 
 @dataclasses.dataclass
@@ -52,6 +61,8 @@ class ByteCnn:
     bias: np.ndarray
     dense: np.ndarray
     dense_bias: np.ndarray
+    grams: np.ndarray | None = None                          # packed bits by hash: seen
+    least: float = 0.0                                       # share of a familiar text
 
     def pooled(self, windows: np.ndarray, places: bool = False):
         """Max-pooled filter outputs, one row per window (and the places of the maxima)."""
@@ -137,6 +148,47 @@ def padded(raw: bytes) -> np.ndarray:
     return out
 
 
+def gram_hashes(raw: np.ndarray) -> np.ndarray:
+    """Hashes of the runs of ``GRAM`` letter or space bytes."""
+    low = _LOWER[raw]
+    n = max(0, len(low) - GRAM + 1)
+    code, good = np.zeros(n, np.uint32), np.ones(n, bool)
+    for k in range(GRAM):
+        code = code << np.uint32(8) | low[k:k + n]
+        good &= _TEXTUAL[low[k:k + n]]
+    return (code[good] * np.uint32(2654435761)) >> np.uint32(32 - GRAM_BITS)
+
+
+def gram_table(cuts) -> np.ndarray:
+    seen = np.zeros(1 << GRAM_BITS, bool)
+    for c in cuts:
+        seen[gram_hashes(np.frombuffer(c.encode(), np.uint8))] = True
+    return seen
+
+
+def least_share(halves: list[list[str]]) -> float:
+    """Share of seen grams that a familiar text has: each half of the sample meets the other's."""
+    shares = []
+    for cuts, other in (halves, halves[::-1]):
+        seen = gram_table(other)
+        got = [seen[gram_hashes(np.frombuffer(c.encode(), np.uint8))] for c in cuts]
+        shares += [x.mean() for x in got if len(x) >= WINDOW // 4]
+    return SLACK * float(np.quantile(shares, NEARLY_ALL)) if shares else 0.0
+
+
+def familiar_column(net: ByteCnn, seen: np.ndarray, column) -> np.ndarray:
+    """Whether the texts of an Arrow column are familiar; worked off in blocks."""
+    data, offsets = text_bytes(column)
+    out = np.ones(len(offsets) - 1, bool)
+    for i in range(len(out)):
+        n = known = 0
+        for a in range(int(offsets[i]), int(offsets[i + 1]), 1 << 20):
+            h = gram_hashes(data[a:min(a + (1 << 20) + GRAM - 1, int(offsets[i + 1]))])
+            n, known = n + len(h), known + int(seen[h].sum())
+        out[i] = n == 0 or known / n + n ** -0.5 >= net.least
+    return out
+
+
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang",
         docs_per_label: int = SAMPLE_DOCS) -> ByteCnn | None:
     """Train on a bounded sample of the labelled rows outside the held-out fold."""
@@ -152,11 +204,16 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col
     picked = (rows.filter(F.col("label").isNotNull() & ~held_out(F.col("id")))
               .join(F.broadcast(ids.select("id")),           # docs_per_label rows per label
                     "id", "left_semi")
-              .select("label", F.explode(cuts).alias("cut")))
-    known = sorted((r.label, r.cut) for r in picked.distinct().collect() if r.cut)
+              .select("label", F.pmod(F.xxhash64("id", F.lit(5)), F.lit(2)).alias("half"),
+                      F.explode(cuts).alias("cut")))
+    got = [r for r in picked.distinct().collect() if r.cut]
+    known = sorted({(r.label, r.cut) for r in got})
     if not known:
         return None
-    return train(np.stack([padded(c.encode()) for _, c in known]), [x for x, _ in known])
+    net = train(np.stack([padded(c.encode()) for _, c in known]), [x for x, _ in known])
+    net.grams = np.packbits(gram_table(c for _, c in known))
+    net.least = least_share([[r.cut for r in got if r.half == h] for h in (0, 1)])
+    return net
 
 
 def predict_column(net: ByteCnn, column) -> tuple[np.ndarray, np.ndarray]:
@@ -181,9 +238,11 @@ def predict_column(net: ByteCnn, column) -> tuple[np.ndarray, np.ndarray]:
 
 
 def identify(df: DataFrame, net: ByteCnn | None, text_col: str = "text",
-             pred_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
-    """Adds the prediction and its score."""
-    keep = [c for c in df.columns if c not in (pred_col, score_col)]
+             pred_col: str = "lang_pred", score_col: str = "score",
+             familiar_col: str | None = None) -> DataFrame:
+    """Adds the prediction and its score and, if named, whether the text is familiar."""
+    added = [pred_col, score_col] + ([familiar_col] if familiar_col else [])
+    keep = [c for c in df.columns if c not in added]
     shared = df.sparkSession.sparkContext.broadcast(net and vars(net))
     at = keep.index(text_col)
 
@@ -191,6 +250,7 @@ def identify(df: DataFrame, net: ByteCnn | None, text_col: str = "text",
         import regex
         letter = regex.compile(r"\p{L}")
         model = shared.value and ByteCnn(**shared.value)
+        seen = np.unpackbits(model.grams).astype(bool) if familiar_col and model else None
         for b in batches:
             texts = b.column(at)
             known = np.array([bool(letter.search(x.as_py() or "")) for x in texts], bool)
@@ -200,11 +260,17 @@ def identify(df: DataFrame, net: ByteCnn | None, text_col: str = "text",
                 best, p = predict_column(model, texts)
                 name[known] = np.array(model.labels, object)[best[known]]
                 score[known] = np.minimum(p[known], 1.0)
+            more = []
+            if familiar_col:
+                more = [pa.array(np.zeros(len(texts), bool) if seen is None
+                                 else familiar_column(model, seen, texts))]
             yield pa.RecordBatch.from_arrays(
-                b.columns + [pa.array(name, pa.string()), pa.array(score)],
-                names=keep + [pred_col, score_col])
+                b.columns + [pa.array(name, pa.string()), pa.array(score)] + more,
+                names=keep + added)
     schema = df.select(*[df[c] for c in keep]).schema.add(pred_col, "string").add(
         score_col, "double")
+    if familiar_col:
+        schema = schema.add(familiar_col, "boolean")
     return df.select(*[df[c] for c in keep]).mapInArrow(run, schema)
 
 

@@ -1,5 +1,6 @@
 """The pipeline's stages against brute force, each on its own input."""
 
+import random
 from collections import Counter
 
 import pytest
@@ -81,3 +82,22 @@ def test_odd_documents_pass_all_stages(spark):
         for name, stage in P.STAGES:
             out = materialize(stage(spark, out, SF), f"odd-{name}")
         assert (out.count() == 0) == (frame is not docs)
+
+
+def test_language_stage_rejects_gibberish_and_unlearned_languages(spark):
+    r = random.Random(4)
+
+    def tongue(seed):
+        own = random.Random(seed)
+        parts = ["".join(own.choice("bcdfghklmnprstvwz") + own.choice("aeiou")
+                         for _ in range(2)) for _ in range(30)]
+        return lambda n: " ".join(r.choice(parts) + r.choice(parts) for _ in range(n))
+    first, second, third = tongue(1), tongue(2), tongue(3)
+    for learned in ([first, second], [first]):
+        rows = [(i, learned[i % len(learned)](80), f"l{i % len(learned)}") for i in range(200)]
+        odd = [(900, learned[0](40) + " " + learned[-1](40), None), (901, third(80), None),
+               (902, "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(500)), None),
+               (903, learned[0](3) + " 12 34", None)]
+        docs = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string")
+        kept = {x.doc_id for x in P.language_stage(spark, docs, SF).collect()}
+        assert kept == set(range(200)) | {900, 903}
