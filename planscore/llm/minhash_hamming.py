@@ -168,7 +168,7 @@ def _digest(s: np.ndarray) -> bytes:
 
 def signature_table(df: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
     """Per row: ``id, n_shingles, cls`` (digest of the set; null if empty), ``nid`` (its first
-    64 bits) and the signature."""
+    64 bits), ``h`` (hash of the text) and the signature."""
     def run(batches):
         for b in batches:
             for row, sets in _batches_of(b.column(1), k):
@@ -177,14 +177,15 @@ def signature_table(df: DataFrame, id_col: str, text_col: str, k: int) -> DataFr
                 nid = [int.from_bytes(c[:8], "little", signed=True) if c else None for c in cls]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(row, n), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array(cls, pa.binary()), pa.array(nid, pa.int64())]
+                     pa.array(cls, pa.binary()), pa.array(nid, pa.int64()),
+                     b.column(2).slice(row, n)]
                     + [pa.array(sig[:, i]) for i in range(CHUNKS)],
-                    names=["id", "n_shingles", "cls", "nid"] + SIG)
+                    names=["id", "n_shingles", "cls", "nid", "h"] + SIG)
     kind = df.schema[id_col].dataType.simpleString()
-    schema = (f"id {kind}, n_shingles long, cls binary, nid long, "
+    schema = (f"id {kind}, n_shingles long, cls binary, nid long, h long, "
               + ", ".join(f"{c} long" for c in SIG))
-    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, schema)
+    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+                     F.xxhash64(text_col).alias("h")).mapInArrow(run, schema)
 
 
 def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -321,6 +322,12 @@ def components(edges: DataFrame) -> DataFrame:
 def link_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
                    percent: int = 80) -> DataFrame:
     """Per row: ``id, n_shingles, component_id, kept``."""
+    return _linked(df, id_col, text_col, k, percent).select(
+        "id", "n_shingles", "component_id", "kept")
+
+
+def _linked(df: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
+    """:func:`link_documents` with ``cls``, ``h`` and the component's ``label``."""
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = materialize(signature_table(df, id_col, text_col, k), "signatures")
     full = rows.filter("cls is not null")
@@ -372,20 +379,38 @@ def link_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "label", F.coalesce("label", "cls"))
     ids = materialize(named.groupBy("label").agg(F.min("rep").alias("component_id")),
                       "component-ids")
-    by_class = named.join(ids, "label").select("cls", "component_id")
-    out = rows.select("id", "n_shingles", "cls").join(by_class, "cls", "left")
+    by_class = named.join(ids, "label").select("cls", "component_id", "label")
+    out = rows.select("id", "n_shingles", "cls", "h").join(by_class, "cls", "left")
     comp = F.when(F.col("cls").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return out.select("id", "n_shingles", comp.alias("component_id"),
-                      F.col("id").eqNullSafe(comp).alias("kept"))
+                      F.col("id").eqNullSafe(comp).alias("kept"), "cls", "h", "label")
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
              percent: int = 80) -> DataFrame:
-    """The rows of ``df`` whose document names its component (all its columns)."""
-    kept = link_documents(df, id_col, text_col, k, percent).filter("kept").select(
-        F.col("id").alias("_kept_id")).distinct()
-    return df.join(kept.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("_kept_id")),
-                   "left_semi")
+    """One row of ``df`` per component (all its columns): of the rows that share the id which names
+    it, the one with the smallest set digest and text hash. Rows without shingles are compared by
+    id and text."""
+    kept = _linked(df, id_col, text_col, k, percent).filter("kept")
+    alone = F.when(F.col("cls").isNull(), F.struct("id", "h"))
+    rows = (kept.groupBy("label", alone.alias("alone"), "id", "cls", "h")
+            .agg(F.count("*").alias("n")))
+    best = materialize(rows.groupBy("label", "alone").agg(
+        F.min(F.struct("cls", "h", "id", "n")).alias("b"))
+        .select(F.col("b.id").alias("_kept_id"), F.col("b.h").alias("_kept_h"),
+                F.col("b.n").alias("_kept_n")), "kept-rows")
+
+    def of(some: DataFrame) -> DataFrame:
+        return df.join(some.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("_kept_id"))
+                       & (F.xxhash64(text_col) == F.col("_kept_h")), "left_semi")
+    repeated = best.filter("_kept_n > 1")
+    if repeated.isEmpty():
+        return of(best)
+    # rows repeated exactly: one of them
+    return of(best.filter("_kept_n = 1")).union(
+        df.join(repeated.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("_kept_id"))
+                & (F.xxhash64(text_col) == F.col("_kept_h")))
+        .dropDuplicates(["_kept_id", "_kept_h"]).select(*[df[c] for c in df.columns]))
 
 
 def op9(spark, sf_dir: str) -> DataFrame:

@@ -6,6 +6,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from pyspark.sql import functions as F
+
 from planscore.llm import minhash_hamming as H
 from tests.llm import brute
 
@@ -100,3 +102,13 @@ def test_empty_table_and_repeated_ids(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (1, "other words here")]
     got = sorted((r.id, r.component_id) for r in H.link_documents(frame(spark, rows)).collect())
     assert got == [(1, 1), (1, 1), (1, 1), (2, 1)]
+
+
+def test_one_row_of_repeated_rows_and_shared_ids_stays(spark):
+    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (1, "other words here now"),
+            (3, "x y z w v u t"), (3, "a b c d e f"), (4, "hm"), (4, "hm"), (4, "oh"),
+            (5, "same id and near"), (5, "same id  and near"), (None, None), (None, None)]
+    got = H.keep_one(frame(spark, rows), k=4).select("doc_id", F.regexp_replace("text", " +", " ")).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(
+        [(1, "a b c d e f"), (1, "other words here now"), (3, "x y z w v u t"), (4, "hm"),
+         (4, "oh"), (5, "same id and near"), (None, None)], key=str)
