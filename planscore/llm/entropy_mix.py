@@ -200,16 +200,26 @@ def mix_rates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def mix_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                source_col: str = "source", **kw) -> DataFrame:
-    """The mix itself: the input's rows, each as often as it has copies. Rows repeated exactly
-    cannot be told apart; each takes the mean of their copies, rounded."""
+    """The mix itself: the input's rows, each as often as it has copies. Rows that share id, text
+    and source cannot be told apart; one of them is given as often as all have copies."""
     rates = (mix_rates(df, id_col, text_col, source_col, **kw).groupBy("id", "h", "key")
-             .agg(F.round(F.avg("copies")).cast("int").alias("_copies")).filter("_copies > 0")
+             .agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
+             .filter("_copies > 0")
              .select(F.col("id").alias("_m_id"), F.col("h").alias("_m_h"),
-                     F.col("key").alias("_m_key"), "_copies"))
-    out = df.join(rates.hint("shuffle_hash"),
-                  F.xxhash64(text_col).eqNullSafe(F.col("_m_h"))
-                  & F.col(id_col).eqNullSafe(F.col("_m_id"))
-                  & (source_key(F.col(source_col)) == F.col("_m_key")))
+                     F.col("key").alias("_m_key"), "_copies", "_rows"))
+    rates = materialize(rates, "mix-rows")
+
+    def of(some: DataFrame) -> DataFrame:
+        return df.join(some.hint("shuffle_hash"),
+                       F.xxhash64(text_col).eqNullSafe(F.col("_m_h"))
+                       & F.col(id_col).eqNullSafe(F.col("_m_id"))
+                       & (source_key(F.col(source_col)) == F.col("_m_key")))
+    repeated = rates.filter("_rows > 1")
+    if repeated.isEmpty():
+        out = of(rates)
+    else:
+        out = of(rates.filter("_rows = 1")).union(
+            of(repeated).dropDuplicates(["_m_id", "_m_h", "_m_key"]))
     times = F.explode(F.sequence(F.lit(1), F.col("_copies")))
     return out.select(*[df[c] for c in df.columns], times.alias("_m_copy")).drop("_m_copy")
 

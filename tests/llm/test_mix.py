@@ -100,3 +100,14 @@ def test_empty_null_and_repeated(spark):
     assert len(got) == 3 and all(r.target == 0 and r.size == 0 for r in got)
     got = M.mix_rates(frame(spark, [(1, "a b", "x")] * 4)).collect()
     assert sum(r.size * r.copies for r in got) == 12   # 150 % of 8
+
+
+def test_repeated_rows_meet_the_target(spark):
+    rows = ([(1, "w " * 10, "a")] * 200 + [(2, "v " * 10, "b")] * 200
+            + [(i, "u " * 10, "c") for i in range(10, 210)])
+    df = frame(spark, rows)
+    want = {r.key[1:]: r.target for r in M.mix_rates(df).select("key", "target").distinct()
+            .collect()}
+    got = {r.source: 10 * r["count"] for r in M.mix_copies(df).groupBy("source").count().collect()}
+    assert 3200 < want["b"] < 3400             # a rate of about 1.67, which no rounding meets
+    assert all(abs(got.get(s, 0) - w) <= 10 for s, w in want.items())
