@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from planscore.llm import (entropy_mix, exact_dedup, iblt_fingerprint, language_id, line_dedup,
-                           minhash_hamming, secret_ledger, sentencepiece_bpe, toxicity,
-                           warc_revisits)
+from planscore.llm import (best_fit_packing, entropy_mix, exact_dedup, hard_negatives,
+                           iblt_fingerprint, language_id, line_dedup, minhash_hamming,
+                           secret_ledger, sentencepiece_bpe, toxicity, warc_revisits, whitening)
 
 LLM_QUERIES = {
     "op1_language_byte_cnn": language_id.op1,
@@ -18,6 +18,9 @@ LLM_QUERIES = {
     "op8_line_window_dedup": line_dedup.op8,
     "op9_minhash_hamming": minhash_hamming.op9,
     "op10_exact_tree_merge": exact_dedup.op10,
+    "op11_four_russians_negatives": hard_negatives.op11,
+    "op12_best_fit_packing": best_fit_packing.op12,
+    "op13_polarised_whitening": whitening.op13,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -27,4 +30,5 @@ LLM_ORACLE = {
     "op5_secret_blob_ledger": secret_ledger.OP5_SQL,
     "op8_line_window_dedup": line_dedup.OP8_SQL,
     "op10_exact_tree_merge": exact_dedup.OP10_SQL,
+    "op11_four_russians_negatives": hard_negatives.OP11_SQL,
 }

@@ -16,7 +16,7 @@ def test_matches_oracle(spark, name):
 
 def test_one_query_per_operator_and_the_pipeline():
     numbers = sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES if n != "pipeline")
-    assert numbers == list(range(1, 11)) and "pipeline" in LLM_QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in LLM_QUERIES
 
 
 def test_native_queries_run_no_python(spark):
