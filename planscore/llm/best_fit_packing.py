@@ -14,11 +14,12 @@ bins would have been one; so from round 5 on a group passes on one bin, and befo
 documents. Only ids and lengths of bins travel in the tree rounds; pieces are written once, and learn
 their final place by one join.
 
-Token ids come from the ``tokenizers`` library, for each distinct blank-separated chunk of a batch
-once. A chunk starts at a blank that has no other white space beside it, where the tokenizer starts a
-new unit in any case (the byte-level pattern takes no blank after another character); texts in which
-white space meets a blank are cut at the other blanks only. Known chunks are kept in a bounded cache
-per task.
+Token ids come from the ``tokenizers`` library, for each distinct blank-separated chunk of a block of
+texts once. A chunk starts at a blank that has no other white space beside it, where the tokenizer
+starts a new unit in any case (the byte-level pattern takes no blank after another character); texts
+in which white space meets a blank are cut at the other blanks only. Chunks of Latin letters, signs
+and digits are cut further into parts that are units by that pattern, so that the library's merges run
+on each distinct word once. Known chunks and parts are kept in a bounded cache per task.
 
 Definitions: null text counts as empty and has the closing id alone. Ids, null ones too, pass through
 unchanged; rows repeated exactly are packed each. Ties (equal lengths, equal gaps) go to the row
@@ -28,6 +29,8 @@ Columns other than the id and the text are ignored, whatever their names.
 
 from __future__ import annotations
 
+import itertools
+import os
 import re
 import sys
 import zlib
@@ -44,47 +47,100 @@ CAPACITY = 2048
 CLOSING_ID = 0
 FANIN = 8
 LOCAL_PIECES = 1_000_000       # pieces that a task packs at once; beyond it a new local block starts
-CACHE_CHUNKS = 400_000         # chunks a task keeps; beyond it the cache starts anew
+CACHE_CHUNKS = 300_000         # chunks a task keeps; beyond it the cache starts anew
 CACHE_CHARS = 48               # longer chunks are encoded each time
-BLOCK_CHARS = 1 << 21          # characters of texts that are encoded together
+BATCH_ROWS = 1024              # rows whose texts a task holds as strings
+BLOCK_CHARS = 1 << 20          # characters of texts that are encoded together
 JOIN_CHARS, JOIN_BATCH = 4096, 64   # unseen chunks are encoded joined, this much at once
 SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
+# Parts of a chunk that the byte-level pattern tells apart whatever stands beside them: runs of Latin
+# letters, runs of ASCII signs and digits but the apostrophe (contractions), single line ends.
+LETTERS, SIGNS = "A-Za-zÀ-ÖØ-öø-ɏ", r"!-&(-@\[-`{-~"
+SIMPLE = re.compile(rf"(?!\n)(?:[{LETTERS}]+|[{SIGNS}]+|\n(?=\S))+")
+PARTS = re.compile(rf" ?[{LETTERS}]+| ?[{SIGNS}]+|\n")
+
+
+def _byte_letters() -> np.ndarray:
+    """The code point by which a byte-level vocabulary spells each byte."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    out = np.zeros(256, "<u4")
+    out[plain] = plain
+    out[out == 0] = 256 + np.arange(256 - len(plain))
+    return out
+
+
+BYTE_LETTERS = _byte_letters()
+BYTE_LETTERS[ord("\n")] = ord("\n")        # ends of lines tell the words apart
+
+
+def spelled(words: list[str]) -> str:
+    """Words as the vocabulary spells them, one a line."""
+    raw = np.frombuffer("\n".join(words).encode(), np.uint8)
+    return BYTE_LETTERS[raw].tobytes().decode("utf-32-le")
 
 
 class Encoder:
     """Token ids of texts as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, tokenizer_json: str):
+        # a task has one core; threads of the library's own would each hold memory
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import tokenizers
         self.library = tokenizers.Tokenizer.from_str(tokenizer_json)
-        self.known: dict[str, bytes | None] = {}
+        # the same merges for words whose bytes are already spelled as the vocabulary spells them
+        self.merges = tokenizers.Tokenizer(self.library.model)
+        self.merges.pre_tokenizer = tokenizers.pre_tokenizers.WhitespaceSplit()
+        self.known: dict[str, bytes | None] = {}      # chunks without their blank
+        self.parts: dict[str, bytes] = {}             # words and other parts of chunks
+        added = self.library.get_added_tokens_decoder()
+        self.special = [t.content for t in added.values()]
+        if self.library.normalizer is not None or any(
+                re.search(r"\s", t.content) or t.lstrip or t.rstrip for t in added.values()):
+            raise ValueError("texts are cut at blanks, which this tokenizer does not allow")
         # a byte-level vocabulary spells each byte as one character; special tokens stand as they are
-        special = self.library.get_added_tokens_decoder()
         vocab = self.library.get_vocab(with_added_tokens=True)
         self.id_bytes = np.zeros(1 + max(vocab.values()), np.int64)
         for token, i in vocab.items():
-            self.id_bytes[i] = len(token.encode()) if i in special else len(token)
+            self.id_bytes[i] = len(token.encode()) if i in added else len(token)
 
-    def _batch(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.int64)
-                for e in self.library.encode_batch(texts, add_special_tokens=False)]
+    def _batch(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes()
+                for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
-        """Ids of chunks that each start at a safe blank: joined texts of about ``JOIN_CHARS`` are
-        encoded, and their ids dealt back by the bytes that each id stands for."""
-        out, n = [], max(1, len(chunks) * JOIN_CHARS // max(1, sum(map(len, chunks))))
-        blocks = [chunks[i:i + n] for i in range(0, len(chunks), n)]
+    def _joined(self, items: list[str], library, spell) -> list[bytes]:
+        """Ids of items that the tokenizer tells apart: texts of about ``JOIN_CHARS`` that ``spell``
+        makes of many items are encoded, and their ids dealt back by the bytes that each stands for."""
+        out, n = [], max(1, len(items) * JOIN_CHARS // max(1, sum(map(len, items))))
+        blocks = [items[i:i + n] for i in range(0, len(items), n)]
         for at in range(0, len(blocks), JOIN_BATCH):
-            part = blocks[at:at + JOIN_BATCH]
-            for block, ids in zip(part, self._batch(["".join(x) for x in part])):
-                ends = np.cumsum([len(c.encode()) for c in block])
+            group = blocks[at:at + JOIN_BATCH]
+            got = library.encode_batch_fast([spell(x) for x in group], add_special_tokens=False)
+            for block, encoding in zip(group, got):
+                ids = np.array(encoding.ids, np.int64)
+                ends = np.cumsum([len(x.encode()) for x in block])
                 cuts = np.searchsorted(np.cumsum(self.id_bytes[ids]), ends, "right") * 4
-                raw, begin = ids.astype("<u4").tobytes(), 0
-                for end in cuts.tolist():
-                    out.append(raw[begin:end])
-                    begin = end
+                raw, cuts = ids.astype("<u4").tobytes(), cuts.tolist()
+                out += [raw[i:j] for i, j in zip([0, *cuts], cuts)]
         return out
 
+    def _learn(self, unseen: set[str]) -> None:
+        """Add the ids of chunks (each with the blank before it) to ``known``."""
+        known, parts, full, cut = self.known, self.parts, SIMPLE.fullmatch, PARTS.findall
+        simple = [c for c in unseen if full(c)]
+        other = unseen.difference(simple)
+        # a blank beside other white space is no safe place to cut
+        unsafe = [c for c in other if not c or c[0].isspace() or c[-1].isspace()]
+        known.update(dict.fromkeys(unsafe))
+        other = [" " + c for c in other.difference(unsafe)]
+        known.update(zip([c[1:] for c in other], self._joined(other, self.library, "".join)))
+        pieces = [cut(" " + c) for c in simple]
+        new = set(itertools.chain.from_iterable(pieces)).difference(parts)
+        words = [x for x in new if x[-1].isalpha()]
+        parts.update(zip(words, self._joined(words, self.merges, spelled)))
+        signs = list(new.difference(words))
+        parts.update(zip(signs, self._batch(signs)))
+        known.update(zip(simple, [b"".join([parts[x] for x in p]) for p in pieces]))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text, the ids that the library gives for it."""
         out, block, size = [], [], 0
@@ -99,29 +155,25 @@ class Encoder:
     def _encode_block(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > CACHE_CHUNKS:
             self.known = {}
-        split = [t.split(" ") for t in texts]
-        unseen = set().union(*[parts[1:] for parts in split]).difference(self.known)
-        # a blank beside other white space is no safe place to cut: such texts are cut elsewhere
-        unsafe = [c for c in unseen if not c or c[0].isspace() or c[-1].isspace()]
-        unseen.difference_update(unsafe)
-        unseen = list(unseen)
-        self.known.update(dict.fromkeys(unsafe))
-        self.known.update(zip(unseen, self._encode_chunks([" " + c for c in unseen])))
-        known, heads, out = self.known, [], []
+        if len(self.parts) > CACHE_CHUNKS:
+            self.parts = {}
+        split = [t.split(" ") if not any([x in t for x in self.special]) else [t] for t in texts]
+        unseen = set(itertools.chain.from_iterable([p[1:] for p in split])).difference(self.known)
+        self._learn(unseen)
+        known, first, out = self.known, [], []
         for text, parts in zip(texts, split):
             got = [known[c] for c in parts[1:]]
-            head = parts[0]
-            if got and (None in got or not head or head[-1].isspace()):
-                got, head = None, text
-            heads.append(head)
-            out.append(got)
-        careful = [SAFE_CUT.split(t) if got is None else [t] for t, got in zip(heads, out)]
-        flat = iter(self._batch([c for chunks in careful for c in chunks]))
-        first = [b"".join([next(flat).astype("<u4").tobytes() for _ in chunks])
-                 for chunks in careful]
+            if len(parts) > 1 and (None in got or not parts[0] or parts[0][-1].isspace()):
+                first.append(SAFE_CUT.split(text))
+                out.append(b"")
+            else:
+                first.append(parts[:1])
+                out.append(b"".join(got))
+        flat = iter(self._batch([c for chunks in first for c in chunks]))
+        heads = [b"".join([next(flat) for _ in chunks]) for chunks in first]
         for c in [c for c in unseen if len(c) > CACHE_CHARS]:
             del known[c]
-        return [h + b"".join(got or ()) for h, got in zip(first, out)]
+        return [h + rest for h, rest in zip(heads, out)]
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -209,9 +261,7 @@ def local_round(df: DataFrame, id_col: str, text_col: str, tokenizer_json: str,
 
     def run(batches):
         enc, held, n, first, grp = Encoder(shared.value), [], 0, 0, None
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in (b.slice(i, BATCH_ROWS) for b in batches for i in range(0, b.num_rows, BATCH_ROWS)):
             grp = b.column(2)[0].as_py()
             held.append(pieces_of(enc, b))
             n += held[-1].num_rows
