@@ -47,7 +47,7 @@ CAPACITY = 2048
 CLOSING_ID = 0
 FANIN = 8
 LOCAL_PIECES = 1_000_000       # pieces that a task packs at once; beyond it a new local block starts
-CACHE_CHUNKS = 300_000         # chunks a task keeps; beyond it the cache starts anew
+CACHE_CHUNKS = 600_000         # chunks a task keeps; beyond it the cache starts anew
 CACHE_CHARS = 48               # longer chunks are encoded each time
 BATCH_ROWS = 1024              # rows whose texts a task holds as strings
 BLOCK_CHARS = 1 << 20          # characters of texts that are encoded together
@@ -162,12 +162,13 @@ class Encoder:
         self._learn(unseen)
         known, first, out = self.known, [], []
         for text, parts in zip(texts, split):
-            got = [known[c] for c in parts[1:]]
-            if len(parts) > 1 and (None in got or not parts[0] or parts[0][-1].isspace()):
+            head = parts.pop(0)
+            got = list(map(known.__getitem__, parts))
+            if got and (None in got or not head or head[-1].isspace()):
                 first.append(SAFE_CUT.split(text))
                 out.append(b"")
             else:
-                first.append(parts[:1])
+                first.append([head])
                 out.append(b"".join(got))
         flat = iter(self._batch([c for chunks in first for c in chunks]))
         heads = [b"".join([next(flat) for _ in chunks]) for chunks in first]
