@@ -115,10 +115,9 @@ WI = "SELECT * FROM work_items"
 
 
 def _with_texts(report: str) -> str:
-    """The report with its numbers as printed: plain decimals without trailing zeros."""
-    texts = ", ".join(
-        f"regexp_replace(CAST(CAST({c} AS DECIMAL(38, 10)) AS VARCHAR), '[.]?0+$', '') AS {c}_text"
-        for c in ("plan", "completions", "pct_to_plan"))
+    """The report with its numbers as printed: 15 significant digits, plain decimals."""
+    texts = ", ".join(f"printf('%.15g', {c}) AS {c}_text"
+                      for c in ("plan", "completions", "pct_to_plan"))
     return f"SELECT *, {texts} FROM ({report}) printed"
 
 
@@ -272,5 +271,7 @@ ORACLE: dict[str, str] = {
     "scorecard_v5": _sc("v5", P_V5),
     "scorecard_v6": _sc("v4", gate_day=GATE_ON),
     "scorecard_v6_week_gate": _sc("v4", gate_day=WEEK_GATE_ON, gate_sql=WEEK_GATE_SQL),
+    "sink_number_text": "SELECT l_orderkey, l_linenumber, printf('%.15g', l_extendedprice / 132) "
+                        "AS number_text FROM lineitem",
     "sink_tsv_roundtrip": _with_texts(_sc("v1")),
 }

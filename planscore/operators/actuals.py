@@ -58,10 +58,24 @@ def execute_gated(params: ReportParams, rules: ProgramRules) -> Column:
             .otherwise(ZERO()))
 
 
-def notification_actuals(wi: DataFrame, params: ReportParams, rules: ProgramRules) -> DataFrame:
-    """A1: filtered work items summed to the 19-key notification grain."""
+def notification_actuals(wi: DataFrame, params: ReportParams, rules: ProgramRules,
+                         split_hot_keys: bool = True) -> DataFrame:
+    """A1: filtered work items summed to the 19-key notification grain.
+
+    Two stages: every task sums what it has, then the partial sums are dealt by a hash of all 19
+    keys. The notification alone would be enough to deal them, and work items often arrive
+    partitioned by it (the join that adds the order's columns); Spark would then sum in place, and a
+    notification that holds a large share of the rows would stay in one task, join included.
+    Grouping by the notification as a struct hides that partitioning: an exchange of partial sums
+    follows, work orders of one notification go to different tasks, and AQE may split the
+    notification's partition in the join below (it does not where that would add an exchange).
+    ``split_hot_keys=False`` saves the exchange where no notification is large."""
     keyed = wi.filter(report_scope(params, rules))
-    out = keyed.groupBy(*NOTIFICATION_KEYS).agg(
+    keys: list = list(NOTIFICATION_KEYS)
+    if split_hot_keys:
+        keys = [F.struct("notification").alias("notification_key"),
+                *[k for k in keys if k != "notification"]]
+    out = keyed.groupBy(*keys).agg(
         F.sum(year_gated("initiation_actuals", params)).alias("initiation_actuals"),
         F.sum(year_gated("design_actuals", params)).alias("design_actuals"),
         F.sum(year_gated("dependency_actuals", params)).alias("dependency_actuals"),
@@ -69,6 +83,8 @@ def notification_actuals(wi: DataFrame, params: ReportParams, rules: ProgramRule
         F.sum(execute_gated(params, rules)).alias("execute_actuals"),
         F.sum(year_gated("in_workplan", params)).alias("in_workplan"),
     )
+    if split_hot_keys:
+        out = out.withColumn("notification", F.col("notification_key.notification"))
     return out.select(
         *[c for c in NOTIFICATION_KEYS if c not in ("schedule_out", "click_end_date")],
         F.col("click_end_date").alias("schedule_out"),
@@ -133,11 +149,12 @@ def program_actuals_two_level(a1: DataFrame, params: ReportParams,
     return g.select("program", *classify(rules), *ACTUAL_COLUMNS)
 
 
-def external_execute(rules: ProgramRules) -> Column:
+def external_execute(rules: ProgramRules, completions: Column | None = None) -> Column:
     """J2's value: the external program adds the externally tracked completions of its target row
     (``x + NULL`` is NULL when the row carries none)."""
+    completions = F.col("ytd_completions") if completions is None else completions
     return (F.when(F.col("program") == rules.external_program,
-                   F.col("execute_actuals_without_external") + F.col("ytd_completions"))
+                   F.col("execute_actuals_without_external") + completions)
             .otherwise(F.col("execute_actuals_without_external")))
 
 

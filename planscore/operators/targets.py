@@ -7,7 +7,7 @@ below is a hash aggregate with a map-side partial step over at most programs x m
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from planscore.operators.filters import filter_label_year, filter_week
@@ -31,6 +31,33 @@ def targets_at_week(wt: DataFrame, params: ReportParams, rules: ProgramRules) ->
     )
 
 
+def program_targets(wt: DataFrame, params: ReportParams, rules: ProgramRules) -> DataFrame:
+    """A3, A3b and A4 in one pass: one row per program that has targets in any week, with
+    ``week_rows`` (the rows of :func:`targets_at_week`) and ``schedule_rows`` (those of
+    :func:`schedule_targets`) as arrays.
+
+    Every task pre-aggregates to at most programs x (months of two weeks + 1) rows; the arrays hold
+    one entry per month that a week spans."""
+    zero = F.lit(0.0)
+    kind = (F.when(F.col("week") == params.week, "week")
+            .when(F.col("week") == params.lookahead_week(), "lookahead"))
+    keyed = wt.filter(F.col("program").isNotNull()).withColumn("kind", kind)
+    cells = keyed.groupBy(
+        "program", "kind", *[F.when(F.col("kind").isNotNull(), F.col(c)).alias(c)
+                             for c in ("month2", "month")]).agg(
+        *[F.sum(F.coalesce(f"{t}_ytd_target", zero)).alias(f"{t}_target")
+          for t in ("initiation", "design", "dependency", "execute")],
+        F.sum(F.when(F.col("nickname") == rules.external_nickname,
+                     F.coalesce("ytd_completions", zero))).alias("ytd_completions"),
+        F.sum("execute_ytd_forecast").alias("schedule_target"))
+    return cells.groupBy("program").agg(
+        F.collect_list(F.when(F.col("kind") == "week", F.struct(
+            "initiation_target", "design_target", "dependency_target", "execute_target",
+            "ytd_completions"))).alias("week_rows"),
+        F.collect_list(F.when(F.col("kind") == "lookahead", F.struct("schedule_target")))
+         .alias("schedule_rows"))
+
+
 def nickname_completions(wt: DataFrame, params: ReportParams,
                          rules: ProgramRules) -> DataFrame:
     return targets_at_week(wt, params, rules).select(*TARGET_KEYS, "ytd_completions")
@@ -84,9 +111,3 @@ def rebaselines_inner_distinct(uf: DataFrame, wt: DataFrame, params: ReportParam
     reb = rebaseline_by_nickname(uf, params, rules)
     return (reb.join(wt.select("program"), "program", "inner")
             .select("program", "rebaseline").distinct())
-
-
-def with_target_rank(dot: DataFrame) -> DataFrame:
-    """Number the target rows of each program (1..m; m is the number of months in the week)."""
-    w = Window.partitionBy("program").orderBy("month", "month2")
-    return dot.withColumn("target_rank", F.row_number().over(w))

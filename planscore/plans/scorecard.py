@@ -1,19 +1,18 @@
 """The stacked scorecard (R1-R9) in all report versions.
 
 The report builds nine SELECTs, each a LEFT JOIN of a target table to the program actuals, and
-UNION ALLs them. Here the plan side is stacked first — the week's target rows unpivoted into
-seven phases, plus the look-ahead schedule rows and the rebaselines — and joined once to the
-actuals. The heavy part (scanning work items and rolling them up to programs) therefore runs
-exactly once; everything after it is at most programs x phases x months rows.
+UNION ALLs them. Here everything is brought to one row per program first: the targets in one pass
+(the week, the look-ahead week and the mere presence of a program as kinds of one aggregation), the
+distinct rebaselines, and the actuals. Three aggregations by program meet in two joins, and one
+generator writes a program's phase rows. Work items, targets and forecasts are each read once;
+after them there are at most programs x months rows.
 
 Row multiplicities match the report:
 * a week spanning two months gives two target rows per program, hence two rows per phase;
 * Execute joins targets to (actuals LEFT JOIN targets), so it fans out m x m for a program with
   m target rows and actuals, and m rows for a program without actuals;
-* programs with two rebaseline values keep both rows.
-
-To get Execute's m x m from the same single join, the actuals side carries one row per target
-row of its program (numbered 1..m); non-Execute phases match only row 1.
+* programs with two rebaseline values keep both rows;
+* rebaselines count for programs that have targets in any week.
 """
 
 from __future__ import annotations
@@ -26,8 +25,8 @@ from pyspark.sql import functions as F
 from planscore.functions import measures as M
 from planscore.functions.collation import with_collation, without_collation
 from planscore.operators.actuals import external_execute, program_actuals
-from planscore.operators.targets import (rebaselines, schedule_targets, targets_at_week,
-                                         with_target_rank)
+from planscore.operators.targets import (program_targets, rebaseline_by_nickname, rebaselines,
+                                         schedule_targets, targets_at_week)
 from planscore.params import ProgramRules, ReportParams
 
 PHASES = ("Annual Target", "Initiation", "Design", "Dependencies", "Schedule", "Execute",
@@ -50,75 +49,60 @@ class ScorecardInputs:
     program_actuals: DataFrame | None = None
 
 
-def week_targets(inputs: ScorecardInputs, params: ReportParams, rules: ProgramRules) -> DataFrame:
-    """The week's target rows, numbered per program."""
-    return with_target_rank(targets_at_week(inputs.weekly_targets, params, rules))
-
-
-def plan_rows(inputs: ScorecardInputs, params: ReportParams, rules: ProgramRules,
-              dot: DataFrame | None = None) -> DataFrame:
-    """(program, phase, plan_raw, rebaseline) for every output row's plan side."""
-    if dot is None:
-        dot = week_targets(inputs, params, rules)
-    null = F.lit(None).cast("double")
-    stacked = dot.select(
-        "program", "target_rank",
-        F.inline(F.array(*[
-            F.struct(F.lit(ph).alias("phase"), v.alias("plan_raw"))
-            for ph, v in (("Annual Target", F.col("initiation_target")),
-                          ("Initiation", F.col("initiation_target")),
-                          ("Design", F.col("design_target")),
-                          ("Dependencies", F.col("dependency_target")),
-                          ("Execute", F.col("execute_target")),
-                          ("Total in WP", null),
-                          ("EOY Forecast", null))])),
-    ).select("program", "phase", "plan_raw", null.alias("rebaseline"))
-    sched = schedule_targets(inputs.weekly_targets, params).select(
-        "program", F.lit("Schedule").alias("phase"), F.col("schedule_target").alias("plan_raw"),
-        null.alias("rebaseline"))
-    reb = rebaselines(inputs.unit_forecast, inputs.weekly_targets, params, rules).select(
-        "program", F.lit("Rebaseline").alias("phase"), null.alias("plan_raw"), "rebaseline")
-    return stacked.unionByName(sched).unionByName(reb)
-
-
-def actual_rows(inputs: ScorecardInputs, params: ReportParams, rules: ProgramRules,
-                dot: DataFrame | None = None) -> DataFrame:
-    """Program actuals with J2 applied: one row per target row of the program (rank 1..m), or a
-    single row (rank NULL) for programs without target rows this week."""
+def program_rows(inputs: ScorecardInputs, params: ReportParams, rules: ProgramRules) -> DataFrame:
+    """One row per program of the targets: ``week_rows`` and ``schedule_rows`` (its target rows of
+    the week and of the look-ahead week), ``rebaselines`` (distinct values, NULL without any), the
+    program actuals and ``has_actuals``."""
     acts = (inputs.program_actuals if inputs.program_actuals is not None
             else program_actuals(inputs.work_items, params, rules))
-    if dot is None:
-        dot = week_targets(inputs, params, rules)
-    j = acts.join(dot.select("program", "target_rank", "ytd_completions"), "program", "left")
-    return j.select(*acts.columns, "target_rank",
-                    external_execute(rules).alias("execute_actuals"))
-
-
-def _actual_for_phase(phase: Column) -> Column:
-    return (F.when(phase == "Initiation", F.col("initiation_actuals"))
-            .when(phase == "Design", F.col("design_actuals"))
-            .when(phase == "Dependencies", F.col("dependency_actuals"))
-            .when(phase == "Schedule", F.col("schedule_actuals"))
-            .when(phase == "Execute", F.col("execute_actuals"))
-            .when(phase.isin(*INFORMATIONAL), F.col("total_in_workplan"))
-            .when(phase == "Rebaseline", F.col("rebaseline")))
+    reb = (rebaseline_by_nickname(inputs.unit_forecast, params, rules)
+           .select("program", "rebaseline").distinct()
+           .groupBy(F.col("program").alias("r_program"))
+           .agg(F.collect_list(F.struct("program", "rebaseline")).alias("rebaselines")))
+    acts = acts.withColumnRenamed("program", "a_program").withColumn("has_actuals", F.lit(True))
+    return (program_targets(inputs.weekly_targets, params, rules)
+            .join(reb, F.col("program") == F.col("r_program"), "left")
+            .join(acts, F.col("program") == F.col("a_program"), "left")
+            .drop("r_program", "a_program"))
+
+
+def _phase_row(phase: str, plan, actual, program=None) -> Column:
+    null = F.lit(None).cast("double")
+    return F.struct((F.col("program") if program is None else program).alias("program"),
+                    F.lit(phase).alias("phase"), (null if plan is None else plan).alias("plan_raw"),
+                    (null if actual is None else actual).alias("actual"))
 
 
 def joined_phase_rows(inputs: ScorecardInputs, params: ReportParams,
                       rules: ProgramRules) -> DataFrame:
     """Plan rows LEFT JOIN actual rows: (program, phase, plan_raw, actual, mega_process, owner,
     process), before any version's measure rules."""
-    dot = week_targets(inputs, params, rules)
-    plans = plan_rows(inputs, params, rules, dot).alias("p")
-    acts = actual_rows(inputs, params, rules, dot).alias("a")
-    cond = ((F.col("p.program") == F.col("a.program"))
-            & ((F.col("p.phase") == "Execute") | (F.coalesce(F.col("a.target_rank"), F.lit(1)) == 1)))
-    j = plans.join(acts, cond, "left")
-    phase = F.col("p.phase")
-    return j.select(
-        F.col("p.program").alias("program"), phase.alias("phase"), F.col("p.plan_raw"),
-        _actual_for_phase(phase).alias("actual"),
-        F.col("a.mega_process"), F.col("a.owner"), F.col("a.process"))
+    rows = program_rows(inputs, params, rules)
+
+    def per_target(t: Column) -> Column:
+        return F.array(
+            _phase_row("Annual Target", t.initiation_target, None),
+            _phase_row("Initiation", t.initiation_target, F.col("initiation_actuals")),
+            _phase_row("Design", t.design_target, F.col("design_actuals")),
+            _phase_row("Dependencies", t.dependency_target, F.col("dependency_actuals")),
+            *[_phase_row(ph, None, F.col("total_in_workplan")) for ph in INFORMATIONAL])
+
+    def execute(t: Column) -> Column:
+        """The actuals carry one row per target row (J2), so each target row meets all of them."""
+        return (F.when(F.col("has_actuals"), F.transform("week_rows", lambda other: _phase_row(
+                    "Execute", t.execute_target,
+                    external_execute(rules, other.ytd_completions))))
+                .otherwise(F.array(_phase_row("Execute", t.execute_target, None))))
+    phases = F.concat(
+        F.flatten(F.transform("week_rows", per_target)),
+        F.flatten(F.transform("week_rows", execute)),
+        F.transform("schedule_rows", lambda t: _phase_row(
+            "Schedule", t.schedule_target, F.col("schedule_actuals"))),
+        F.coalesce(F.transform("rebaselines", lambda r: _phase_row(
+            "Rebaseline", None, r.rebaseline, r.program)), F.array()))
+    stacked = rows.select("mega_process", "owner", "process", F.inline(phases))
+    return stacked.select("program", "phase", "plan_raw", "actual", "mega_process", "owner",
+                          "process")
 
 
 def _measures(version: str, params: ReportParams, rules: ProgramRules) -> list[Column]:

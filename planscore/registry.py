@@ -31,7 +31,7 @@ from planscore.session import checkpoint_dir, default_parallelism, ensure_conf
 from planscore.streaming.actuals_rollup import (program_actuals_from_rollup, read_rollup,
                                                 start_rollup_stream)
 from planscore.sources import fixtures as fx
-from planscore.sources.sinks import tsv_roundtrip
+from planscore.sources.sinks import report_number_text, tsv_roundtrip
 from planscore.sources.tables import Tables
 
 R = FIXTURE_RULES
@@ -266,5 +266,8 @@ QUERIES: dict[str, Query] = {
     "scorecard_v6_week_gate": lambda s, d: gated_scorecard(inputs(s, d), _cal(s, d), P_WEEK_GATE,
                                                            R, business_day=1, per="week"),
     # sink (S9)
+    "sink_number_text": lambda s, d: tables(s, d).lineitem.select(
+        "l_orderkey", "l_linenumber",
+        report_number_text(F.col("l_extendedprice") / 132).alias("number_text")),
     "sink_tsv_roundtrip": lambda s, d: tsv_roundtrip(scorecard(inputs(s, d), P, R, "v1")),
 }

@@ -30,10 +30,24 @@ BLANK_COLUMNS = ("unit_of_measure", "on_track", "rag")
 NUMERIC_COLUMNS = ("plan", "completions", "pct_to_plan")
 
 
+# 15 digits, rounded from the double's exact value
+SCIENTIFIC = "0." + "0" * 14 + "E0"
+
+
 def report_number_text(c: Column) -> Column:
-    """Numbers as the report prints them: plain decimals at any size, no trailing zeros."""
-    plain = F.regexp_replace(c.try_cast("decimal(38,10)").cast("string"), r"\.?0+$", "")
-    return F.coalesce(F.when(plain.isin("", "-"), "0").otherwise(plain), c.cast("string"))
+    """Numbers as the report prints them: 15 significant digits, plain decimals at any size, no
+    trailing zeros. NaN and infinities print as Spark casts them."""
+    sci = F.call_function("format_number", c, F.lit(SCIENTIFIC))
+    digits = F.regexp_replace(F.regexp_extract(sci, r"^-?([0-9.]+)E", 1), r"\.", "")
+    power = F.regexp_extract(sci, r"E(-?[0-9]+)$", 1).try_cast("int")
+    whole = (F.when(power < 0, "0")
+             .otherwise(F.rpad(F.substr(digits, F.lit(1), power + 1), power + 1, F.lit("0"))))
+    rest = (F.when(power < 0, F.concat(F.repeat(F.lit("0"), -power - 1), digits))
+            .otherwise(F.substr(digits, power + 2, F.lit(15))))
+    rest = F.regexp_replace(rest, "0+$", "")
+    plain = F.concat(F.when(c < 0, "-").otherwise(""), whole,
+                     F.when(rest != "", F.concat(F.lit("."), rest)).otherwise(""))
+    return F.when(c == 0, "0").when(power.isNull(), c.cast("string")).otherwise(plain)
 
 
 def write_report_tsv(report: DataFrame, path: str, single_file: bool = False) -> str:

@@ -52,6 +52,9 @@ def test_not_in_drops_null_programs(spark):
 
 @pytest.mark.parametrize("value, text", [
     (0.0005, "0.0005"), (1e7, "10000000"), (12345678.0, "12345678"), (0.0, "0"), (100.0, "100"),
+    (6.98600378787879, "6.98600378787879"), (10.8564393939394, "10.8564393939394"),
+    (8.43806818181818, "8.43806818181818"), (0.1 + 0.2, "0.3"), (-1 / 3, "-0.333333333333333"),
+    (2 / 3e5, "0.00000666666666666667"), (1.0000000000000002, "1"), (float("nan"), "NaN"),
     (-2.5, "-2.5"), (-0.0, "0"), (None, None), (1234.5, "1234.5"), (1e15, "1000000000000000")])
 def test_report_numbers_are_plain_decimals(spark, value, text):
     df = spark.createDataFrame([(value,)], "x double")
