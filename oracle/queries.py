@@ -6,9 +6,10 @@ import dataclasses
 import datetime as dt
 
 from oracle import (MEASURES, P, R, TOTAL_NAMES, classify_sql, dlit, external_cte, gated_cte,
-                    lookahead_cte, nickname_rebaseline_cte, nickname_sql, notification_cte,
-                    nth_business_day_sql, pct_sql, q, qlist, rag_sql, rebaseline_cte, report_ctes,
-                    scope_where, scorecard_sql, targets_cte, total, totals_cte, with_ctes)
+                    done_rule, exempt_rule, lookahead_cte, nickname_rebaseline_cte, nickname_sql,
+                    notification_cte, nth_business_day_sql, plan_rule, q, qlist, rating_rule,
+                    ratio_rule, rebaseline_cte, report_ctes, scope_where, scorecard_sql,
+                    targets_cte, total, totals_cte, with_ctes)
 
 P_WEEK40 = dataclasses.replace(P, week=40)
 P_UNIT = dataclasses.replace(P, rag_min=1.0, rag_max=1.0)
@@ -38,28 +39,12 @@ def _phase_sql(phase):
     return _sc("v4", phase=phase)
 
 
-MEASURED_ROWS = """
-SELECT dot.program, 'Initiation' AS phase, dot.initiation_target AS plan_raw, act.initiation_actuals AS actual
-FROM dot LEFT JOIN acts act ON dot.program = act.program
-UNION ALL SELECT dot.program, 'Design', dot.design_target, act.design_actuals
-FROM dot LEFT JOIN acts act ON dot.program = act.program
-UNION ALL SELECT dot.program, 'Dependencies', dot.dependency_target, act.dependency_actuals
-FROM dot LEFT JOIN acts act ON dot.program = act.program
-UNION ALL SELECT dot.program, 'Schedule', dot.schedule_target, act.schedule_actuals
-FROM sched dot LEFT JOIN acts act ON dot.program = act.program
-UNION ALL SELECT dot.program, 'Execute', dot.execute_target, act.execute_actuals
-FROM dot LEFT JOIN wdot act ON dot.program = act.program"""
-
-
 def _measure(expr: str, name: str) -> str:
-    body = f"SELECT program, phase, plan_raw, actual, {expr} AS {name} FROM ({MEASURED_ROWS}) dot"
+    body = (f"SELECT program, phase, plan_raw, actual, {expr} AS {name} FROM phase_rows "
+            "WHERE kind = 'measure'")
     return with_ctes(body, *report_ctes())
 
 
-def _frac_plan():
-    return f"CASE WHEN dot.program = {q(R.fractional_program)} THEN round(plan_raw, 2) ELSE round(plan_raw, 0) END"
-
-
 def _labour_kpi_sql(cols: str) -> str:
     today = dlit(LABOUR_TODAY)
     pct = "(field_work_time / nullif(total_hours - non_productive_time - total_ot_hours, 0))"
@@ -195,18 +180,11 @@ ORACLE: dict[str, str] = {
         gated_cte(), totals_cte(), targets_cte()),
     "execute_with_external": with_ctes("SELECT * FROM wdot", gated_cte(), totals_cte(),
                                        targets_cte(), external_cte()),
-    "plan_rounding": _measure(_frac_plan(), "plan"),
-    "completions_rounding": _measure(
-        f"CASE WHEN dot.program = {q(R.fractional_program)} THEN round(coalesce(actual, 0E0), 2) "
-        f"ELSE coalesce(actual, 0E0) END", "completions"),
-    "pct_to_plan_v1": _measure(pct_sql("plan_raw", "actual", "v1"), "pct_to_plan"),
-    "pct_to_plan_v2": _measure(pct_sql("plan_raw", "actual", "v2"), "pct_to_plan"),
-    "pct_to_plan_v4": _measure(pct_sql("plan_raw", "actual", "v4"), "pct_to_plan"),
-    "rag_threshold": _measure(rag_sql("plan_raw", "actual", "v1", P), "rag"),
-    "rag_black_override": _measure(
-        f"CASE WHEN (phase = 'Design' AND dot.program IN ({qlist(R.design_black)})) "
-        f"OR (phase = 'Dependencies' AND dot.program IN ({qlist(R.dependency_black)})) THEN 'BLACK' "
-        f"ELSE {rag_sql('plan_raw', 'actual', 'v1', P)} END", "rag"),
+    "plan_rounding": _measure(plan_rule("v3"), "plan"),
+    "completions_rounding": _measure(done_rule("v4", "coalesce(actual, 0E0)"), "completions"),
+    **{f"pct_to_plan_{v}": _measure(ratio_rule(v), "pct_to_plan") for v in ("v1", "v2", "v4")},
+    "rag_threshold": _measure(rating_rule(), "rag"),
+    "rag_black_override": _measure(f"if({exempt_rule()}, 'BLACK', {rating_rule()})", "rag"),
     "nth_business_day_month": with_ctes(
         "SELECT calendar_date, calendar_year, calendar_month, CAST(rn AS INT) AS business_day_number FROM ("
         "SELECT *, row_number() OVER (PARTITION BY calendar_year, calendar_month ORDER BY calendar_date) AS rn "
@@ -271,6 +249,10 @@ ORACLE: dict[str, str] = {
     "scorecard_v5": _sc("v5", P_V5),
     "scorecard_v6": _sc("v4", gate_day=GATE_ON),
     "scorecard_v6_week_gate": _sc("v4", gate_day=WEEK_GATE_ON, gate_sql=WEEK_GATE_SQL),
+    **{f"routine_scorecard_{v}": _sc(v) for v in ("v1", "v3", "v4")},
+    "routine_scorecard_v4_week40": _sc("v4", P_WEEK40),
+    "routine_gated_open": _sc("v4", gate_day=GATE_ON),
+    "routine_gated_closed": _sc("v4", gate_day=GATE_OFF),
     "sink_number_text": "SELECT l_orderkey, l_linenumber, printf('%.15g', l_extendedprice / 132) "
                         "AS number_text FROM lineitem",
     "sink_tsv_roundtrip": _with_texts(_sc("v1")),

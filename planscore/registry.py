@@ -25,6 +25,7 @@ from planscore.operators.grouping import selected_values
 from planscore.params import FIXTURE_RULES, ReportParams
 from planscore.plans import finance, labour
 from planscore.plans.gate import gated_scorecard
+from planscore.plans.routine import register_report_routine
 from planscore.plans.scorecard import (ScorecardInputs, joined_phase_rows, phase_rows, scorecard,
                                        scorecard_union_form)
 from planscore.session import checkpoint_dir, default_parallelism, ensure_conf
@@ -126,6 +127,19 @@ def _gate_exists_counts(s, d):
             .join(count("n_closed", GATE_OFF), "month", "left").na.fill(0))
 
 
+def _routine(*statements: str) -> Query:
+    """The report as a SQL user runs it: variables set by statements, then a view (in a session of
+    its own, which holds the variables and views)."""
+    def run(s, d):
+        own = ensure_conf(s.newSession())
+        own.conf.set("spark.sql.shuffle.partitions", s.conf.get("spark.sql.shuffle.partitions"))
+        register_report_routine(own, inputs(own, d), R, _cal(own, d), P)
+        for statement in statements[:-1]:
+            own.sql(statement)
+        return own.sql(statements[-1])
+    return run
+
+
 def _in_scope(s, d):
     return _wi(s, d).filter(FL.report_scope(P, R))
 
@@ -265,6 +279,16 @@ QUERIES: dict[str, Query] = {
     "scorecard_v6": lambda s, d: gated_scorecard(inputs(s, d), _cal(s, d), P_V6_ON, R),
     "scorecard_v6_week_gate": lambda s, d: gated_scorecard(inputs(s, d), _cal(s, d), P_WEEK_GATE,
                                                            R, business_day=1, per="week"),
+    # the report as a SQL routine
+    **{f"routine_scorecard_{v}": _routine(f"SET VAR report_version = '{v}'",
+                                          "SELECT * FROM scorecard") for v in ("v1", "v3", "v4")},
+    "routine_scorecard_v4_week40": _routine("SET VAR report_week = 40", "SELECT * FROM scorecard"),
+    "routine_gated_open": _routine(
+        f"SET VAR report_as_of = DATE'{GATE_ON}'", "SET VAR report_cutoff = NULL",
+        "SELECT * FROM scorecard_gated"),
+    "routine_gated_closed": _routine(
+        f"SET VAR report_as_of = DATE'{GATE_OFF}'", "SET VAR report_cutoff = NULL",
+        "SELECT * FROM scorecard_gated"),
     # sink (S9)
     "sink_number_text": lambda s, d: tables(s, d).lineitem.select(
         "l_orderkey", "l_linenumber",
