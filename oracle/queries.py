@@ -69,6 +69,19 @@ ROLE_TARGET_SQL = ("CASE WHEN job_level = 'Supervisor' THEN 0.5E0 WHEN job_level
                    "WHEN job_level = 'Senior Leader' THEN 0.15E0 END")
 
 
+VARIANCE_COLOR = """CASE WHEN period IN ('EOY', 'YTD') AND coalesce(variance, 0E0) >= lim
+                   AND (CASE WHEN actual IS NULL THEN false
+                             WHEN coalesce(budget, 0E0) <> 0 THEN abs(actual / coalesce(budget, 0E0)) >= 0.02
+                             ELSE actual <> 0 END) THEN '#FF0000'
+              WHEN period IN ('EOY', 'YTD') AND coalesce(variance, 0E0) < lim
+                   AND (CASE WHEN actual IS NULL THEN true
+                             WHEN coalesce(budget, 0E0) <> 0 THEN abs(actual / coalesce(budget, 0E0)) < 0.02
+                             ELSE false END) THEN '#00FF00'
+              ELSE '#FFA500' END"""
+VARIANCE_LIMIT = ("CASE WHEN category = 'Capital' THEN 10000000E0 WHEN category IN ('Expense', "
+                  "'Non-Core/ Other Bal Sheet', 'Non-EIE') THEN 5000000E0 END")
+
+
 def _variance_sql(keys: list[str], forecast: str | None = None) -> str:
     """``forecast``: an expression over the keys that stands in for an actual that is not one
     value."""
@@ -80,17 +93,7 @@ def _variance_sql(keys: list[str], forecast: str | None = None) -> str:
     if forecast:
         sel = sel.replace("THEN max(actual) END AS actual",
                           f"THEN max(actual) ELSE {forecast} END AS actual")
-    color = """CASE WHEN period IN ('EOY', 'YTD') AND coalesce(variance, 0E0) >= lim
-                   AND (CASE WHEN actual IS NULL THEN false
-                             WHEN coalesce(budget, 0E0) <> 0 THEN abs(actual / coalesce(budget, 0E0)) >= 0.02
-                             ELSE actual <> 0 END) THEN '#FF0000'
-              WHEN period IN ('EOY', 'YTD') AND coalesce(variance, 0E0) < lim
-                   AND (CASE WHEN actual IS NULL THEN true
-                             WHEN coalesce(budget, 0E0) <> 0 THEN abs(actual / coalesce(budget, 0E0)) < 0.02
-                             ELSE false END) THEN '#00FF00'
-              ELSE '#FFA500' END"""
-    lim = ("CASE WHEN category = 'Capital' THEN 10000000E0 WHEN category IN ('Expense', "
-           "'Non-Core/ Other Bal Sheet', 'Non-EIE') THEN 5000000E0 END")
+    color, lim = VARIANCE_COLOR, VARIANCE_LIMIT
     return with_ctes(f"""
 SELECT {k}, {', '.join(cols)}, {color} AS color FROM (
   SELECT *, {lim} AS lim FROM (SELECT {k}, {sel} FROM finance_rows GROUP BY {k}) s) v""")
@@ -123,7 +126,43 @@ def _bucket_sql(day: str, today) -> str:
             f"WHEN -1 THEN 'Actuals' ELSE 'Future' END")
 
 
+def _by_week_sql() -> str:
+    """Totals at each Sunday of the year, every cutoff on its own."""
+    last = "c.cutoff + INTERVAL 56 DAY"
+    sums = []
+    for name, (value, out, gate) in MEASURES.items():
+        if gate == "gate_schedule":
+            gate = (f"coalesce(this_year AND (CAST(click_end_date AS DATE) <= {last} "
+                    "OR if(by_reference, finished, reported)), false)")
+        kept = f" FILTER (WHERE {out} <= c.cutoff)" if out else ""
+        sums.append(f"sum(if({gate}, {value}, 0E0)){kept} AS {TOTAL_NAMES.get(name, name)}")
+    return with_ctes(f"""
+SELECT c.cutoff, program, {classify_sql()}, {', '.join(sums)}
+FROM facts, (SELECT CAST(unnest(generate_series(DATE '1998-01-04', DATE '1998-12-27',
+                                                INTERVAL 7 DAY)) AS DATE) AS cutoff) c
+GROUP BY c.cutoff, program""", gated_cte())
+
+
+def _variance_levels_sql() -> str:
+    """Selected values of all rows of each level, keys included."""
+    names = ("line", "category", "period", "actual", "budget", "variance")
+    sel = ", ".join(f"if(count(DISTINCT coalesce(CAST(v_{c} AS VARCHAR), 'blank')) = 1, "
+                    f"any_value(v_{c}), NULL) AS {c}" for c in names)
+    copies = ", ".join(f"{c} AS v_{c}" for c in names)
+    return with_ctes(f"""
+SELECT level, line, category, period, actual, budget, variance, {VARIANCE_COLOR} AS color
+FROM (SELECT *, {VARIANCE_LIMIT} AS lim
+      FROM (SELECT CAST(grouping(line, category, period) AS BIGINT) AS level, {sel}
+            FROM (SELECT line, category, period, {copies} FROM finance_rows) f
+            GROUP BY GROUPING SETS ((line, category, period), (category, period), (period), ())) g) x""")
+
+
 ORACLE: dict[str, str] = {
+    "program_actuals_by_week": _by_week_sql(),
+    "variance_color_levels": _variance_levels_sql(),
+    "days_to_today": with_ctes(
+        "SELECT calendar_date, CAST(date_diff('day', calendar_date, current_date) AS INT) AS days, "
+        "CAST(date_diff('day', calendar_date, current_date) AS INT) AS days_to_cutoff FROM calendar"),
     "source_work_items": with_ctes(WI),
     "source_weekly_targets": with_ctes("SELECT * FROM weekly_targets"),
     "source_unit_forecast": with_ctes("SELECT * FROM unit_forecast"),

@@ -22,6 +22,7 @@ from planscore.operators import calendar as C
 from planscore.operators import filters as FL
 from planscore.operators import targets as TG
 from planscore.operators.grouping import selected_values
+from planscore.operators.rollup import program_actuals_at_cutoffs
 from planscore.params import FIXTURE_RULES, ReportParams
 from planscore.plans import finance, labour
 from planscore.plans.gate import gated_scorecard
@@ -29,8 +30,8 @@ from planscore.plans.routine import register_report_routine
 from planscore.plans.scorecard import (ScorecardInputs, joined_phase_rows, phase_rows, scorecard,
                                        scorecard_union_form)
 from planscore.session import checkpoint_dir, default_parallelism, ensure_conf
-from planscore.streaming.actuals_rollup import (program_actuals_from_rollup, read_rollup,
-                                                start_rollup_stream)
+from planscore.streaming.actuals_rollup import (actuals_rollup, program_actuals_from_rollup,
+                                                read_rollup, start_rollup_stream)
 from planscore.sources import fixtures as fx
 from planscore.sources.sinks import report_number_text, tsv_roundtrip
 from planscore.sources.tables import Tables
@@ -49,6 +50,9 @@ P_WEEK_GATE = dataclasses.replace(P, actuals_date=None, as_of=WEEK_GATE_ON)
 LABOUR_TODAY = dt.date(2024, 1, 15)
 CALENDAR_TODAY = dt.date(1995, 6, 15)   # inside the calendar: months before, of and after it
 
+WEEK_ENDS = [dt.date(1998, 1, 4) + dt.timedelta(weeks=w) for w in range(52)]   # Sundays
+LEVELS = [["line", "category", "period"], ["category", "period"], ["period"], []]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -199,6 +203,8 @@ QUERIES: dict[str, Query] = {
     "program_actuals_two_level": lambda s, d: A.program_actuals_two_level(
         A.notification_actuals(_wi(s, d), P, R), P, R),
     "program_actuals_streamed": program_actuals_streamed,
+    "program_actuals_by_week": lambda s, d: program_actuals_at_cutoffs(
+        actuals_rollup(_wi(s, d), P, R), WEEK_ENDS, R),
     "weekly_targets": lambda s, d: _dot(s, d),
     "nickname_completions": lambda s, d: TG.nickname_completions(_wt(s, d), P, R),
     "schedule_target": lambda s, d: TG.schedule_targets(_wt(s, d), P),
@@ -246,6 +252,12 @@ QUERIES: dict[str, Query] = {
             F.lit(CALENDAR_TODAY)).alias("current_month_label")),
     "variance_color": lambda s, d: finance.variance_colors(_fin(s, d), ["line", "category",
                                                                          "period"]),
+    "variance_color_levels": lambda s, d: finance.variance_color_levels(_fin(s, d), LEVELS[0],
+                                                                        LEVELS),
+    "days_to_today": lambda s, d: _cal(s, d).select(     # no as-of day given: the current date
+        "calendar_date", F.datediff(dataclasses.replace(P, as_of=None).today(), "calendar_date")
+        .alias("days"), F.datediff(dataclasses.replace(P, as_of=None, actuals_date=None).cutoff(),
+                                   "calendar_date").alias("days_to_cutoff")),
     "variance_color_by_category": lambda s, d: finance.variance_colors(_fin(s, d),
                                                                        ["category", "period"]),
     "field_time_pct": lambda s, d: labour.field_time_pct(_lab(s, d), ["job_level",
