@@ -12,7 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from planscore.session import materialize
+
 FOLDS = 5
+FEW_CLASSES = 100_000          # class counts that are broadcast
 
 
 def held_out(doc_id: Column) -> Column:
@@ -23,15 +26,23 @@ def held_out(doc_id: Column) -> Column:
 
 def bounded_sample(rows: DataFrame, class_col: str, id_col: str, per_class: int) -> DataFrame:
     """At most ``per_class`` rows of each class, those with the smallest hash of the id; never
-    held-out rows, null classes or null ids. A class's count sets a hash threshold first, so that
-    the ranking sees a few times ``per_class`` rows per class however large the table is."""
+    held-out rows, null classes or null ids.
+
+    A class's count sets a hash threshold that leaves ``per_class`` rows and six standard deviations
+    more. Rows are dropped by it where they are read, before any exchange: the counts (one row per
+    class) are written, and broadcast as long as there are at most ``FEW_CLASSES`` of them. So only a
+    few more than ``per_class`` rows of a class are ranked, however many it has. (In the unlikely
+    case that the threshold leaves fewer, the class has fewer.)"""
     rows = rows.filter(F.col(class_col).isNotNull() & F.col(id_col).isNotNull()
                        & ~held_out(F.col(id_col)))
     rows = rows.withColumn("_h", F.xxhash64(F.col(id_col), F.lit(11)))
-    n = rows.groupBy(F.col(class_col).alias("_class")).agg(F.count("*").alias("_n"))
-    unit = F.pmod(F.col("_h"), F.lit(1 << 20)) / F.lit(1 << 20)
+    n = materialize(rows.groupBy(F.col(class_col).alias("_class")).agg(F.count("*").alias("_n")),
+                    "class-counts")
+    n = F.broadcast(n) if n.count() <= FEW_CLASSES else n
+    unit = F.pmod(F.col("_h"), F.lit(1 << 40)) / F.lit(1 << 40)
+    wanted = per_class + 6.0 * per_class ** 0.5 + 20
     near = (rows.join(n, F.col(class_col) == F.col("_class"))
-            .filter(unit <= F.lit(4.0 * per_class) / F.col("_n")).drop("_class"))
+            .filter(unit <= F.lit(wanted) / F.col("_n")).drop("_class"))
     w = W.partitionBy(class_col).orderBy("_h", id_col)
     return (near.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= per_class)
             .drop("_h", "_r"))
