@@ -23,7 +23,7 @@ source and merged headers; responses are their own source; others keep their own
 Definitions: records with null URL or null date never match (``no_earlier_response``), other types
 than ``response`` and ``revisit`` get their own type as status. Among responses of equal date the
 one with the largest id is the later. Null headers are an empty map; header names are compared in
-lower case. Rows repeated exactly are reported each. An empty table gives an empty result; columns
+lower case, the values of names that differ in case only are joined. Rows repeated exactly are reported each. An empty table gives an empty result; columns
 beyond the named ones are ignored.
 """
 
@@ -60,11 +60,27 @@ def _strong(etag: Column) -> Column:
     return F.regexp_replace(etag, r"^\s*W/", "")
 
 
+def lower_names(headers: Column) -> Column:
+    """Headers by lower-case name. Names that differ in case only are one header: their values, by
+    the names as written and without nulls, are joined by a comma and a blank, as repeated header lines
+    are; null if all are null."""
+    lines = F.transform(F.array_sort(F.map_entries(headers)), lambda e: F.struct(
+        F.lower(e.getField("key")).alias("name"), e.getField("value").alias("value")))
+    names = F.array_distinct(F.transform(lines, lambda e: e.getField("name")))
+
+    def joined(name: Column) -> Column:
+        values = F.transform(F.filter(lines, lambda e: (e.getField("name") == name)
+                                      & e.getField("value").isNotNull()),
+                             lambda e: e.getField("value"))
+        return F.when(F.size(values) > 0, F.array_join(values, ", "))
+    return F.map_from_arrays(names, F.transform(names, joined))
+
+
 def resolve_revisits(records: DataFrame) -> DataFrame:
     """``records``: record_id, record_type, url, date, headers (map). Returns ``record_id,
     record_type, canonical, status, source_id, headers`` (merged)."""
-    names = F.transform_keys(F.col("headers"), lambda k, v: F.lower(k))
-    headers = F.coalesce(names, F.expr("cast(map() as map<string,string>)"))
+    headers = F.coalesce(lower_names(F.col("headers")),
+                         F.expr("cast(map() as map<string,string>)"))
     own = records.select(*COLUMNS).select(
         "record_id", "record_type", "date", headers.alias("headers"),
         canonical_url(F.col("url")).alias("canonical"),

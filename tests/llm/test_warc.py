@@ -80,3 +80,18 @@ def test_payload_repeats_and_empty_table(spark):
     assert sorted((r.record_id, r.body) for r in got if r.record_id < 3) == [
         (1, "text"), (2, "text"), (2, "text")]
     assert R.resolve_revisits(df.limit(0)).count() == 0
+
+
+def test_header_names_that_differ_in_case_only(spark):
+    rows = [(1, "response", "http://a/", 1, {"ETag": "x", "etag": "y", "Set-Cookie": "a",
+                                             "set-cookie": None, "SET-COOKIE": "b"}),
+            (2, "revisit", "http://a/", 2, {"ETAG": "x, y"}),
+            (3, "revisit", "http://a/", 3, {"ETag": "x", "eTag": "z"}),
+            (4, "response", "http://b/", 1, {"A": None, "a": None}), (5, "response", "http://c/", 1,
+                                                                      None)]
+    df = frame(spark, rows)
+    got = {r.record_id: r for r in R.resolve_revisits(df).collect()}
+    assert got[1].headers == {"etag": "x, y", "set-cookie": "b, a"}
+    assert got[2].status == "resolved" and got[2].source_id == 1
+    assert got[3].status == "validator_mismatch"
+    assert got[4].headers == {"a": None} and got[5].headers == {}
