@@ -69,34 +69,81 @@ FINDINGS = "array<struct<name:string,start:int,end:int>>"
 NO_FINDINGS = f"cast(array() as {FINDINGS})"
 
 
+CHUNK = 256        # matches whose positions are added up together
+
+
+def _chunks(n: Column, size: int) -> Column:
+    return F.sequence(F.lit(0), F.floor((n - 1) / F.lit(size)).cast("int"))
+
+
 def spans(text: Column, rule: Rule, order: int) -> Column:
-    """Array of (start, rule order, end) of the rule's accepted matches in ``text``."""
+    """Array of (start, rule order, end) of the rule's accepted matches in ``text``.
+
+    Positions are prefix sums of the gap and match lengths, taken inside chunks of ``CHUNK`` matches
+    first and then over the chunks: an accumulated array is copied at each step, so one run over n
+    matches would take n * n / 2 copies."""
     def lengths(parts: Column) -> Column:
         return F.transform(parts, F.length)
 
     def place(t: Column) -> Column:
         # (gap, match length, checked length) per match, in order
-        match = F.arrays_zip(
-            lengths(F.split(t, rule.pattern, -1)).alias("gap"),
-            lengths(F.regexp_extract_all(t, F.lit(rule.pattern), F.lit(0))).alias("len"),
-            lengths(F.regexp_extract_all(t, F.lit(rule.pattern), F.lit(rule.group)))
-            .alias("checked"))
+        found = lengths(F.regexp_extract_all(t, F.lit(rule.pattern), F.lit(0)))
+        checked = found if rule.group == 0 else lengths(
+            F.regexp_extract_all(t, F.lit(rule.pattern), F.lit(rule.group)))
+        gaps = lengths(F.split(t, rule.pattern, -1))     # one more than there are matches
+        match = F.arrays_zip(gaps.alias("gap"), found.alias("len"), checked.alias("checked"))
+        return _let(F.slice(match, F.lit(1), F.size(gaps) - 1), add_up)
+
+    def add_up(match: Column) -> Column:
         start = F.struct(F.lit(0).alias("at"), F.expr(NO_SPANS).alias("found"))
 
         def step(acc: Column, m: Column) -> Column:
             begin = acc.getField("at") + m.getField("gap")
-            end = begin + F.coalesce(m.getField("len"), F.lit(0))
+            end = begin + m.getField("len")
             found = F.when(m.getField("checked") >= rule.least, F.concat(
                 acc.getField("found"),
                 F.array(F.struct(begin.alias("start"), F.lit(order).alias("rule"),
                                  end.alias("end"))))).otherwise(acc.getField("found"))
             return F.struct(end.alias("at"), found.alias("found"))
-        return F.aggregate(match, start, step, lambda acc: acc.getField("found"))
+        return F.when(F.size(match) > 0, _let(F.transform(
+            _chunks(F.size(match), CHUNK),
+            lambda c: F.aggregate(F.slice(match, c * CHUNK + 1, F.lit(CHUNK)), start, step)),
+            together)).otherwise(F.expr(NO_SPANS))
+
+    def together(chunks: Column) -> Column:
+        """The chunks' spans, moved by the lengths of the chunks before: prefix sums again in two
+        steps."""
+        before = _let(F.transform(chunks, lambda c: c.getField("at")), _exclusive_sums)
+        return F.flatten(F.zip_with(chunks, before, lambda c, by: F.transform(
+            c.getField("found"), lambda s: F.struct(
+                (s.getField("start") + by).alias("start"), s.getField("rule").alias("rule"),
+                (s.getField("end") + by).alias("end")))))
 
     return (F.when(F.rlike(text, F.lit(rule.screen or rule.pattern)), place(text))
             .otherwise(F.expr(NO_SPANS)))
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once per row."""
+    return F.transform(F.array(value), use).getItem(0)
+
+
+def _exclusive_sums(lengths: Column) -> Column:
+    """Sum of the elements before each, for an array that is not empty."""
+    def running(part: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("sums"))
+        return F.aggregate(part, start, lambda acc, x: F.struct(
+            (acc.getField("at") + x).alias("at"),
+            F.concat(acc.getField("sums"), F.array(acc.getField("at"))).alias("sums")))
+
+    def shifted(parts: Column) -> Column:
+        totals = running(F.transform(parts, lambda p: p.getField("at"))).getField("sums")
+        return F.flatten(F.zip_with(parts, totals, lambda p, by: F.transform(
+            p.getField("sums"), lambda x: x + by)))
+    return _let(F.transform(_chunks(F.size(lengths), CHUNK), lambda c: running(
+        F.slice(lengths, c * CHUNK + 1, F.lit(CHUNK)))), shifted)
+
+
 def empty_ledger(spark) -> DataFrame:
     return spark.createDataFrame([], f"blob binary, scanned array<string>, findings {FINDINGS}")
 
@@ -178,7 +225,8 @@ def count_of(findings: Column, rule: Rule) -> Column:
 
 
 def op5(spark, sf_dir: str) -> DataFrame:
-    """``documents`` as files (path = doc_id, one version each) against an empty ledger."""
+    """``documents`` as files (path = doc_id, one version each) against an empty ledger; repeated
+    texts are scanned once. (Runs on a ledger that knows some blobs are left to ``scan_versions``.)"""
     files = (spark.read.parquet(f"{sf_dir}/documents.parquet")
              .select(F.col("doc_id").alias("path"), F.lit(0).alias("version"), "text"))
     found, _ = scan_versions(files)

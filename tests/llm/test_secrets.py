@@ -3,6 +3,7 @@
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from planscore.llm import secret_ledger as S
 from tests.llm import brute
@@ -65,3 +66,23 @@ def test_repeats_nulls_and_empty_table(spark):
     assert sorted(len(r.findings) for r in found.collect()) == [0, 0, 1, 1]
     found, new = S.scan_versions(spark.createDataFrame([], schema))
     assert found.count() == 0 and new.count() == 0
+
+
+def test_many_matches_in_one_text_take_time_in_proportion(spark):
+    """Positions of 200,000 matches of one text, and of chunk ends."""
+    import time
+    rule = S.RULES[2]
+
+    def run(n):
+        token = "0123456789abcdef01234567"
+        df = spark.createDataFrame([("é " + f"{token} x" * n,)], "t string")
+        t0 = time.perf_counter()
+        row = df.select(S.spans(F.col("t"), rule, 2).alias("s")).first()
+        return [(x.start, x.end) for x in row.s], time.perf_counter() - t0
+    for n in (0, 1, S.CHUNK - 1, S.CHUNK, S.CHUNK + 1):
+        got, _ = run(n)
+        assert got == [(2 + 26 * i, 26 + 26 * i) for i in range(n)]
+    _, small = run(20_000)
+    got, large = run(200_000)
+    assert got == [(2 + 26 * i, 26 + 26 * i) for i in range(200_000)]
+    assert large < 40 * max(small, 0.5)
