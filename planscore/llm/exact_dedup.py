@@ -1,12 +1,13 @@
 """Exact dedup by a tree-merge of sorted digest runs.
 
 Every input partition is a run of ``(digest, best row, count)`` records. The runs are merged in
-rounds over a ``fanin``-ary exchange tree (binomial for ``fanin = 2``): in round *r* run ``p``
+rounds over a binomial tree (``fanin = 2``; wider trees take fewer rounds): in round *r* run ``p``
 passes each record to the run whose *r*-th address digit is the digit of the record's digest, so
-the runs that differ from each other in that digit exchange disjoint digest ranges, and each
-receiver sorts and merges what it gets. Equal digests that meet are reduced to one record on the
-spot (before the exchange by Spark's partial aggregation, after it by the merge). After the last
-round run ``p`` holds exactly the digests whose address is ``p``, each once.
+the runs that differ from each other in that digit exchange disjoint halves of their digests. Each
+run is one partition throughout; each receiver sorts what it gets by digest and merges it, one record
+per digest with the row that stays. After the last round run ``p`` holds exactly the digests whose
+address is ``p``, each once and in order. A digest that a third of all rows share is spread over all
+runs at first and halves its records with every round, before they meet.
 
 Only digests, lengths and ids are exchanged; texts are read once. Records are kept apart unless
 the SHA-256, the length and an independent 64-bit hash of the normalised text all agree
@@ -47,29 +48,33 @@ def digest_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 KEY = ("digest", "n_norm", "chk")
 
 
-def _digit(x: Column, r: int, fanin: int) -> Column:
-    return F.floor(x / F.lit(fanin ** r)) % F.lit(fanin)
-
-
-def merge_runs(rows: DataFrame, rounds: int, fanin: int = 8) -> DataFrame:
+def merge_runs(rows: DataFrame, rounds: int, fanin: int = 2) -> DataFrame:
     """Reduce :func:`digest_rows` records to one ``(key, best, n)`` record per verified digest,
-    in ``rounds`` exchange rounds over ``fanin ** rounds`` runs."""
+    in ``rounds`` exchange rounds over ``fanin ** rounds`` runs.
+
+    A run is a partition (``repartitionById``): in round *r* it keeps the records whose *r*-th
+    address digit is its own and sends the others to the ``fanin - 1`` runs that differ from it in
+    that digit alone. What meets there is sorted by key and merged in the same pass, within the
+    partition."""
     runs = fanin ** rounds
     rec = rows.select(
-        F.pmod(F.spark_partition_id(), F.lit(runs)).cast("long").alias("run"), *KEY,
+        F.pmod(F.spark_partition_id(), F.lit(runs)).cast("int").alias("run"), *KEY,
         F.struct((-F.col("n_chars")).alias("neg_len"), "id").alias("best"),
         F.lit(1).cast("long").alias("n"))
+    address = F.pmod(F.col("chk"), F.lit(runs))
+
+    def digit(x: Column, r: int) -> Column:
+        return F.floor(x / F.lit(fanin ** r)) % F.lit(fanin)
     for r in reversed(range(rounds)):
-        home = _digit(F.pmod(F.col("chk"), F.lit(runs)), r, fanin)
-        to = F.col("run") + (home - _digit(F.col("run"), r, fanin)) * F.lit(fanin ** r)
-        rec = (rec.withColumn("run", to.cast("long")).groupBy("run", *KEY)
-               .agg(F.min("best").alias("best"), F.sum("n").alias("n")))
+        to = F.col("run") + (digit(address, r) - digit(F.col("run"), r)) * F.lit(fanin ** r)
+        rec = (rec.withColumn("run", to.cast("int")).repartitionById(runs, "run")
+               .groupBy("run", *KEY).agg(F.min("best").alias("best"), F.sum("n").alias("n")))
     return rec.select(*KEY, "best", "n")
 
 
-def rounds_for(df: DataFrame, fanin: int = 8) -> int:
-    """Rounds until there are at least as many runs as shuffle partitions (two or more)."""
-    want = max(fanin * fanin, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def rounds_for(df: DataFrame, fanin: int = 2) -> int:
+    """Rounds until there are at least as many runs as shuffle partitions."""
+    want = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rounds = 1
     while fanin ** rounds < want:
         rounds += 1
@@ -77,7 +82,7 @@ def rounds_for(df: DataFrame, fanin: int = 8) -> int:
 
 
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                fanin: int = 8, rounds: int | None = None) -> DataFrame:
+                fanin: int = 2, rounds: int | None = None) -> DataFrame:
     """One row per input row: ``id, keep_id, group_size, kept, n_chars, text_sha256``."""
     rows = materialize(digest_rows(df, id_col, text_col), "digests")
     merged = merge_runs(rows, rounds or rounds_for(df, fanin), fanin)
