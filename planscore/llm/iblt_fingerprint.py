@@ -32,8 +32,14 @@ from planscore.llm.ordering import numbered
 from planscore.session import materialize
 
 TABLES, CELLS = 3, 8           # cells per table: a power of two
-PIECE = 24                     # code points of a paragraph piece, in texts of every size
-SHORT_TEXT, SHORT_PIECE = 0, PIECE  # no text is cut otherwise; the tests' reference reads these
+LONGEST = 64                   # code points of a paragraph piece that no boundary ends
+# A piece ends after a blank that follows one of these letters, after one of these signs, or after one
+# of these characters of scripts without blanks: places that the text itself marks, so that an
+# insertion changes the pieces that it touches and no others.
+BEFORE_BLANK = "adglosyéаеоия"
+SIGNS, UNSPACED = "。，、！？；", "のはをに一-兿가-꽿ก-ค"
+PIECES = (rf"[^\n]{{0,{LONGEST - 2}}}?(?:[{BEFORE_BLANK}] |[{SIGNS}{UNSPACED}])"
+          rf"|[^\n]{{1,{LONGEST}}}")
 ROUNDS = 12                    # peeling rounds before a retry
 SPLIT_FROM = 16                # digest bits below this choose cells, above it quarters
 LAST_LEVEL = (64 - SPLIT_FROM) // 2
@@ -53,7 +59,7 @@ def check(digest: Column) -> Column:
 
 def digests(text: Column) -> Column:
     """Distinct paragraph digests of a text."""
-    pieces = F.regexp_extract_all(text, F.lit(r"[^\n]{1,%d}" % PIECE), F.lit(0))
+    pieces = F.regexp_extract_all(text, F.lit(PIECES), F.lit(0))
     return F.array_distinct(F.transform(pieces, lambda p: F.xxhash64(p)))
 
 

@@ -10,8 +10,7 @@ from tests.llm import brute
 
 
 def units(text):
-    most = I.SHORT_PIECE if len(text) < I.SHORT_TEXT else I.PIECE
-    return set(re.findall(r"[^\n]{1,%d}" % most, text))
+    return set(re.findall(I.PIECES, text))
 
 
 def jaccard(a, b):
@@ -98,3 +97,25 @@ def test_texts_of_different_sizes_share_their_pieces(spark):
     assert near[9] > 0.4                       # 300 of 450 code points are kept, 350 in all
     got = I.edited_fingerprints(frame(spark, [(9, c), (8, c + d)])).collect()
     assert all(x.near_next > 0.8 for x in got)
+
+
+def test_an_insertion_changes_the_pieces_it_touches(spark):
+    """One character in front of a line of 6,000, in its middle, and in front of each line."""
+    r = random.Random(4)
+
+    def line(n, alphabet="abcdefghijklmnopqrstuvwxyz", blank=" "):
+        out = ""
+        while len(out) < n:
+            out += "".join(r.choice(alphabet) for _ in range(r.randint(2, 9))) + blank
+        return out[:n]
+    long = line(6000)
+    lines = [line(200) for _ in range(30)]
+    han = line(6000, [chr(c) for c in range(0x4e00, 0x9e00)], "")
+    pairs = [(long, "x" + long), (long, long[:3000] + "x" + long[3000:]), (long, long[1:]),
+             ("\n".join(lines), "\n".join("x" + t for t in lines)), (han, "x" + han)]
+    for a, b in pairs:
+        got = I.edited_fingerprints(frame(spark, [(2, a), (1, b)])).collect()
+        near = {x.id: x.near_next for x in got}[2]
+        assert near > (0.7 if a.count("\n") else 0.9), (a[:20], near)
+        pieces = re.findall(I.PIECES, a)
+        assert "".join(pieces) == a.replace("\n", "") and 8 < len(a) / len(pieces) < 40
