@@ -51,6 +51,7 @@ from planscore.llm.sampling import bounded_sample, held_out
 from planscore.session import materialize
 
 SAMPLE_DOCS = 2000             # per label
+SAMPLE_CHARS = 200_000         # code points of a sampled text that fitting reads (scoring: all)
 MAX_TERMS = 200                # of one automaton; as many automata as the terms need
 LONGEST = 12                   # characters of the prefixes counted
 MIN_DOCS = 3                   # toxic texts that a term must occur in
@@ -71,6 +72,9 @@ ADDRESS = ("you your youre u ur du dich dein ihr euch tu toi vous te ton usted e
            "ustedes").split()
 # Digits read as letters.
 LOOKALIKE = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t"}
+# Opening quotation marks and the marks that close them.
+CLOSING = {'"': '"', "“": "”", "„": "“”", "«": "»", "‘": "’"}
+_MARKS = re.compile("[\"“”„«»‘’\\n]")
 _REPORT = re.compile(r"\b(?:" + "|".join(REPORTING) + r")\b", re.I)
 _ADDRESS = re.compile(r"\b(?:" + "|".join(ADDRESS) + r")\b", re.I)
 
@@ -343,17 +347,14 @@ class Scorer:
     def trusted(self, word: str, term: int) -> float:
         return self.trust.get(self.form(word, term), 1.0) if self.trust else 1.0
 
-    def context(self, text: str, start: int, end: int) -> float:
-        """Weight of a match by its context window."""
-        line = text.rfind("\n", max(0, start - 2000), start) + 1
-        stop = text.find("\n", end, end + 2000)
-        stop = min(len(text), end + 2000) if stop < 0 else stop
-        before, after = text[max(line, start - 2000):start], text[end:stop]
-        quoted = (before.count('"') % 2 == 1 and '"' in after
-                  or before.rfind("“") > before.rfind("”") and "”" in after
-                  or before.rfind("«") > before.rfind("»") and "»" in after
-                  or before.rfind("„") > before.rfind("“") and "“" in after)
-        near = before[-AROUND:] + " \n " + after[:AROUND]
+    @staticmethod
+    def context(text: str, start: int, end: int, quoted: bool) -> float:
+        """Weight of a match by its context window; ``quoted``: inside quotation marks."""
+        line = text.rfind("\n", max(0, start - AROUND), start) + 1
+        stop = text.find("\n", end, end + AROUND)
+        before = text[max(line, start - AROUND):start]
+        after = text[end:min(len(text), end + AROUND) if stop < 0 else stop]
+        near = before + " \n " + after
         weight = QUOTED if quoted else 1.0
         if _REPORT.search(near):
             weight *= 0.5 if not quoted else 1.0
@@ -366,12 +367,16 @@ class Scorer:
 
         The last lets the regression move the worth of misspellings away from one half."""
         exact = fuzzy = 0.0
-        words = 0
+        words = at = 0
+        spans = quotations(text)
         for part in slices(text):
             start, end, term, edits, n, _ = self.matches(part)
             words += n
-            for s, e, t, k in zip(start.tolist(), end.tolist(), term.tolist(), edits.tolist()):
-                v = self.terms[t][2] * self.context(part, s, e)
+            quoted = inside(spans, start + at)
+            at += len(part)
+            for s, e, t, k, q in zip(start.tolist(), end.tolist(), term.tolist(),
+                                     edits.tolist(), quoted.tolist()):
+                v = self.terms[t][2] * self.context(part, s, e, q)
                 if k:
                     fuzzy += v * self.trusted(part[s:e], t) / (1 + k)
                 else:
@@ -407,9 +412,10 @@ class Scorer:
         words = np.diff(np.searchsorted(all_words, begins))
         exact, fuzzy = np.zeros(len(group)), np.zeros(len(group))
         doc = np.searchsorted(begins, start, side="right") - 1
-        for d, s, e, t, k in zip(doc.tolist(), start.tolist(), end.tolist(), term.tolist(),
-                                 edits.tolist()):
-            v = self.terms[t][2] * self.context(joined, s, e)
+        quoted = inside(quotations(joined), start) if len(start) else np.zeros(0, bool)
+        for d, s, e, t, k, q in zip(doc.tolist(), start.tolist(), end.tolist(), term.tolist(),
+                                    edits.tolist(), quoted.tolist()):
+            v = self.terms[t][2] * self.context(joined, s, e, q)
             if k:
                 fuzzy[d] += v * self.trusted(joined[s:e], t) / (1 + k)
             else:
@@ -423,6 +429,50 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
+def quotations(text: str) -> np.ndarray:
+    """(start, end) of the quotations of a text, one after the other, from one pass over its marks.
+
+    A quotation opens at a mark and closes at the next mark of its kind in the same line; one that
+    the line does not close is none. Marks of other kinds inside a quotation count for nothing, and
+    an apostrophe (a single closing mark before a letter or digit) closes none."""
+    spans, line = [], []
+    for m in _MARKS.finditer(text):
+        if m.group() != "\n":
+            line.append((m.start(), m.group()))
+        elif line:
+            spans += _line_quotations(text, line)
+            line = []
+    spans += _line_quotations(text, line)
+    return np.array(spans, np.int64).reshape(-1, 2)
+
+
+def _line_quotations(text: str, marks: list[tuple[int, str]]) -> list[tuple[int, int]]:
+    spans, unclosed, i, opened = [], set(), 0, None
+    while i < len(marks):
+        at, mark = marks[i]
+        if opened is None:
+            if mark in CLOSING and mark not in unclosed:
+                opened = i
+        elif mark in CLOSING[marks[opened][1]] and not (
+                mark == "’" and text[at + 1:at + 2].isalnum()):
+            spans.append((marks[opened][0], at))
+            opened = None
+        i += 1
+        if i == len(marks) and opened is not None:
+            # nothing closes this kind any more: the marks after it are read once more without it
+            unclosed.add(marks[opened][1])
+            i, opened = opened + 1, None
+    return spans
+
+
+def inside(spans: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Which places lie in one of the spans."""
+    if not len(spans):
+        return np.zeros(len(places), bool)
+    k = np.searchsorted(spans[:, 0], places, "right") - 1
+    return (k >= 0) & (places < spans[np.maximum(k, 0), 1])
+
+
 def slices(text: str):
     """Pieces of about ``SLICE`` characters cut at a line end, else a space, else anywhere."""
     at = 0
@@ -498,8 +548,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
              .agg(F.count("*").alias("n")).collect()}                     # two rows
     ids = bounded_sample(known, "toxic", "lid", docs_per_label)
     # docs_per_label ids per label; several rows of one id all count
-    texts = docs.select(F.col(id_col).alias("id"),
-                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    texts = docs.select(F.col(id_col).alias("id"), F.substring(
+        F.coalesce(F.col(text_col), F.lit("")), 1, SAMPLE_CHARS).alias("text"))
     sample = texts.join(F.broadcast(ids), F.col("id") == F.col("lid")).select(
         "id", "toxic", "text")
     sample = materialize(sample.withColumn("cluster", cluster_of(F.col("text"))),

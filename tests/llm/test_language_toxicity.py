@@ -1,5 +1,6 @@
 """Held-out accuracy and odd inputs of the two trained operators."""
 
+import random
 import zlib
 
 import numpy as np
@@ -206,3 +207,35 @@ def test_toxicity_odd_inputs(spark):
 
 def test_held_out_of_null_ids(spark):
     assert [r[0] for r in odd(spark).select(held_out(X.F.col("doc_id"))).collect()][0] is False
+
+
+def test_quotations_are_found_in_one_pass():
+    def quoted(text):
+        return [text[a + 1:b] for a, b in X.quotations(text).tolist()]
+    assert quoted('a "b c" d "e"') == ["b c", "e"]
+    assert quoted('a "b\nc" d') == [] and quoted("“a ‘b’ c” ‘d’ «e» „f“") == ["a ‘b’ c", "d", "e", "f"]
+    assert quoted("‘you don’t say’ she’s") == ["you don’t say"]
+    assert quoted('“open and "closed" here') == ["closed"] and quoted('‘a “b "c" «d') == ["c"]
+    assert quoted("") == [] and quoted('"') == [] and quoted('"' * 100_001 + "x") != []
+    r = random.Random(3)
+    for _ in range(300):
+        text = "".join(r.choice('ab "“”„«»‘’\n') for _ in range(r.randint(0, 40)))
+        spans = X.quotations(text).tolist()
+        assert all("\n" not in text[a:b] and text[b] in X.CLOSING[text[a]] for a, b in spans)
+        assert all(p[1] < q[0] for p, q in zip(spans, spans[1:]))
+    places = np.array([0, 3, 5, 9])
+    assert X.inside(np.array([[2, 4], [5, 7]]), places).tolist() == [False, True, True, False]
+
+
+@pytest.mark.parametrize("marks", ['""', "“”", "‘’", "«»"])
+@pytest.mark.parametrize("size", [50, 2050, 300_000, 1_200_000])
+def test_a_long_quotation_does_not_turn_its_line_around(marks, size):
+    """An insult between two quotations is outright, whatever the length of the first."""
+    a, b = marks
+    filler = ("fine words " * (size // 11 + 1))[:size]
+    text = f"{a}{filler}{b} then you are an idiot and she replied {a}idiot fine{b}"
+    spans = X.quotations(text)
+    first, second = text.index("idiot"), text.rindex("idiot")
+    assert X.inside(spans, np.array([3, first, second])).tolist() == [True, False, True]
+    assert X.Scorer.context(text, first, first + 5, False) >= 0.75
+    assert X.Scorer.context(text, second, second + 5, True) <= X.QUOTED
