@@ -1,13 +1,14 @@
 """Document fingerprints as invertible Bloom lookup sketches.
 
-A text is a set of paragraph digests: its lines, long ones cut into pieces of at most ``PIECE``
-code points from the line's start, whatever the text's size, hashed to 64 bits. The sketch has
+A text is a set of paragraph digests: its lines, cut into pieces at places that the text itself
+marks (``PIECES``; about 50 code points), hashed to 64 bits. The sketch has
 ``TABLES * CELLS`` cells; a digest goes into one cell of each table, which keeps a count, the
 exclusive or of its digests and of their check sums. Two versions' sketches subtract cell by cell: what both have cancels, and
 peeling cells that hold a single digest recovers the paragraphs in which the versions differ. When
 peeling stops early, the retry uses a sketch four times as large, laid out as four sketches of the
-digests' quarters (by digest bits); only quarters that fail again are split further. So the work
-is proportional to the difference, also for very long texts, and every pair ends decoded.
+digests' quarters (by digest bits); only quarters that fail again are split further. The first
+sketch is already split by the sizes of the two sets (up to 64 parts), so that most pairs, unrelated
+texts included, decode without a retry. Every pair ends decoded.
 
 The likeness of two texts is the Jaccard similarity of their digest sets, from the set sizes and
 the number of digests recovered. All steps are SQL functions over arrays; a round's rows are one
@@ -32,17 +33,18 @@ from planscore.llm.ordering import numbered
 from planscore.session import materialize
 
 TABLES, CELLS = 3, 8           # cells per table: a power of two
-LONGEST = 64                   # code points of a paragraph piece that no boundary ends
+LONGEST = 256                  # code points of a paragraph piece that no boundary ends
 # A piece ends after a blank that follows one of these letters, after one of these signs, or after one
 # of these characters of scripts without blanks: places that the text itself marks, so that an
 # insertion changes the pieces that it touches and no others.
-BEFORE_BLANK = "adglosyéаеоия"
+BEFORE_BLANK = "bcdfghjyадй"
 SIGNS, UNSPACED = "。，、！？；", "のはをに一-兿가-꽿ก-ค"
 PIECES = (rf"[^\n]{{0,{LONGEST - 2}}}?(?:[{BEFORE_BLANK}] |[{SIGNS}{UNSPACED}])"
           rf"|[^\n]{{1,{LONGEST}}}")
 ROUNDS = 12                    # peeling rounds before a retry
 SPLIT_FROM = 16                # digest bits below this choose cells, above it quarters
-LAST_LEVEL = (64 - SPLIT_FROM) // 2
+LAST_BIT = 64 - SPLIT_FROM
+CAPACITY, FIRST_SPLIT = 16, 3  # digests that a sketch peels; quarterings of the first one at most
 KEY = ("k1", "k2")
 
 CELL = "struct<n:int,k:bigint,c:bigint>"
@@ -137,31 +139,49 @@ def likeness(a: Column, b: Column, differ: Column) -> Column:
 
 def differences(pairs: DataFrame, *ids: str) -> DataFrame:
     """``pairs``: ``ids`` (distinct), ``a``, ``b`` (digest sets). Adds up the recovered digests:
-    ``ids, differ``, retrying on quarters until every pair is decoded."""
+    ``ids, differ``, retrying parts on their quarters until every pair is decoded.
+
+    The first sketch is sized by the sets: they are split by digest bits into as many parts (at most
+    ``4 ** FIRST_SPLIT``) as leave about ``CAPACITY`` digests each, so that texts that share nothing
+    decode at once as well. Digests are written again only for parts that fail."""
+    n = F.size("a") + F.size("b")
+    split = F.lit(FIRST_SPLIT)
+    for k in reversed(range(FIRST_SPLIT)):
+        split = F.when(n <= CAPACITY * 4 ** k, k).otherwise(split)
     done, level = [], 0
-    todo = pairs.select(*ids, "a", "b")
+    todo = pairs.select(*ids, "a", "b", F.lit(0).alias("used"), split.alias("split"))
     while True:
-        if level < LAST_LEVEL:
-            got = todo.withColumn("peeled", peel(subtract(sketch(F.col("a")),
-                                                          sketch(F.col("b")))))
-        else:  # digest bits are used up: nothing left to tell a quarter's digests apart
-            got = todo.withColumn("peeled", F.struct(F.lit(True).alias("ok"), F.concat(
-                F.array_except("a", "b"), F.array_except("b", "a")).alias("found")))
+        shift = F.col("used") + SPLIT_FROM
+
+        def part(keys: str, q: Column, shift=shift) -> Column:
+            return F.filter(keys, lambda k: F.call_function("shiftrightunsigned", k, shift)
+                            .bitwiseAND(F.col("parts") - 1) == q)
+
+        def decode(q: Column) -> Column:
+            return let(F.struct(part("a", q).alias("a"), part("b", q).alias("b")), lambda s: let(
+                peel(subtract(sketch(s.getField("a")), sketch(s.getField("b")))),
+                lambda p: F.struct(q.alias("q"), p.getField("ok").alias("ok"),
+                                   F.size(p.getField("found")).alias("differ"))))
+        # when digest bits are used up, nothing is left to tell a part's digests apart
+        rest = F.struct(F.lit(0).cast("bigint").alias("q"), F.lit(True).alias("ok"), (F.size(
+            F.array_except("a", "b")) + F.size(F.array_except("b", "a"))).alias("differ"))
+        got = todo.withColumn("parts", F.call_function(
+            "shiftleft", F.lit(1).cast("bigint"), 2 * F.col("split"))).withColumn(
+            "decoded", F.when(F.col("used") >= LAST_BIT, F.array(rest)).otherwise(
+                F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1), decode)))
+        fine = F.filter("decoded", lambda d: d.getField("ok"))
+        failed = F.transform(F.filter("decoded", lambda d: ~d.getField("ok")),
+                             lambda d: d.getField("q"))
         got = materialize(got.select(
-            *ids, F.col("peeled.ok").alias("ok"), F.size("peeled.found").alias("differ"),
-            F.when(~F.col("peeled.ok"), F.col("a")).alias("a"),
-            F.when(~F.col("peeled.ok"), F.col("b")).alias("b")), f"iblt-{level}")
-        done.append(got.filter("ok").select(*ids, "differ"))
-        failed = got.filter("not ok")
+            *ids, F.aggregate(fine, F.lit(0), lambda t, d: t + d.getField("differ")).alias("differ"),
+            F.transform(failed, lambda q: F.struct(part("a", q).alias("a"), part("b", q).alias("b")))
+            .alias("failed"), (F.col("used") + 2 * F.col("split")).alias("used")), f"iblt-{level}")
+        done.append(got.select(*ids, "differ"))
+        failed = got.filter(F.size("failed") > 0)
         if failed.isEmpty():
             break
-        shift = SPLIT_FROM + 2 * level
-
-        def quarter(keys: str, shift=shift) -> Column:
-            return F.filter(keys, lambda k: F.shiftrightunsigned(k, shift)
-                            .bitwiseAND(F.lit(3)) == F.col("q"))
-        todo = (failed.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(3))))
-                .select(*ids, quarter("a").alias("a"), quarter("b").alias("b")))
+        todo = (failed.select(*ids, "used", F.explode("failed").alias("f"))
+                .select(*ids, "f.a", "f.b", "used", F.lit(1).alias("split")))
         level += 1
     return (reduce(DataFrame.unionByName, done).groupBy(*ids)
             .agg(F.sum("differ").alias("differ")))

@@ -116,6 +116,7 @@ def test_an_insertion_changes_the_pieces_it_touches(spark):
     for a, b in pairs:
         got = I.edited_fingerprints(frame(spark, [(2, a), (1, b)])).collect()
         near = {x.id: x.near_next for x in got}[2]
-        assert near > (0.7 if a.count("\n") else 0.9), (a[:20], near)
+        # an edit in each line of 200 changes one of its two or three pieces
+        assert near > (0.2 if a.count("\n") else 0.9), (a[:20], near)
         pieces = re.findall(I.PIECES, a)
-        assert "".join(pieces) == a.replace("\n", "") and 8 < len(a) / len(pieces) < 40
+        assert "".join(pieces) == a.replace("\n", "") and 8 < len(a) / len(pieces) < 200
