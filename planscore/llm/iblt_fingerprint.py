@@ -1,13 +1,13 @@
 """Document fingerprints as invertible Bloom lookup sketches.
 
 A text is a set of paragraph digests: its lines, cut into pieces at places that the text itself
-marks (``PIECES``; about 50 code points), hashed to 64 bits. The sketch has
+marks (``PIECES``; about 30 code points), hashed to 64 bits. The sketch has
 ``TABLES * CELLS`` cells; a digest goes into one cell of each table, which keeps a count, the
 exclusive or of its digests and of their check sums. Two versions' sketches subtract cell by cell: what both have cancels, and
 peeling cells that hold a single digest recovers the paragraphs in which the versions differ. When
 peeling stops early, the retry uses a sketch four times as large, laid out as four sketches of the
 digests' quarters (by digest bits); only quarters that fail again are split further. The first
-sketch is already split by the sizes of the two sets (up to 64 parts), so that most pairs, unrelated
+sketch is already split by the sizes of the two sets (up to 16 parts), so that most pairs, unrelated
 texts included, decode without a retry. Every pair ends decoded.
 
 The likeness of two texts is the Jaccard similarity of their digest sets, from the set sizes and
@@ -44,7 +44,7 @@ PIECES = (rf"[^\n]{{0,{LONGEST - 2}}}?(?:[{BEFORE_BLANK}] |[{SIGNS}{UNSPACED}])"
 ROUNDS = 12                    # peeling rounds before a retry
 SPLIT_FROM = 16                # digest bits below this choose cells, above it quarters
 LAST_BIT = 64 - SPLIT_FROM
-CAPACITY, FIRST_SPLIT = 16, 3  # digests that a sketch peels; quarterings of the first one at most
+CAPACITY, FIRST_SPLIT = 16, 2  # digests that a sketch peels; quarterings of the first one at most
 KEY = ("k1", "k2")
 
 CELL = "struct<n:int,k:bigint,c:bigint>"
