@@ -1,18 +1,19 @@
 """Document fingerprints as invertible Bloom lookup sketches.
 
 A text is a set of paragraph digests: its lines, cut into pieces at places that the text itself
-marks (``PIECES``; about 30 code points), hashed to 64 bits. The sketch has
+marks (``PIECES``; about 60 code points), hashed to 64 bits. The sketch has
 ``TABLES * CELLS`` cells; a digest goes into one cell of each table, which keeps a count, the
 exclusive or of its digests and of their check sums. Two versions' sketches subtract cell by cell: what both have cancels, and
 peeling cells that hold a single digest recovers the paragraphs in which the versions differ. When
 peeling stops early, the retry uses a sketch four times as large, laid out as four sketches of the
-digests' quarters (by digest bits); only quarters that fail again are split further. The first
-sketch is already split by the sizes of the two sets (up to 16 parts), so that most pairs, unrelated
-texts included, decode without a retry. Every pair ends decoded.
+digests' quarters, with cells and quarters hashed anew; only quarters that fail again are split
+further. The first sketch is already split in halves by the difference that a quarter of the digests lets expect (a first
+stratum), so that most pairs, unrelated texts included, decode without a retry. Every pair ends
+decoded.
 
 The likeness of two texts is the Jaccard similarity of their digest sets, from the set sizes and
-the number of digests recovered. All steps are SQL functions over arrays; a round's rows are one
-per undecoded quarter.
+the number of digests recovered. All steps are SQL functions over arrays. A document and its next
+are decoded in the row that has both; digests are written only for parts that fail.
 
 Definitions: null text counts as empty. An empty text has no paragraphs; two texts without
 paragraphs are alike 1, one without and one with are 0. Equal texts have equal fingerprints.
@@ -37,17 +38,18 @@ LONGEST = 256                  # code points of a paragraph piece that no bounda
 # A piece ends after a blank that follows one of these letters, after one of these signs, or after one
 # of these characters of scripts without blanks: places that the text itself marks, so that an
 # insertion changes the pieces that it touches and no others.
-BEFORE_BLANK = "bcdfghjyадй"
+BEFORE_BLANK = "bcghjй"
 SIGNS, UNSPACED = "。，、！？；", "のはをに一-兿가-꽿ก-ค"
 PIECES = (rf"[^\n]{{0,{LONGEST - 2}}}?(?:[{BEFORE_BLANK}] |[{SIGNS}{UNSPACED}])"
           rf"|[^\n]{{1,{LONGEST}}}")
 ROUNDS = 12                    # peeling rounds before a retry
-SPLIT_FROM = 16                # digest bits below this choose cells, above it quarters
-LAST_BIT = 64 - SPLIT_FROM
-CAPACITY, FIRST_SPLIT = 16, 2  # digests that a sketch peels; quarterings of the first one at most
+STRATUM_FROM = 9               # two digest bits from here choose the digests that estimate a difference
+SPLIT_FROM = 16                # bits below this choose cells, those above it parts
+CAPACITY, FIRST_SPLIT = 12, 10  # digests that a sketch peels; halvings of the first one at most
 KEY = ("k1", "k2")
 
 CELL = "struct<n:int,k:bigint,c:bigint>"
+SIDES = "struct<a:array<bigint>,b:array<bigint>>"
 
 
 def let(value: Column, use) -> Column:
@@ -69,13 +71,29 @@ def cell(n: Column, k: Column, c: Column) -> Column:
     return F.struct(n.alias("n"), k.alias("k"), c.alias("c"))
 
 
+def itself(digest: Column) -> Column:
+    return digest
+
+
+def anew(digest: Column) -> Column:
+    """The bits that choose a digest's cells and part in a retry: others on each ``level``."""
+    return F.xxhash64(digest, F.col("level"))
+
+
+def item(n: Column, k: Column, c: Column, bits=itself) -> Column:
+    """A digest with the cell that it has in each table."""
+    def with_cells(h: Column) -> Column:
+        return F.struct(n.alias("n"), k.alias("k"), c.alias("c"), *[
+            F.shiftrightunsigned(h, (CELLS.bit_length() - 1) * t).bitwiseAND(F.lit(CELLS - 1))
+            .cast("int").alias(f"t{t}") for t in range(TABLES)])
+    return with_cells(k) if bits is itself else let(bits(k), with_cells)
+
+
 def add_to_cells(cells: Column, items: Column, sign: int) -> Column:
-    """``cells`` with the items (n, k, c) that fall into them added or taken away."""
+    """``cells`` with the ``item``s that fall into them added or taken away."""
     def one_table(t: int):
-        bits = (CELLS.bit_length() - 1) * t
         return lambda c, j: F.aggregate(
-            F.filter(items, lambda x: F.shiftrightunsigned(x.getField("k"), bits)
-                     .bitwiseAND(F.lit(CELLS - 1)) == j), c,
+            F.filter(items, lambda x: x.getField(f"t{t}") == j), c,
             lambda s, x: cell(s.getField("n") + sign * x.getField("n"),
                               s.getField("k").bitwiseXOR(x.getField("k")),
                               s.getField("c").bitwiseXOR(x.getField("c"))))
@@ -88,9 +106,9 @@ def empty_cells() -> Column:
                                    F.lit(0).cast("long").alias("c")), TABLES * CELLS)
 
 
-def sketch(keys: Column) -> Column:
+def sketch(keys: Column, bits=itself) -> Column:
     """Cells of a set of digests."""
-    items = F.transform(keys, lambda k: cell(F.lit(1), k, check(k)))
+    items = F.transform(keys, lambda k: item(F.lit(1), k, check(k), bits))
     return let(items, lambda x: add_to_cells(empty_cells(), x, 1))
 
 
@@ -100,27 +118,33 @@ def subtract(a: Column, b: Column) -> Column:
         x.getField("c").bitwiseXOR(y.getField("c"))))
 
 
-def peel(difference: Column) -> Column:
+def peel(difference: Column, bits=itself) -> Column:
     """struct(ok, found): digests recovered from a subtracted sketch, with sign ``n`` (1: only in
     the first, -1: only in the second); ``ok`` if nothing is left."""
     none = F.expr(f"cast(array() as array<{CELL}>)")
 
-    def round_of(state: Column, _: Column) -> Column:
-        cells = state.getField("cells")
+    def state(cells: Column, found: Column, live: Column) -> Column:
+        return F.struct(cells.alias("cells"), found.alias("found"), live.alias("live"))
+
+    def remove(cells: Column, found: Column, pure: Column) -> Column:
+        items = F.transform(pure, lambda c: item(c.getField("n"), c.getField("k"),
+                                                 c.getField("c"), bits))
+        return let(items, lambda x: state(add_to_cells(cells, x, -1), F.concat(found, pure),
+                                          F.lit(True)))
+
+    def round_of(now: Column, _: Column) -> Column:
+        cells, found = now.getField("cells"), now.getField("found")
         pure = F.array_distinct(F.filter(cells, lambda c: (F.abs(c.getField("n")) == 1)
                                          & (check(c.getField("k")) == c.getField("c"))))
-        return let(F.struct(cells.alias("cells"), state.getField("found").alias("found"),
-                            pure.alias("pure")), lambda s: F.when(
-            F.size(s.getField("pure")) == 0,
-            F.struct(s.getField("cells").alias("cells"), s.getField("found").alias("found")))
-            .otherwise(F.struct(
-                add_to_cells(s.getField("cells"), s.getField("pure"), -1).alias("cells"),
-                F.concat(s.getField("found"), s.getField("pure")).alias("found"))))
+        # a round without a pure cell is the last one: those after it do nothing
+        return F.when(~now.getField("live"), now).otherwise(let(pure, lambda p: F.when(
+            F.size(p) == 0, state(cells, found, F.lit(False))).otherwise(remove(cells, found, p))))
 
-    start = F.struct(difference.alias("cells"), none.alias("found"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, round_of, lambda s: F.struct(
-        F.forall(s.getField("cells"), lambda c: (c.getField("n") == 0) & (c.getField("k") == 0)
-                 & (c.getField("c") == 0)).alias("ok"), s.getField("found").alias("found")))
+    return F.aggregate(
+        F.sequence(F.lit(1), F.lit(ROUNDS)), state(difference, none, F.lit(True)), round_of,
+        lambda s: F.struct(
+            F.forall(s.getField("cells"), lambda c: (c.getField("n") == 0) & (c.getField("k") == 0)
+                     & (c.getField("c") == 0)).alias("ok"), s.getField("found").alias("found")))
 
 
 def fingerprint(cells: Column, size: Column) -> Column:
@@ -137,53 +161,80 @@ def likeness(a: Column, b: Column, differ: Column) -> Column:
     return F.when(both == 0, F.lit(1.0)).otherwise((both - differ) / (both + differ))
 
 
-def differences(pairs: DataFrame, *ids: str) -> DataFrame:
-    """``pairs``: ``ids`` (distinct), ``a``, ``b`` (digest sets). Adds up the recovered digests:
-    ``ids, differ``, retrying parts on their quarters until every pair is decoded.
-
-    The first sketch is sized by the sets: they are split by digest bits into as many parts (at most
-    ``4 ** FIRST_SPLIT``) as leave about ``CAPACITY`` digests each, so that texts that share nothing
-    decode at once as well. Digests are written again only for parts that fail."""
-    n = F.size("a") + F.size("b")
-    split = F.lit(FIRST_SPLIT)
-    for k in reversed(range(FIRST_SPLIT)):
-        split = F.when(n <= CAPACITY * 4 ** k, k).otherwise(split)
-    done, level = [], 0
-    todo = pairs.select(*ids, "a", "b", F.lit(0).alias("used"), split.alias("split"))
+def sides(a: Column, b: Column) -> Column:
+    return F.struct(a.alias("a"), b.alias("b"))
+
+
+def expected_difference(s: Column) -> Column:
+    """How many digests the two sides differ by, from a quarter of them; never more than they have."""
+    def stratum(keys: Column) -> Column:
+        return F.filter(keys, lambda k: F.shiftrightunsigned(k, STRATUM_FROM)
+                        .bitwiseAND(F.lit(3)) == 0)
+    a, b = s.getField("a"), s.getField("b")
+    few = let(sides(stratum(a), stratum(b)), lambda q: 4 * (
+        F.size(F.array_except(q.getField("a"), q.getField("b")))
+        + F.size(F.array_except(q.getField("b"), q.getField("a")))) + CAPACITY // 2)
+    return F.least(few, F.size(a) + F.size(b))
+
+
+def split(parts: Column, shift, into: int, bits=itself) -> Column:
+    """Every part (its two sides) split into ``into`` (a power of two) by bits from ``shift`` on."""
+    def piece(keys: Column, q: Column) -> Column:
+        return F.filter(keys, lambda k: F.call_function("shiftrightunsigned", bits(k), shift)
+                        .bitwiseAND(F.lit(into - 1)) == q)
+    return F.flatten(F.transform(parts, lambda s: F.transform(
+        F.sequence(F.lit(0), F.lit(into - 1)),
+        lambda q: sides(piece(s.getField("a"), q), piece(s.getField("b"), q)))))
+
+
+def decode(parts: Column, bits=itself) -> Column:
+    """struct(differ, failed): the number of digests recovered from the parts' subtracted sketches,
+    and the parts that did not decode."""
+    def one(s: Column) -> Column:
+        return let(peel(subtract(sketch(s.getField("a"), bits), sketch(s.getField("b"), bits)), bits),
+                   lambda p: F.struct(F.when(p.getField("ok"), F.size(p.getField("found")))
+                                      .otherwise(0).alias("differ"),
+                                      F.when(~p.getField("ok"), s).alias("failed")))
+    return let(F.transform(parts, one), lambda d: F.struct(
+        F.aggregate(d, F.lit(0), lambda t, x: t + x.getField("differ")).alias("differ"),
+        F.filter(F.transform(d, lambda x: x.getField("failed")), lambda x: x.isNotNull())
+        .alias("failed")))
+
+
+def first_decode(pair: Column) -> Column:
+    """struct(differ, failed): the first sketches of a pair of digest sets, halved as often (at most
+    ``FIRST_SPLIT`` times) as the expected difference asks for."""
+    times = let(expected_difference(pair), lambda expected: reduce(
+        lambda n, k: F.when(expected > CAPACITY * 2 ** k, k + 1).otherwise(n),
+        range(FIRST_SPLIT), F.lit(0)))
+    parts = let(times, lambda n: F.aggregate(
+        F.sequence(F.lit(1), F.lit(FIRST_SPLIT)), F.array(pair), lambda parts, k: F.when(
+            k > n, parts).otherwise(split(parts, k + (SPLIT_FROM - 1), 2))))
+    return let(parts, lambda p: decode(p))
+
+
+def retried(failed: DataFrame, *ids: str) -> DataFrame:
+    """``failed``: ``ids`` and ``failed`` (parts left by a decode). Splits them into quarters until
+    every part is decoded: ``ids, differ`` (rows to be added up)."""
+    done, level = [], 1
+    step = decode(split(F.array("part"), F.lit(SPLIT_FROM), 4, anew), anew)
     while True:
-        shift = F.col("used") + SPLIT_FROM
-
-        def part(keys: str, q: Column, shift=shift) -> Column:
-            return F.filter(keys, lambda k: F.call_function("shiftrightunsigned", k, shift)
-                            .bitwiseAND(F.col("parts") - 1) == q)
-
-        def decode(q: Column) -> Column:
-            return let(F.struct(part("a", q).alias("a"), part("b", q).alias("b")), lambda s: let(
-                peel(subtract(sketch(s.getField("a")), sketch(s.getField("b")))),
-                lambda p: F.struct(q.alias("q"), p.getField("ok").alias("ok"),
-                                   F.size(p.getField("found")).alias("differ"))))
-        # when digest bits are used up, nothing is left to tell a part's digests apart
-        rest = F.struct(F.lit(0).cast("bigint").alias("q"), F.lit(True).alias("ok"), (F.size(
-            F.array_except("a", "b")) + F.size(F.array_except("b", "a"))).alias("differ"))
-        got = todo.withColumn("parts", F.call_function(
-            "shiftleft", F.lit(1).cast("bigint"), 2 * F.col("split"))).withColumn(
-            "decoded", F.when(F.col("used") >= LAST_BIT, F.array(rest)).otherwise(
-                F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1), decode)))
-        fine = F.filter("decoded", lambda d: d.getField("ok"))
-        failed = F.transform(F.filter("decoded", lambda d: ~d.getField("ok")),
-                             lambda d: d.getField("q"))
-        got = materialize(got.select(
-            *ids, F.aggregate(fine, F.lit(0), lambda t, d: t + d.getField("differ")).alias("differ"),
-            F.transform(failed, lambda q: F.struct(part("a", q).alias("a"), part("b", q).alias("b")))
-            .alias("failed"), (F.col("used") + 2 * F.col("split")).alias("used")), f"iblt-{level}")
+        todo = failed.select(*ids, F.explode("failed").alias("part"), F.lit(level).alias("level"))
+        got = materialize(todo.select(*ids, step.alias("d")).select(*ids, "d.*"), f"iblt-{level}")
         done.append(got.select(*ids, "differ"))
         failed = got.filter(F.size("failed") > 0)
         if failed.isEmpty():
-            break
-        todo = (failed.select(*ids, "used", F.explode("failed").alias("f"))
-                .select(*ids, "f.a", "f.b", "used", F.lit(1).alias("split")))
+            return reduce(DataFrame.unionByName, done)
         level += 1
-    return (reduce(DataFrame.unionByName, done).groupBy(*ids)
+
+
+def differences(pairs: DataFrame, *ids: str) -> DataFrame:
+    """``pairs``: ``ids`` (distinct), ``a``, ``b`` (digest sets). Adds up the recovered digests:
+    ``ids, differ``, retrying parts on their quarters until every pair is decoded."""
+    first = materialize(pairs.select(*ids, first_decode(sides(F.col("a"), F.col("b"))).alias("d"))
+                        .select(*ids, "d.*"), "iblt-0")
+    more = retried(first.filter(F.size("failed") > 0), *ids)
+    return (first.select(*ids, "differ").unionByName(more).groupBy(*ids)
             .agg(F.sum("differ").alias("differ")))
 
 
@@ -193,7 +244,8 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id",
     near_next`` (the edited text's last third is the head of the next document)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     docs = df.select(F.col(id_col).alias("id"), text.alias("text")).withColumns({
-        "k1": F.xxhash64("id", "text"), "k2": F.xxhash64("text", "id", F.lit(7))})
+        "k1": F.xxhash64("id", "text"), "k2": F.xxhash64("text", "id", F.lit(7)),
+        "a": digests(F.col("text"))})
     keys = docs.groupBy(*KEY).agg(F.max("id").alias("id"), F.max(F.length("text")).alias("n"),
                                   F.count("*").alias("rows"))
     order = numbered(keys, F.desc_nulls_last("id"), F.asc("k1"), F.asc("k2"))
@@ -209,30 +261,38 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id",
     own = docs.drop("id").join(place_of.hint("shuffle_hash"), list(KEY))
     heads = own.select(F.col("p1").alias("k1"), F.col("p2").alias("k2"),
                        F.substr("text", F.lit(1), F.col("take")).alias("head"),
-                       digests(F.col("text")).alias("next"))
+                       F.col("a").alias("next"))
     if most and most > 1:      # rows repeated exactly: one message to the document before
         heads = heads.dropDuplicates(list(KEY))
     cut = F.floor(F.col("n") / 3).cast("int")
-    texts = (own.select(*KEY, "id", "text", "n").join(heads.hint("shuffle_hash"), list(KEY))
+    texts = (own.select(*KEY, "id", "text", "n", "a").join(heads.hint("shuffle_hash"), list(KEY))
              .withColumn("edited", F.concat(F.substr("text", F.lit(1), F.col("n") - cut), "head")))
-    rows = materialize(texts.select(
+    sets = texts.select(
         *KEY, "id", F.col("n").cast("long").alias("n_chars"),
-        F.sha2("edited", 256).alias("edited_sha256"), digests(F.col("text")).alias("a"),
-        digests(F.col("edited")).alias("e"), "next"), "paragraphs")
-    pairs = rows.dropDuplicates(list(KEY)) if most and most > 1 else rows
-    pairs = (pairs.select(*KEY, "a", F.explode(F.array(
-        F.struct(F.lit("e").alias("kind"), F.col("e").alias("b")),
-        F.struct(F.lit("n").alias("kind"), F.col("next").alias("b")))).alias("p"))
-        .select(*KEY, "p.kind", "a", "p.b"))
-    differ = differences(pairs, *KEY, "kind").groupBy(*KEY).agg(
-        F.max(F.when(F.col("kind") == "e", F.col("differ"))).alias("d_e"),
-        F.max(F.when(F.col("kind") == "n", F.col("differ"))).alias("d_n"))
-    return rows.join(differ, list(KEY)).select(
+        F.sha2("edited", 256).alias("edited_sha256"), "a", digests(F.col("edited")).alias("e"),
+        "next")
+    rows = materialize(sets.select(
+        *KEY, "id", "n_chars", "edited_sha256", F.size("a").alias("size_a"),
+        F.size("e").alias("size_e"), F.size("next").alias("size_n"),
+        sketch(F.col("a")).alias("cells_a"), sketch(F.col("e")).alias("cells_e"),
+        F.transform(F.array(sides(F.col("a"), F.col("e")), sides(F.col("a"), F.col("next"))),
+                    first_decode).alias("decoded")), "sketches")
+    left = rows.filter(F.exists("decoded", lambda d: F.size(d.getField("failed")) > 0))
+    if most and most > 1:
+        left = left.dropDuplicates(list(KEY))
+    left = left.select(*KEY, F.posexplode("decoded").alias("kind", "d"))
+    more = retried(left.select(*KEY, "kind", "d.failed"), *KEY, "kind").groupBy(*KEY).agg(*[
+        F.sum(F.when(F.col("kind") == kind, F.col("differ"))).alias(f"more_{kind}")
+        for kind in (0, 1)])
+
+    def near(size: str, kind: int) -> Column:
+        return likeness(F.col("size_a"), F.col(size), F.col("decoded")[kind]["differ"]
+                        + F.coalesce(F.col(f"more_{kind}"), F.lit(0)))
+    return rows.join(more, list(KEY), "left").select(
         "id", "n_chars", "edited_sha256",
-        fingerprint(sketch(F.col("a")), F.size("a")).alias("fingerprint"),
-        fingerprint(sketch(F.col("e")), F.size("e")).alias("edited_fingerprint"),
-        likeness(F.size("a"), F.size("e"), F.col("d_e")).alias("near_edited"),
-        likeness(F.size("a"), F.size("next"), F.col("d_n")).alias("near_next"))
+        fingerprint(F.col("cells_a"), F.col("size_a")).alias("fingerprint"),
+        fingerprint(F.col("cells_e"), F.col("size_e")).alias("edited_fingerprint"),
+        near("size_e", 0).alias("near_edited"), near("size_n", 1).alias("near_next"))
 
 
 def op3(spark, sf_dir: str) -> DataFrame:
