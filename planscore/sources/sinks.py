@@ -32,12 +32,39 @@ NUMERIC_COLUMNS = ("plan", "completions", "pct_to_plan")
 
 # 15 digits, rounded from the double's exact value
 SCIENTIFIC = "0." + "0" * 14 + "E0"
+DIGITS, MOST_DECIMALS = 15, 18    # decimals of the smallest numbers scaled without it
 
 
 def report_number_text(c: Column) -> Column:
     """Numbers as the report prints them: 15 significant digits, plain decimals at any size, no
-    trailing zeros. NaN and infinities print as Spark casts them."""
-    sci = F.call_function("format_number", c, F.lit(SCIENTIFIC))
+    trailing zeros. NaN and infinities print as Spark casts them.
+
+    Most numbers are scaled to 15 digits before the point by one multiplication with a power of ten
+    that is exact. Its rounding never crosses a half, so unless the product is a half itself, the
+    nearest whole number is that of the exact value too; ``format_number`` settles halves."""
+    size = F.abs(c)
+    decimals = F.when(size >= 10.0 ** (DIGITS - 1), 0)
+    for k in range(1, MOST_DECIMALS):
+        decimals = decimals.when(size >= 10.0 ** (DIGITS - 1 - k), k)
+    decimals = decimals.otherwise(MOST_DECIMALS)
+    scaled = size * F.get(F.lit([10.0 ** k for k in range(MOST_DECIMALS + 1)]), decimals)
+    beyond = scaled - F.floor(scaled)
+    half = F.replace(F.substring_index(F.call_function("format_number", size, F.lit(SCIENTIFIC)),
+                                       "E", 1), F.lit("."), F.lit("")).cast("long")
+    digits = (F.when(beyond == 0.5, half).when(beyond > 0.5, F.floor(scaled) + 1)
+              .otherwise(F.floor(scaled))).cast("string")
+    width = F.greatest(F.lit(DIGITS), decimals + 1)
+    plain = F.overlay(F.lpad(digits, width, F.lit("0")), F.lit("."), width - decimals + 1, F.lit(0))
+    plain = F.rtrim(F.rtrim(plain, F.lit("0")), F.lit("."))
+    usual = ((scaled >= 10.0 ** (DIGITS - 1)) & (scaled < 10.0 ** DIGITS - 1)
+             & ~F.typeof(c).startswith("decimal"))
+    return F.when(usual, F.concat(F.when(c < 0, "-").otherwise(""), plain)).otherwise(
+        F.transform(F.array(F.call_function("format_number", c, F.lit(SCIENTIFIC))),
+                    lambda sci: _number_text(c, sci)).getItem(0))
+
+
+def _number_text(c: Column, sci: Column) -> Column:
+    """The same for any number, from its ``SCIENTIFIC`` form."""
     digits = F.regexp_replace(F.regexp_extract(sci, r"^-?([0-9.]+)E", 1), r"\.", "")
     power = F.regexp_extract(sci, r"E(-?[0-9]+)$", 1).try_cast("int")
     whole = (F.when(power < 0, "0")

@@ -2,7 +2,10 @@
 
 import dataclasses
 import datetime as dt
+import math
 import os
+import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -61,6 +64,27 @@ def test_report_numbers_are_plain_decimals(spark, value, text):
     assert df.select(report_number_text(F.col("x"))).first()[0] == text
 
 
+def test_report_numbers_are_formatted_once(spark):
+    """Each number's 15 digits as the exact value rounds to them, halves, signs and sizes included,
+    from at most one formatting of the number (it was formatted again for every part of the text)."""
+    r = random.Random(3)
+    values = [s * r.uniform(1, 10) * 10.0 ** r.randint(-7, 14) for s in (1, -1) for _ in range(1500)]
+    values += [r.randint(10 ** 14, 10 ** 15 - 1) + r.choice((0.5, 0.25, 0.75)) for _ in range(300)]
+    values += [float((Decimal(r.randint(10 ** 14, 10 ** 15 - 1)) + Decimal("0.5")).scaleb(-k))
+               for k in range(19) for _ in range(60)]
+    edges = [d * 10.0 ** e for e in range(-7, 15) for d in (1.0, 9.999999999999999, 5.0)]
+    values += edges + [math.nextafter(x, y) for x in edges for y in (0.0, math.inf)]
+
+    def plain(x):
+        text = format(Decimal(f"{x:.14e}"), "f")
+        return text.rstrip("0").rstrip(".") if "." in text else text
+    df = spark.createDataFrame([(x,) for x in values], "x double").select(
+        "x", report_number_text(F.col("x")).alias("t"))
+    assert [(q.x, q.t) for q in df.collect() if q.t != plain(q.x)] == []
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("format_number") <= 2       # halves; numbers of any size
+
+
 def test_building_a_query_starts_no_job_and_writes_no_file(spark):
     """All report queries but the gates (which decide first, on the calendar alone), the stream
     and the sink (whose result is a written file)."""
