@@ -34,6 +34,7 @@ import os
 import re
 import sys
 import zlib
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -54,9 +55,10 @@ BLOCK_CHARS = 1 << 20          # characters of texts that are encoded together
 JOIN_CHARS, JOIN_BATCH = 4096, 64   # unseen chunks are encoded joined, this much at once
 SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
 # Parts of a chunk that the byte-level pattern tells apart whatever stands beside them: runs of Latin
-# letters, runs of ASCII signs and digits but the apostrophe (contractions), single line ends.
+# letters, runs of ASCII signs and digits but the apostrophe (contractions), single line ends. A text
+# with ``OTHER`` characters, or ``LOOSE`` blanks and line ends beside each other, has others too.
 LETTERS, SIGNS = "A-Za-zÀ-ÖØ-öø-ɏ", r"!-&(-@\[-`{-~"
-SIMPLE = re.compile(rf"(?!\n)(?:[{LETTERS}]+|[{SIGNS}]+|\n(?=\S))+")
+OTHER, LOOSE = re.compile(rf"[^{LETTERS}{SIGNS}\n ]"), re.compile(r"[\n ](?=[\n ]|\Z)")
 PARTS = re.compile(rf" ?[{LETTERS}]+| ?[{SIGNS}]+|\n")
 
 
@@ -90,7 +92,7 @@ class Encoder:
         # the same merges for words whose bytes are already spelled as the vocabulary spells them
         self.merges = tokenizers.Tokenizer(self.library.model)
         self.merges.pre_tokenizer = tokenizers.pre_tokenizers.WhitespaceSplit()
-        self.known: dict[str, bytes | None] = {}      # chunks without their blank
+        self._forget()
         self.parts: dict[str, bytes] = {}             # words and other parts of chunks
         added = self.library.get_added_tokens_decoder()
         self.special = [t.content for t in added.values()]
@@ -103,6 +105,12 @@ class Encoder:
         for token, i in vocab.items():
             self.id_bytes[i] = len(token.encode()) if i in added else len(token)
 
+    def _forget(self) -> None:
+        """Start the cache of chunks (without their blank) anew: a chunk met for the first time gets
+        the next number, its ids go there in ``ids`` (None: no safe place to cut)."""
+        self.known: defaultdict[str, int] = defaultdict(itertools.count().__next__)
+        self.ids: list[bytes | None] = []
+
     def _batch(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes()
                 for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -123,23 +131,35 @@ class Encoder:
                 out += [raw[i:j] for i, j in zip([0, *cuts], cuts)]
         return out
 
-    def _learn(self, unseen: set[str]) -> None:
-        """Add the ids of chunks (each with the blank before it) to ``known``."""
-        known, parts, full, cut = self.known, self.parts, SIMPLE.fullmatch, PARTS.findall
-        simple = [c for c in unseen if full(c)]
-        other = unseen.difference(simple)
-        # a blank beside other white space is no safe place to cut
-        unsafe = [c for c in other if not c or c[0].isspace() or c[-1].isspace()]
-        known.update(dict.fromkeys(unsafe))
-        other = [" " + c for c in other.difference(unsafe)]
-        known.update(zip([c[1:] for c in other], self._joined(other, self.library, "".join)))
-        pieces = [cut(" " + c) for c in simple]
-        new = set(itertools.chain.from_iterable(pieces)).difference(parts)
+    def _simple(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks that consist of parts, cut from one run over them all."""
+        parts, pieces = self.parts, PARTS.findall(" " + " ".join(chunks))
+        new = set(pieces).difference(parts)
         words = [x for x in new if x[-1].isalpha()]
         parts.update(zip(words, self._joined(words, self.merges, spelled)))
         signs = list(new.difference(words))
         parts.update(zip(signs, self._batch(signs)))
-        known.update(zip(simple, [b"".join([parts[x] for x in p]) for p in pieces]))
+        got = list(map(parts.__getitem__, pieces))
+        ends = np.cumsum(np.fromiter(map(len, got), np.int64, len(got)))
+        # a part with a blank starts a chunk
+        starts = np.array([i for i, x in enumerate(pieces) if x[0] == " "], np.int64)
+        cuts = [*(ends[starts[1:] - 1]).tolist(), int(ends[-1])] if chunks else []
+        raw = b"".join(got)
+        return [raw[i:j] for i, j in zip([0, *cuts], cuts)]
+
+    def _learn(self, chunks: list[str]) -> list[bytes | None]:
+        """Ids of chunks, each with the blank before it."""
+        def odd(text: str) -> bool:
+            return OTHER.search(text) is not None or LOOSE.search(text) is not None
+        if not odd(" " + " ".join(chunks)):
+            return self._simple(chunks)
+        other = {c for c in chunks if odd(" " + c)}
+        simple = [c for c in chunks if c not in other]
+        # a blank beside other white space is no safe place to cut
+        safe = [c for c in other if c and not c[0].isspace() and not c[-1].isspace()]
+        ids = dict(zip(simple, self._simple(simple)))
+        ids.update(zip(safe, self._joined([" " + c for c in safe], self.library, "".join)))
+        return [ids.get(c) for c in chunks]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text, the ids that the library gives for it."""
@@ -153,17 +173,19 @@ class Encoder:
         return out + self._encode_block(block)
 
     def _encode_block(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > CACHE_CHUNKS:
-            self.known = {}
+        if len(self.ids) > CACHE_CHUNKS:
+            self._forget()
         if len(self.parts) > CACHE_CHUNKS:
             self.parts = {}
+        known, ids, first, out = self.known, self.ids, [], []
         split = [t.split(" ") if not any([x in t for x in self.special]) else [t] for t in texts]
-        unseen = set(itertools.chain.from_iterable([p[1:] for p in split])).difference(self.known)
-        self._learn(unseen)
-        known, first, out = self.known, [], []
-        for text, parts in zip(texts, split):
-            head = parts.pop(0)
-            got = list(map(known.__getitem__, parts))
+        heads = [p.pop(0) for p in split]
+        before = len(known)
+        places = [list(map(known.__getitem__, p)) for p in split]
+        new = list(itertools.islice(reversed(known), len(known) - before))[::-1]
+        ids += self._learn(new)
+        for text, head, place in zip(texts, heads, places):
+            got = list(map(ids.__getitem__, place))
             if got and (None in got or not head or head[-1].isspace()):
                 first.append(SAFE_CUT.split(text))
                 out.append(b"")
@@ -172,8 +194,8 @@ class Encoder:
                 out.append(b"".join(got))
         flat = iter(self._batch([c for chunks in first for c in chunks]))
         heads = [b"".join([next(flat) for _ in chunks]) for chunks in first]
-        for c in [c for c in unseen if len(c) > CACHE_CHARS]:
-            del known[c]
+        for c in [c for c in new if len(c) > CACHE_CHARS]:
+            ids[known.pop(c)] = b""
         return [h + rest for h, rest in zip(heads, out)]
 
 

@@ -1,6 +1,7 @@
 """Best-fit packing: token ids against the library, packings against their rules."""
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -38,6 +39,19 @@ def test_ids_equal_the_library(library, monkeypatch):
     assert B.Encoder(B.default_tokenizer()).encode(rows[:500]) == want[:500]
 
 
+def test_chunks_are_told_apart_in_time_that_grows_with_their_length(library):
+    """A long word beside a character of another kind (its classification doubled with each letter:
+    seconds at 27, a day at 41), among chunks of one kind, of several, too long to keep, and unsafe ones."""
+    odd = ["w" * 27 + "中", "w" * 5000 + "中", "a\tb", "\nx", "x\n", "a\n\nb", "a\nb.c", "it's", "é!", ""]
+    rows = [" ".join(["of", c, "x1,y", c + "z", "of"]) for c in odd] * 2 + ["plain words, only.\nOf them"]
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in rows]
+    enc = B.Encoder(B.default_tokenizer())
+    start = time.process_time()
+    assert enc.encode(rows) == want
+    assert time.process_time() - start < 2
+    assert [x for t in rows for x in enc.encode([t])] == want and enc.encode(rows[::-1]) == want[::-1]
+
+
 def test_best_fit_takes_the_smallest_gap_that_holds():
     r = np.random.default_rng(1)
     for n in (0, 1, 50, 400):
