@@ -13,7 +13,8 @@ decoded.
 
 The likeness of two texts is the Jaccard similarity of their digest sets, from the set sizes and
 the number of digests recovered. All steps are SQL functions over arrays. A document and its next
-are decoded in the row that has both; digests are written only for parts that fail.
+are decoded in the row that has both, retries too; digests are written only for parts that still fail
+after ``IN_ROW`` levels of them.
 
 Definitions: null text counts as empty. An empty text has no paragraphs; two texts without
 paragraphs are alike 1, one without and one with are 0. Equal texts have equal fingerprints.
@@ -40,12 +41,15 @@ LONGEST = 256                  # code points of a paragraph piece that no bounda
 # insertion changes the pieces that it touches and no others.
 BEFORE_BLANK = "bcdfghjyадй"
 SIGNS, UNSPACED = "。，、！？；", "のはをに一-兿가-꽿ก-ค"
-PIECES = (rf"[^\n]{{0,{LONGEST - 2}}}?(?:[{BEFORE_BLANK}] |[{SIGNS}{UNSPACED}])"
+# most characters fail this one test, which holds for all that begin a mark
+MARK_MAY_BEGIN = "bcdfghjyа-яก-\uffff"
+PIECES = (rf"[^\n]{{0,{LONGEST - 2}}}?(?=[{MARK_MAY_BEGIN}])(?:[{BEFORE_BLANK}] |[{SIGNS}{UNSPACED}])"
           rf"|[^\n]{{1,{LONGEST}}}")
 ROUNDS = 12                    # peeling rounds before a retry
 STRATUM_FROM = 9               # two digest bits from here choose the digests that estimate a difference
 SPLIT_FROM = 16                # bits below this choose cells, those above it parts
 CAPACITY, FIRST_SPLIT = 12, 10  # digests that a sketch peels; halvings of the first one at most
+IN_ROW = 3                     # levels of retries in the row that has both texts
 KEY = ("k1", "k2")
 
 CELL = "struct<n:int,k:bigint,c:bigint>"
@@ -53,8 +57,9 @@ SIDES = "struct<a:array<bigint>,b:array<bigint>>"
 
 
 def let(value: Column, use) -> Column:
-    """``use(value)`` with ``value`` computed once per row."""
-    return F.transform(F.array(value), use).getItem(0)
+    """``use(value)`` with ``value`` computed once per row (as the start of an empty aggregate; a
+    ``transform`` would copy the result, cell by cell)."""
+    return F.aggregate(F.array(), value, lambda v, _: v, use)
 
 
 def check(digest: Column) -> Column:
@@ -75,9 +80,9 @@ def itself(digest: Column) -> Column:
     return digest
 
 
-def anew(digest: Column) -> Column:
+def anew(level: Column):
     """The bits that choose a digest's cells and part in a retry: others on each ``level``."""
-    return F.xxhash64(digest, F.col("level"))
+    return lambda digest: F.xxhash64(digest, level)
 
 
 def item(n: Column, k: Column, c: Column, bits=itself) -> Column:
@@ -213,14 +218,31 @@ def first_decode(pair: Column) -> Column:
     return let(parts, lambda p: decode(p))
 
 
+def retry(decoded: Column, level: Column) -> Column:
+    """A decode with its failed parts split into quarters and decoded again."""
+    bits = anew(level)
+    again = decode(split(decoded.getField("failed"), F.lit(SPLIT_FROM), 4, bits), bits)
+    return let(again, lambda d: F.struct(
+        (decoded.getField("differ") + d.getField("differ")).alias("differ"), d.getField("failed")
+        .alias("failed")))
+
+
+def decode_in_row(pair: Column) -> Column:
+    """struct(differ, failed): a pair decoded from its first sketches and ``IN_ROW`` levels of retries."""
+    return F.aggregate(
+        F.sequence(F.lit(1), F.lit(IN_ROW)), first_decode(pair), lambda d, level: F.when(
+            F.size(d.getField("failed")) == 0, d).otherwise(retry(d, level)))
+
+
 def retried(failed: DataFrame, *ids: str) -> DataFrame:
-    """``failed``: ``ids`` and ``failed`` (parts left by a decode). Splits them into quarters until
-    every part is decoded: ``ids, differ`` (rows to be added up)."""
-    done, level = [], 1
-    step = decode(split(F.array("part"), F.lit(SPLIT_FROM), 4, anew), anew)
+    """``failed``: ``ids`` and ``failed`` (parts left by the retries in the row). Retries each part in a
+    row of its own until every part is decoded: ``ids, differ`` (rows to be added up)."""
+    done, level = [], IN_ROW + 1
+    part = F.struct(F.lit(0).alias("differ"), F.array("part").alias("failed"))
     while True:
         todo = failed.select(*ids, F.explode("failed").alias("part"), F.lit(level).alias("level"))
-        got = materialize(todo.select(*ids, step.alias("d")).select(*ids, "d.*"), f"iblt-{level}")
+        got = materialize(todo.select(*ids, retry(part, F.col("level")).alias("d"))
+                          .select(*ids, "d.*"), f"iblt-{level}")
         done.append(got.select(*ids, "differ"))
         failed = got.filter(F.size("failed") > 0)
         if failed.isEmpty():
@@ -231,7 +253,7 @@ def retried(failed: DataFrame, *ids: str) -> DataFrame:
 def differences(pairs: DataFrame, *ids: str) -> DataFrame:
     """``pairs``: ``ids`` (distinct), ``a``, ``b`` (digest sets). Adds up the recovered digests:
     ``ids, differ``, retrying parts on their quarters until every pair is decoded."""
-    first = materialize(pairs.select(*ids, first_decode(sides(F.col("a"), F.col("b"))).alias("d"))
+    first = materialize(pairs.select(*ids, decode_in_row(sides(F.col("a"), F.col("b"))).alias("d"))
                         .select(*ids, "d.*"), "iblt-0")
     more = retried(first.filter(F.size("failed") > 0), *ids)
     return (first.select(*ids, "differ").unionByName(more).groupBy(*ids)
@@ -276,8 +298,10 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id",
         F.size("e").alias("size_e"), F.size("next").alias("size_n"),
         sketch(F.col("a")).alias("cells_a"), sketch(F.col("e")).alias("cells_e"),
         F.transform(F.array(sides(F.col("a"), F.col("e")), sides(F.col("a"), F.col("next"))),
-                    first_decode).alias("decoded")), "sketches")
-    left = rows.filter(F.exists("decoded", lambda d: F.size(d.getField("failed")) > 0))
+                    decode_in_row).alias("decoded")), "sketches")
+    # only the few rows with parts left meet their retries in a join
+    unfinished = F.exists("decoded", lambda d: F.size(d.getField("failed")) > 0)
+    left = rows.filter(unfinished)
     if most and most > 1:
         left = left.dropDuplicates(list(KEY))
     left = left.select(*KEY, F.posexplode("decoded").alias("kind", "d"))
@@ -288,7 +312,9 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id",
     def near(size: str, kind: int) -> Column:
         return likeness(F.col("size_a"), F.col(size), F.col("decoded")[kind]["differ"]
                         + F.coalesce(F.col(f"more_{kind}"), F.lit(0)))
-    return rows.join(more, list(KEY), "left").select(
+    finished = rows.filter(~unfinished).withColumns(
+        {f"more_{kind}": F.lit(None).cast("long") for kind in (0, 1)})
+    return finished.unionByName(rows.filter(unfinished).join(more, list(KEY), "left")).select(
         "id", "n_chars", "edited_sha256",
         fingerprint(F.col("cells_a"), F.col("size_a")).alias("fingerprint"),
         fingerprint(F.col("cells_e"), F.col("size_e")).alias("edited_fingerprint"),

@@ -120,3 +120,39 @@ def test_an_insertion_changes_the_pieces_it_touches(spark):
         assert near > (0.2 if a.count("\n") else 0.9), (a[:20], near)
         pieces = re.findall(I.PIECES, a)
         assert "".join(pieces) == a.replace("\n", "") and 8 < len(a) / len(pieces) < 200
+
+
+def test_pieces_end_at_the_marks_and_nowhere_else(spark):
+    """The test that most characters fail first drops no mark: letters, signs and scripts, lines
+    longer than the longest piece, characters beyond 16 bits, and the ends of all ranges."""
+    r = random.Random(12)
+    marks = rf"(?:[{I.BEFORE_BLANK}] |[{I.SIGNS}{I.UNSPACED}])"
+    plain = rf"[^\n]{{0,{I.LONGEST - 2}}}?{marks}|[^\n]{{1,{I.LONGEST}}}"
+    signs = list("bcdfghjy aeiouадйхя\n  。，、！？；のはをに一兿丂가꽿각กคขฅ\U0001f600\u0e00\uffff\t\r")
+    texts = ["".join(r.choice(signs) for _ in range(r.randint(0, 60))) for _ in range(400)]
+    texts += ["a" * n + end for n in (253, 254, 255, 256, 257) for end in ("b c", "。d", " b", "")]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select("t", F.transform(
+        F.regexp_extract_all("t", F.lit(plain), F.lit(0)), lambda p: F.xxhash64(p)).alias("w"),
+        I.digests(F.col("t")).alias("d")).collect()
+    assert all(set(x.w) == set(x.d) for x in got)
+    assert all(re.findall(plain, t) == re.findall(I.PIECES, t) for t in texts)
+
+
+def test_finished_rows_are_not_shuffled_to_meet_retries(spark):
+    """Retries happen in the row, so only rows with parts left after them are joined."""
+    r = random.Random(13)
+    word = lambda: "".join(r.choice("bcdfghjyaeiou") for _ in range(5))
+    rows = [(i, " ".join(word() for _ in range(150))) for i in range(60)]
+    out = I.edited_fingerprints(frame(spark, rows))
+    want = expected(rows)
+    assert all(abs(x.near_next - want[x.id][3]) < 1e-12 for x in out.collect())
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    kept = [b for b in plan.splitlines() if "Filter" in b and "exists(decoded" in b]
+    assert plan.lstrip().startswith("Union") and any("NOT exists" in b for b in kept)
+    pair = spark.createDataFrame([(list(range(700)), list(range(5000, 5900)))],
+                                 "a array<long>, b array<long>")
+    pair = pair.select(F.transform("a", lambda k: F.xxhash64(k)).alias("a"),
+                       F.transform("b", lambda k: F.xxhash64(k)).alias("b"))
+    d = pair.select(I.decode_in_row(I.sides(F.col("a"), F.col("b"))).alias("d")).first().d
+    assert (d.differ, d.failed) == (1600, [])
