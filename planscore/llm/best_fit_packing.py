@@ -15,11 +15,12 @@ documents. Only ids and lengths of bins travel in the tree rounds; pieces are wr
 their final place by one join.
 
 Token ids come from the ``tokenizers`` library, for each distinct blank-separated chunk of a block of
-texts once. A chunk starts at a blank that has no other white space beside it, where the tokenizer
+texts once; all its places get them in one numpy step. A chunk starts at a blank that has no other white space beside it, where the tokenizer
 starts a new unit in any case (the byte-level pattern takes no blank after another character); texts
 in which white space meets a blank are cut at the other blanks only. Chunks of Latin letters, signs
 and digits are cut further into parts that are units by that pattern, so that the library's merges run
-on each distinct word once. Known chunks and parts are kept in a bounded cache per task.
+on each distinct word once. Known chunks and parts are kept in a bounded cache that
+the tasks of a Python worker share.
 
 Definitions: null text counts as empty and has the closing id alone. Ids, null ones too, pass through
 unchanged; rows repeated exactly are packed each. Ties (equal lengths, equal gaps) go to the row
@@ -38,6 +39,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,10 +50,10 @@ CAPACITY = 2048
 CLOSING_ID = 0
 FANIN = 8
 LOCAL_PIECES = 1_000_000       # pieces that a task packs at once; beyond it a new local block starts
-CACHE_CHUNKS = 600_000         # chunks a task keeps; beyond it the cache starts anew
+CACHE_CHUNKS = 600_000         # chunks a worker keeps; beyond it the cache starts anew
 CACHE_CHARS = 48               # longer chunks are encoded each time
-BATCH_ROWS = 1024              # rows whose texts a task holds as strings
-BLOCK_CHARS = 1 << 20          # characters of texts that are encoded together
+BATCH_ROWS = 8192              # rows whose texts a task holds as strings, at most
+BLOCK_CHARS = 1 << 23          # characters of texts that are encoded together
 JOIN_CHARS, JOIN_BATCH = 4096, 64   # unseen chunks are encoded joined, this much at once
 SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
 # Parts of a chunk that the byte-level pattern tells apart whatever stands beside them: runs of Latin
@@ -110,6 +112,7 @@ class Encoder:
         the next number, its ids go there in ``ids`` (None: no safe place to cut)."""
         self.known: defaultdict[str, int] = defaultdict(itertools.count().__next__)
         self.ids: list[bytes | None] = []
+        self.at_work = False
 
     def _batch(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes()
@@ -173,30 +176,72 @@ class Encoder:
         return out + self._encode_block(block)
 
     def _encode_block(self, texts: list[str]) -> list[bytes]:
-        if len(self.ids) > CACHE_CHUNKS:
+        if self.at_work or len(self.ids) > CACHE_CHUNKS:       # a block that failed left half an entry
             self._forget()
         if len(self.parts) > CACHE_CHUNKS:
             self.parts = {}
-        known, ids, first, out = self.known, self.ids, [], []
-        split = [t.split(" ") if not any([x in t for x in self.special]) else [t] for t in texts]
-        heads = [p.pop(0) for p in split]
+        self.at_work = True
+        known, ids = self.known, self.ids
+        special = np.array([any([x in t for x in self.special]) for t in texts], bool)
+        split = pc.split_pattern(pa.array(["" if x else t for x, t in zip(special, texts)],
+                                          pa.large_string()), " ")
+        ends = split.offsets.to_numpy().astype(np.int64)
+        chunks = split.values
+        heads = chunks.take(pa.array(ends[:-1])).to_pylist()
+        # every chunk of the block once, and where each stands; the head of a text is none
+        coded = chunks.filter(pa.array(~np.isin(np.arange(len(chunks)), ends[:-1]))) \
+            .dictionary_encode()
+        place, ends = coded.indices.to_numpy(), ends - np.arange(len(ends))
         before = len(known)
-        places = [list(map(known.__getitem__, p)) for p in split]
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        numbers = list(map(known.__getitem__, distinct))
         new = list(itertools.islice(reversed(known), len(known) - before))[::-1]
         ids += self._learn(new)
-        for text, head, place in zip(texts, heads, places):
-            got = list(map(ids.__getitem__, place))
-            if got and (None in got or not head or head[-1].isspace()):
+        got = list(map(ids.__getitem__, numbers))
+        unsafe = np.array([x is None for x in got], bool)
+        broken = np.diff(np.concatenate([[0], np.cumsum(unsafe[place])])[ends]) > 0
+        rest = _dealt([x or b"" for x in got], place, ends)
+        first = []
+        for i, (text, head) in enumerate(zip(texts, heads)):
+            if special[i]:
+                first.append([text])
+            elif ends[i] < ends[i + 1] and (broken[i] or not head or head[-1].isspace()):
                 first.append(SAFE_CUT.split(text))
-                out.append(b"")
+                rest[i] = b""
             else:
                 first.append([head])
-                out.append(b"".join(got))
-        flat = iter(self._batch([c for chunks in first for c in chunks]))
-        heads = [b"".join([next(flat) for _ in chunks]) for chunks in first]
+        flat = iter(self._batch([c for x in first for c in x]))
+        starts = [b"".join([next(flat) for _ in x]) for x in first]
         for c in [c for c in new if len(c) > CACHE_CHARS]:
             ids[known.pop(c)] = b""
-        return [h + rest for h, rest in zip(heads, out)]
+        self.at_work = False
+        return [h + r for h, r in zip(starts, rest)]
+
+
+def _dealt(ids: list[bytes], place: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """``ids`` of the chunks ``place`` names, joined by text: those of text i stand from ``ends[i]``
+    to ``ends[i + 1]``."""
+    size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    raw = np.frombuffer(b"".join(ids), "<u4")
+    length = size[place]
+    until = np.concatenate([[0], np.cumsum(length)])
+    shift = (np.cumsum(size) - size)[place] - until[:-1]
+    out = raw[np.repeat(shift, length) + np.arange(until[-1])].tobytes()
+    cuts = (until[ends] * 4).tolist()
+    return [out[i:j] for i, j in zip(cuts, cuts[1:])]
+
+
+class Shared:
+    """A tokenizer's file, broadcast. A Python worker keeps a broadcast value as long as it lives, so
+    its tasks share one encoder and what it has learnt."""
+
+    def __init__(self, tokenizer_json: str):
+        self.tokenizer_json, self.made = tokenizer_json, None
+
+    def encoder(self) -> Encoder:
+        if self.made is None:
+            self.made = Encoder(self.tokenizer_json)
+        return self.made
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -247,12 +292,22 @@ def local_round(df: DataFrame, id_col: str, text_col: str, tokenizer_json: str,
     CRC-32 of them as little-endian 32-bit integers)."""
     src = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                     F.spark_partition_id().cast("long").alias("grp"))
-    shared = df.sparkSession.sparkContext.broadcast(tokenizer_json)
+    shared = df.sparkSession.sparkContext.broadcast(Shared(tokenizer_json))
     id_type = src.schema["id"].dataType.simpleString()
     schema = (f"id {id_type}, piece int, start long, length long, payload "
               f"{'array<int>' if payload == 'ids' else 'long'}, grp long, bin long, offset long, "
               "fill long")
 
+    def slices(batch):
+        # about a block of texts at once, one text at least
+        size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy())
+        at = 0
+        while at < batch.num_rows:
+            most = (size[at - 1] if at else 0) + BLOCK_CHARS
+            to = min(at + BATCH_ROWS, max(at + 1, int(np.searchsorted(size, most, "right"))))
+            yield batch.slice(at, to - at)
+            at = to
+
     def pieces_of(enc, batch):
         texts = [x or "" for x in batch.column(1).to_pylist()]
         row, piece, start, length, load = [], [], [], [], []
@@ -283,8 +338,8 @@ def local_round(df: DataFrame, id_col: str, text_col: str, tokenizer_json: str,
         return t.to_batches(max_chunksize=1 << 14)
 
     def run(batches):
-        enc, held, n, first, grp = Encoder(shared.value), [], 0, 0, None
-        for b in (b.slice(i, BATCH_ROWS) for b in batches for i in range(0, b.num_rows, BATCH_ROWS)):
+        enc, held, n, first, grp = shared.value.encoder(), [], 0, 0, None
+        for b in (s for b in batches for s in slices(b)):
             grp = b.column(2)[0].as_py()
             held.append(pieces_of(enc, b))
             n += held[-1].num_rows

@@ -129,3 +129,28 @@ def test_nulls_repeats_digests_and_empty_table(spark, library):
         zlib.crc32(np.array(ids, "<u4").tobytes())}
     assert len({r.sequence_id for r in rows}) == 1
     assert B.pack(df.limit(0)).collect() == []
+
+
+def test_a_worker_keeps_its_encoder_and_a_failed_block_spoils_nothing(library, monkeypatch):
+    """Tasks of a worker share what was learnt; a block that ended half way is learnt anew."""
+    shared = B.Shared(B.default_tokenizer())
+    enc = shared.encoder()
+    assert shared.encoder() is enc
+    rows = odd_texts(300)
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+            for t in rows]
+
+    def fails(chunks):
+        raise MemoryError
+    with monkeypatch.context() as m:
+        m.setattr(enc, "_learn", fails)
+        with pytest.raises(MemoryError):
+            enc.encode(rows)
+    assert enc.encode(rows) == want and enc.encode([]) == []
+
+
+def test_ids_are_dealt_to_their_texts():
+    ids = [np.arange(n, dtype="<u4").tobytes() for n in (2, 0, 3)]
+    place, ends = np.array([2, 0, 0, 1, 2]), np.array([0, 2, 2, 4, 5])
+    assert B._dealt(ids, place, ends) == [ids[2] + ids[0], b"", ids[0], ids[2]]
+    assert B._dealt([], np.array([], int), np.array([0, 0])) == [b""]
