@@ -51,6 +51,10 @@ SPLIT_FROM = 16                # bits below this choose cells, those above it pa
 CAPACITY, FIRST_SPLIT = 12, 10  # digests that a sketch peels; halvings of the first one at most
 IN_ROW = 3                     # levels of retries in the row that has both texts
 KEY = ("k1", "k2")
+# a bit for each cell, table by table, and the three cells of a digest by its lowest bits
+BITS = [1 << i for i in range(TABLES * CELLS)]
+MASKS = [sum(BITS[t * CELLS + (h >> (CELLS.bit_length() - 1) * t) % CELLS] for t in range(TABLES))
+         for h in range(CELLS ** TABLES)]
 
 CELL = "struct<n:int,k:bigint,c:bigint>"
 SIDES = "struct<a:array<bigint>,b:array<bigint>>"
@@ -62,6 +66,11 @@ def let(value: Column, use) -> Column:
     return F.aggregate(F.array(), value, lambda v, _: v, use)
 
 
+def either(test: Column, then: Column, otherwise: Column) -> Column:
+    """``F.when`` for lambdas: each call of it looks its branches up in a list."""
+    return F.call_function("if", test, then, otherwise)
+
+
 def check(digest: Column) -> Column:
     return F.xxhash64(digest, F.lit(3)).bitwiseAND(F.lit(0xFFFFFFFF))
 
@@ -86,24 +95,24 @@ def anew(level: Column):
 
 
 def item(n: Column, k: Column, c: Column, bits=itself) -> Column:
-    """A digest with the cell that it has in each table."""
-    def with_cells(h: Column) -> Column:
-        return F.struct(n.alias("n"), k.alias("k"), c.alias("c"), *[
-            F.shiftrightunsigned(h, (CELLS.bit_length() - 1) * t).bitwiseAND(F.lit(CELLS - 1))
-            .cast("int").alias(f"t{t}") for t in range(TABLES)])
-    return with_cells(k) if bits is itself else let(bits(k), with_cells)
+    """A digest with its cells, one in each table, as a mask of ``BITS``."""
+    masks = F.lit(MASKS)
+    return F.struct(n.alias("n"), k.alias("k"), c.alias("c"),
+                    masks[bits(k).bitwiseAND(F.lit(len(MASKS) - 1)).cast("int")].alias("m"))
 
 
 def add_to_cells(cells: Column, items: Column, sign: int) -> Column:
     """``cells`` with the ``item``s that fall into them added or taken away."""
-    def one_table(t: int):
-        return lambda c, j: F.aggregate(
-            F.filter(items, lambda x: x.getField(f"t{t}") == j), c,
+    def one_cell(c: Column, bit: Column) -> Column:
+        return F.aggregate(
+            F.filter(items, lambda x: x.getField("m").bitwiseAND(bit) != 0), c,
             lambda s, x: cell(s.getField("n") + sign * x.getField("n"),
                               s.getField("k").bitwiseXOR(x.getField("k")),
                               s.getField("c").bitwiseXOR(x.getField("c"))))
-    return F.concat(*[F.transform(F.slice(cells, 1 + t * CELLS, CELLS), one_table(t))
-                      for t in range(TABLES)])
+    # cells that no item falls into stay as they are
+    touched = F.aggregate(items, F.lit(0), lambda m, x: m.bitwiseOR(x.getField("m")))
+    return let(touched, lambda m: F.zip_with(cells, F.lit(BITS), lambda c, bit: either(
+        m.bitwiseAND(bit) == 0, c, one_cell(c, bit))))
 
 
 def empty_cells() -> Column:
@@ -134,22 +143,31 @@ def peel(difference: Column, bits=itself) -> Column:
     def remove(cells: Column, found: Column, pure: Column) -> Column:
         items = F.transform(pure, lambda c: item(c.getField("n"), c.getField("k"),
                                                  c.getField("c"), bits))
-        return let(items, lambda x: state(add_to_cells(cells, x, -1), F.concat(found, pure),
-                                          F.lit(True)))
+        return let(items, lambda x: state(
+            add_to_cells(cells, x, -1), F.flatten(F.array(found, pure)), F.lit(True)))
+
+    def left(cells: Column) -> Column:
+        return F.filter(cells, lambda c: (c.getField("n") != 0) | (c.getField("k") != 0)
+                        | (c.getField("c") != 0))
+
+    def once(pure: Column) -> Column:
+        # a digest may be alone in several cells; its first one counts
+        return let(F.transform(pure, lambda c: c.getField("k")), lambda keys: F.filter(
+            pure, lambda c, i: F.array_position(keys, c.getField("k")) == i + 1))
 
     def round_of(now: Column, _: Column) -> Column:
         cells, found = now.getField("cells"), now.getField("found")
-        pure = F.array_distinct(F.filter(cells, lambda c: (F.abs(c.getField("n")) == 1)
-                                         & (check(c.getField("k")) == c.getField("c"))))
-        # a round without a pure cell is the last one: those after it do nothing
-        return F.when(~now.getField("live"), now).otherwise(let(pure, lambda p: F.when(
-            F.size(p) == 0, state(cells, found, F.lit(False))).otherwise(remove(cells, found, p))))
+        pure = let(F.filter(cells, lambda c: (F.abs(c.getField("n")) == 1)
+                            & (check(c.getField("k")) == c.getField("c"))), once)
+        # a round without a pure cell is the last one: those after it do nothing, and as each copies
+        # the state, only what is left of the cells stays
+        return either(now.getField("live"), let(pure, lambda p: either(
+            F.size(p) == 0, state(left(cells), found, F.lit(False)), remove(cells, found, p))), now)
 
     return F.aggregate(
         F.sequence(F.lit(1), F.lit(ROUNDS)), state(difference, none, F.lit(True)), round_of,
-        lambda s: F.struct(
-            F.forall(s.getField("cells"), lambda c: (c.getField("n") == 0) & (c.getField("k") == 0)
-                     & (c.getField("c") == 0)).alias("ok"), s.getField("found").alias("found")))
+        lambda s: F.struct((F.size(left(s.getField("cells"))) == 0).alias("ok"),
+                           s.getField("found").alias("found")))
 
 
 def fingerprint(cells: Column, size: Column) -> Column:
@@ -213,8 +231,8 @@ def first_decode(pair: Column) -> Column:
         lambda n, k: F.when(expected > CAPACITY * 2 ** k, k + 1).otherwise(n),
         range(FIRST_SPLIT), F.lit(0)))
     parts = let(times, lambda n: F.aggregate(
-        F.sequence(F.lit(1), F.lit(FIRST_SPLIT)), F.array(pair), lambda parts, k: F.when(
-            k > n, parts).otherwise(split(parts, k + (SPLIT_FROM - 1), 2))))
+        F.sequence(F.lit(1), F.lit(FIRST_SPLIT)), F.array(pair), lambda parts, k: either(
+            k > n, parts, split(parts, k + (SPLIT_FROM - 1), 2))))
     return let(parts, lambda p: decode(p))
 
 
@@ -230,8 +248,8 @@ def retry(decoded: Column, level: Column) -> Column:
 def decode_in_row(pair: Column) -> Column:
     """struct(differ, failed): a pair decoded from its first sketches and ``IN_ROW`` levels of retries."""
     return F.aggregate(
-        F.sequence(F.lit(1), F.lit(IN_ROW)), first_decode(pair), lambda d, level: F.when(
-            F.size(d.getField("failed")) == 0, d).otherwise(retry(d, level)))
+        F.sequence(F.lit(1), F.lit(IN_ROW)), first_decode(pair), lambda d, level: either(
+            F.size(d.getField("failed")) == 0, d, retry(d, level)))
 
 
 def retried(failed: DataFrame, *ids: str) -> DataFrame:
@@ -266,8 +284,7 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id",
     near_next`` (the edited text's last third is the head of the next document)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     docs = df.select(F.col(id_col).alias("id"), text.alias("text")).withColumns({
-        "k1": F.xxhash64("id", "text"), "k2": F.xxhash64("text", "id", F.lit(7)),
-        "a": digests(F.col("text"))})
+        "k1": F.xxhash64("id", "text"), "k2": F.xxhash64("text", "id", F.lit(7))})
     keys = docs.groupBy(*KEY).agg(F.max("id").alias("id"), F.max(F.length("text")).alias("n"),
                                   F.count("*").alias("rows"))
     order = numbered(keys, F.desc_nulls_last("id"), F.asc("k1"), F.asc("k2"))
@@ -279,20 +296,21 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id",
                           F.floor(F.col("n") / 3).cast("int").alias("take"))
     place_of = order.select(*KEY, "id", "position", "n").join(before, "position").drop(
         "position")
-    # both uses below read the same columns of the texts, so one shuffle of them serves both
+    # both uses below read the same columns of the texts, so one shuffle of them serves both; each
+    # cuts its digests after it, as they fill more of a disk than it takes to cut them twice
     own = docs.drop("id").join(place_of.hint("shuffle_hash"), list(KEY))
     heads = own.select(F.col("p1").alias("k1"), F.col("p2").alias("k2"),
                        F.substr("text", F.lit(1), F.col("take")).alias("head"),
-                       F.col("a").alias("next"))
+                       digests(F.col("text")).alias("next"))
     if most and most > 1:      # rows repeated exactly: one message to the document before
         heads = heads.dropDuplicates(list(KEY))
     cut = F.floor(F.col("n") / 3).cast("int")
-    texts = (own.select(*KEY, "id", "text", "n", "a").join(heads.hint("shuffle_hash"), list(KEY))
+    texts = (own.select(*KEY, "id", "text", "n").join(heads.hint("shuffle_hash"), list(KEY))
              .withColumn("edited", F.concat(F.substr("text", F.lit(1), F.col("n") - cut), "head")))
     sets = texts.select(
         *KEY, "id", F.col("n").cast("long").alias("n_chars"),
-        F.sha2("edited", 256).alias("edited_sha256"), "a", digests(F.col("edited")).alias("e"),
-        "next")
+        F.sha2("edited", 256).alias("edited_sha256"), digests(F.col("text")).alias("a"),
+        digests(F.col("edited")).alias("e"), "next")
     rows = materialize(sets.select(
         *KEY, "id", "n_chars", "edited_sha256", F.size("a").alias("size_a"),
         F.size("e").alias("size_e"), F.size("next").alias("size_n"),

@@ -156,3 +156,31 @@ def test_finished_rows_are_not_shuffled_to_meet_retries(spark):
                        F.transform("b", lambda k: F.xxhash64(k)).alias("b"))
     d = pair.select(I.decode_in_row(I.sides(F.col("a"), F.col("b"))).alias("d")).first().d
     assert (d.differ, d.failed) == (1600, [])
+
+
+def test_texts_are_shuffled_without_their_digests(spark, monkeypatch):
+    """Each side cuts its digests after the shuffle of the texts, which two uses share."""
+    plans, kept = {}, I.materialize
+
+    def keep(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString().splitlines()
+        return kept(df, name)
+    monkeypatch.setattr(I, "materialize", keep)
+    I.edited_fingerprints(frame(spark, corpus()[:20]))
+    hashed = [x for x in plans["sketches"] if re.search(r"xxhash64\(id#\w+, text", x)]
+    assert hashed and not any("regexp_extract_all" in x for x in hashed)
+
+
+def test_a_sketch_holds_each_digest_once_in_each_table(spark):
+    r = random.Random(14)
+    keys = [r.getrandbits(64) - 2 ** 63 for _ in range(300)]
+    rows = [(i, keys[:n]) for i, n in enumerate((0, 1, 7, 300))]
+    df = spark.createDataFrame(rows, "i int, a array<long>").select(
+        "i", I.sketch(F.col("a")).alias("s"), F.transform("a", I.check).alias("c"))
+    for x in df.collect():
+        want = [[0, 0, 0] for _ in range(I.TABLES * I.CELLS)]
+        for k, c in zip(rows[x.i][1], x.c):
+            for t in range(I.TABLES):
+                w = want[t * I.CELLS + ((k >> 3 * t) & (I.CELLS - 1))]
+                w[0], w[1], w[2] = w[0] + 1, w[1] ^ k, w[2] ^ c
+        assert [[c.n, c.k, c.c] for c in x.s] == want
