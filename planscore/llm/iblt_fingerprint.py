@@ -106,7 +106,8 @@ def add_to_cells(cells: Column, items: Column, sign: int) -> Column:
     def one_cell(c: Column, bit: Column) -> Column:
         return F.aggregate(
             F.filter(items, lambda x: x.getField("m").bitwiseAND(bit) != 0), c,
-            lambda s, x: cell(s.getField("n") + sign * x.getField("n"),
+            lambda s, x: cell(s.getField("n") + x.getField("n") if sign > 0
+                              else s.getField("n") - x.getField("n"),
                               s.getField("k").bitwiseXOR(x.getField("k")),
                               s.getField("c").bitwiseXOR(x.getField("c"))))
     # cells that no item falls into stay as they are
@@ -115,6 +116,10 @@ def add_to_cells(cells: Column, items: Column, sign: int) -> Column:
         m.bitwiseAND(bit) == 0, c, one_cell(c, bit))))
 
 
+def is_empty(c: Column) -> Column:
+    return (c.getField("n") == 0) & (c.getField("k") == 0) & (c.getField("c") == 0)
+
+
 def empty_cells() -> Column:
     return F.array_repeat(F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("k"),
                                    F.lit(0).cast("long").alias("c")), TABLES * CELLS)
@@ -127,9 +132,9 @@ def sketch(keys: Column, bits=itself) -> Column:
 
 
 def subtract(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda x, y: cell(
+    return F.zip_with(a, b, lambda x, y: either(is_empty(y), x, cell(
         x.getField("n") - y.getField("n"), x.getField("k").bitwiseXOR(y.getField("k")),
-        x.getField("c").bitwiseXOR(y.getField("c"))))
+        x.getField("c").bitwiseXOR(y.getField("c")))))
 
 
 def peel(difference: Column, bits=itself) -> Column:
@@ -147,8 +152,7 @@ def peel(difference: Column, bits=itself) -> Column:
             add_to_cells(cells, x, -1), F.flatten(F.array(found, pure)), F.lit(True)))
 
     def left(cells: Column) -> Column:
-        return F.filter(cells, lambda c: (c.getField("n") != 0) | (c.getField("k") != 0)
-                        | (c.getField("c") != 0))
+        return F.filter(cells, lambda c: ~is_empty(c))
 
     def once(pure: Column) -> Column:
         # a digest may be alone in several cells; its first one counts
@@ -215,9 +219,9 @@ def decode(parts: Column, bits=itself) -> Column:
     and the parts that did not decode."""
     def one(s: Column) -> Column:
         return let(peel(subtract(sketch(s.getField("a"), bits), sketch(s.getField("b"), bits)), bits),
-                   lambda p: F.struct(F.when(p.getField("ok"), F.size(p.getField("found")))
-                                      .otherwise(0).alias("differ"),
-                                      F.when(~p.getField("ok"), s).alias("failed")))
+                   lambda p: F.struct(
+                       either(p.getField("ok"), F.size(p.getField("found")), F.lit(0)).alias("differ"),
+                       either(p.getField("ok"), F.lit(None), s).alias("failed")))
     return let(F.transform(parts, one), lambda d: F.struct(
         F.aggregate(d, F.lit(0), lambda t, x: t + x.getField("differ")).alias("differ"),
         F.filter(F.transform(d, lambda x: x.getField("failed")), lambda x: x.isNotNull())
